@@ -1,0 +1 @@
+"""Nothing here on purpose: every job this engine covers reads bounded input."""
