@@ -110,10 +110,13 @@ def step_sums(
     """
     width, classes = weights.shape
     size = width * classes + classes + _STATS
+    table = _sums(df, weights, bias, features, label, part).toArrow()
+    parts, idx, sums = (table.column(c).to_numpy() for c in ("part", "idx", "s"))
     found: dict[int, np.ndarray] = {}
-    for row in _sums(df, weights, bias, features, label, part).toLocalIterator():
-        values = found.setdefault(row["part"], np.zeros(size))
-        values[row["idx"] + _STATS] = row["s"]
+    for number in np.unique(parts):
+        mine = parts == number
+        values = found[int(number)] = np.zeros(size)
+        values[idx[mine] + _STATS] = sums[mine]
     out = {}
     for number, values in found.items():
         rows = values[_ROWS]
