@@ -207,7 +207,7 @@ def average_gradients(spark, sf_dir):
 def l2_penalty(spark, sf_dir):
     rows = vectors(spark, sf_dir)
     var = F.when(F.col("label") == 0, F.lit("fc/biases")).otherwise(F.lit("fc/weights"))
-    weights = rows.select(var.alias("var"), F.explode("features").cast("double").alias("value"))
+    weights = rows.select(var.alias("var"), F.explode(V.as_doubles(F.col("features"))).alias("value"))
     return M.l2_penalty(weights).select(F.round("penalty", 6).alias("penalty"))
 
 
@@ -355,7 +355,7 @@ def training_sql(
     start = ", 0.0::double as v" if momentum else ""
     ctes = [
         CELLS_SQL,
-        "placed as materialized (select vec_id, row_number() over (order by vec_id) - 1 as at from embeddings)",
+        "placed as materialized (select vec_id, row_number() over (order by vec_id) - 1 as place from embeddings)",
         f"w0 as (select i, k, 0.0::double as w{start} from range(64) t(i), range(10) u(k))",
         f"b0 as (select k, 0.0::double as b{start} from range(10) u(k))",
     ]
@@ -474,7 +474,7 @@ QUERIES = {
     "train_l2": (train_l2, training_sql(3, decay="0.0005") + PARAMS_SQL.format(n=3)),
     "train_batches": (
         train_batches,
-        training_sql(3, part="at // 100 = {t} % ((select count(*) from embeddings) // 100)")
+        training_sql(3, part="place // 100 = {t} % ((select count(*) from embeddings) // 100)")
         + PARAMS_SQL.format(n=3),
     ),
     "train_full": (train_full, None),
@@ -528,10 +528,10 @@ QUERIES = {
     ),
     "mini_batches": (
         mini_batches,
-        """select at // 64 as batch_id, count(*) as n, min(vec_id) as first_id, max(vec_id) as last_id,
+        """select place // 64 as batch_id, count(*) as n, min(vec_id) as first_id, max(vec_id) as last_id,
           sum(label) as label_sum
-        from (select vec_id, label, row_number() over (order by vec_id) - 1 as at from embeddings)
-        where at < (select count(*) // 64 * 64 from embeddings) group by 1""",
+        from (select vec_id, label, row_number() over (order by vec_id) - 1 as place from embeddings)
+        where place < (select count(*) // 64 * 64 from embeddings) group by 1""",
     ),
     "repeat_epochs": (
         repeat_epochs_query,
