@@ -104,11 +104,15 @@ def init_ranks(edges: DataFrame, r0: float = RANK_START) -> DataFrame:
 
 
 def join_ranks(links: Links, ranks: DataFrame) -> DataFrame:
-    """Links of the sources that have a rank, with that rank."""
+    """Links of the sources that have a rank, with that rank.
+
+    The links are already placed and sorted by the join keys, so merging moves
+    nothing but the ranks; a broadcast would only add a trip over the driver.
+    """
     by_source = ranks.select(F.col("node").alias("src"), "rank")
     if links.heavy is not None:
         by_source = skew.copy_per_slice(by_source, "src", links.heavy)
-    return links.rows.join(by_source, links.keys)
+    return links.rows.join(by_source.hint("merge"), links.keys)
 
 
 def contributions(joined: DataFrame) -> DataFrame:

@@ -21,10 +21,17 @@ def sort_export(df: DataFrame, by: tuple[str, ...] = EXPORT_ORDER, as_text: bool
 
 
 def export_view(df: DataFrame, by: tuple[str, ...] = EXPORT_ORDER) -> DataFrame:
-    """The same order through SQL over the global temporary view."""
+    """The same order through SQL over the global temporary view.
+
+    The input position breaks ties, as in ``stable_order``.
+    """
     df.createOrReplaceGlobalTempView(EXPORT_VIEW)
     order = ", ".join(f"`{c}`" for c in by)
-    return df.sparkSession.sql(f"SELECT * FROM global_temp.{EXPORT_VIEW} ORDER BY {order}")
+    return df.sparkSession.sql(
+        f"""SELECT * EXCEPT (_tie) FROM (
+              SELECT *, monotonically_increasing_id() AS _tie FROM global_temp.{EXPORT_VIEW}
+              ORDER BY {order}, _tie)"""
+    )
 
 
 def sort_export_job(

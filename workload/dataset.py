@@ -124,8 +124,7 @@ def box_records(spark, sf_dir) -> DataFrame:
 def zip_boxes_query(spark, sf_dir):
     boxes = zip_boxes(box_records(spark, sf_dir))
     flat = boxes.select("l_orderkey", "l_linenumber", F.posexplode("boxes").alias("box", "b"))
-    sides = [F.round(F.col(f"b.{s}"), 6).alias(s) for s in ("ymin", "xmin", "ymax", "xmax")]
-    return flat.select("l_orderkey", "l_linenumber", "box", *sides)
+    return flat.select("l_orderkey", "l_linenumber", "box", "b.ymin", "b.xmin", "b.ymax", "b.xmax")
 
 
 def record_defaults(spark, sf_dir):
@@ -284,8 +283,8 @@ QUERIES = {
             [l_discount, l_tax, l_quantity / 100] as x0, [l_tax, l_discount, l_quantity / 100] as y0,
             [l_quantity / 100, l_discount, l_tax] as x1, [l_quantity / 100, l_tax, l_discount] as y1
           from lineitem)
-        select l_orderkey, l_linenumber, box, round(y0[box + 1], 6) as ymin, round(x0[box + 1], 6) as xmin,
-          round(y1[box + 1], 6) as ymax, round(x1[box + 1], 6) as xmax
+        select l_orderkey, l_linenumber, box, y0[box + 1] as ymin, x0[box + 1] as xmin,
+          y1[box + 1] as ymax, x1[box + 1] as xmax
         from sides, range(3) t(box) where box < n""",
     ),
     "record_defaults": (
