@@ -61,10 +61,13 @@ def _partial_sums(shared, width: int, classes: int):
     return run
 
 
-def _sums(df: DataFrame, weights, bias, features: str, label: str, part: Column) -> DataFrame:
+def _share(df: DataFrame, weights: np.ndarray, bias: np.ndarray):
+    return df.sparkSession.sparkContext.broadcast((weights, np.asarray(bias).reshape(-1)))
+
+
+def _sums(df: DataFrame, shared, shape: tuple, features: str, label: str, part: Column) -> DataFrame:
     """``(part, idx, s)`` summed over all rows; idx < 0 holds the statistics."""
-    width, classes = weights.shape
-    shared = df.sparkSession.sparkContext.broadcast((weights, np.asarray(bias).reshape(-1)))
+    width, classes = shape
     narrow = df.select(features, F.col(label).cast("int"), part.cast("int"))
     partial = narrow.mapInArrow(_partial_sums(shared, width, classes), _PARTIAL)
     return partial.groupBy("part", "idx").agg(F.sum("s").alias("s"))
@@ -96,7 +99,7 @@ def softmax_gradient(
     With ``replica`` there is one gradient per replica, in column ``replica``.
     """
     part = F.lit(0) if replica is None else F.col(replica)
-    sums = _sums(df, weights, bias, features, label, part)
+    sums = _sums(df, _share(df, weights, bias), weights.shape, features, label, part)
     means = _means(sums, *weights.shape).withColumnRenamed("part", "replica")
     return means if replica else means.drop("replica")
 
@@ -110,7 +113,9 @@ def step_sums(
     """
     width, classes = weights.shape
     size = width * classes + classes + _STATS
-    table = _sums(df, weights, bias, features, label, part).toArrow()
+    shared = _share(df, weights, bias)
+    table = _sums(df, shared, weights.shape, features, label, part).toArrow()
+    shared.destroy()
     parts, idx, sums = (table.column(c).to_numpy() for c in ("part", "idx", "s"))
     found: dict[int, np.ndarray] = {}
     for number in np.unique(parts):

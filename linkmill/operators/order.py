@@ -13,9 +13,7 @@ from linkmill.fixed_values import NUM_SHARDS, NUM_VALIDATION, SPLIT_SEED
 from linkmill.plans.lineage import materialize
 
 _TASK_BITS = 33  # monotonically_increasing_id keeps the task number above this bit
-_HASH_DIGITS = 32
-_STEP = 4
-_SMALL = 10_000
+_PREFIX_DIGITS = 4
 
 
 def stable_order(df: DataFrame, *order: str | Column) -> DataFrame:
@@ -54,32 +52,43 @@ def shuffle_key(key: str, seed: int = SPLIT_SEED) -> Column:
     return F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
 
 
-def _position_of(df: DataFrame, n: int) -> tuple[str, str] | None:
-    """The ``n``-th smallest ``(_hash, _key)``; None if there are fewer rows.
+def _hashed(df: DataFrame, key: str, seed: int, group: Column) -> DataFrame:
+    text = F.col(key).cast("string")
+    return df.select(group.alias("_group"), shuffle_key(key, seed).alias("_hash"), text.alias("_key"))
 
-    Counts rows per hash prefix (at most 65,536 groups per pass) and goes on
-    inside the one prefix that holds position ``n``.
+
+def _keys_at(keys: DataFrame, wanted) -> dict[str, list[tuple[str, str]]]:
+    """Per group, the ``(_hash, _key)`` at the positions ``wanted(rows)`` (from 1).
+
+    One pass counts rows per group and hash prefix (at most 65,536 prefixes),
+    a second ranks only the rows of the prefixes that hold a wanted position.
     """
-    prefix, digits = "", 0
-    while True:
-        digits += _STEP
-        inside = df.where(F.startswith(F.col("_hash"), F.lit(prefix))) if prefix else df
-        counts = inside.groupBy(F.substring("_hash", 1, digits).alias("_p")).agg(
-            F.count(F.lit(1)).alias("_n")
-        )
-        running = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy("_p")))
-        hit = running.where(F.col("_upto") >= n).orderBy("_p").first()
-        if hit is None:
-            return None
-        n -= hit["_upto"] - hit["_n"]
-        prefix = hit["_p"]
-        if hit["_n"] <= _SMALL or digits >= _HASH_DIGITS:
-            break
-    last = df.where(F.startswith(F.col("_hash"), F.lit(prefix)))
-    top = last.orderBy("_hash", "_key").limit(n + 1).collect()
-    if len(top) > n and top[n - 1] == top[n]:
-        raise ValueError(f"the split key is not unique: {top[n]['_key']!r}")
-    return top[n - 1]["_hash"], top[n - 1]["_key"]
+    spark = keys.sparkSession
+    marked = keys.withColumn("_prefix", F.substring("_hash", 1, _PREFIX_DIGITS))
+    counts = marked.groupBy("_group", "_prefix").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    places = []
+    for group, part in counts.sort_values("_prefix").groupby("_group"):
+        upto = part["n"].cumsum().to_numpy()
+        for position in wanted(int(upto[-1])):
+            if position > upto[-1]:
+                continue
+            bucket = int(upto.searchsorted(position))
+            inside = int(position - (upto[bucket] - part["n"].iloc[bucket]))
+            places.append((group, part["_prefix"].iloc[bucket], inside, int(position)))
+    if not places:
+        return {}
+    picks = F.broadcast(  # one row per wanted position
+        spark.createDataFrame(places, "_group string, _prefix string, _rank int, _position long")
+    )
+    buckets = picks.select("_group", "_prefix").distinct()
+    ranked = marked.join(F.broadcast(buckets), ["_group", "_prefix"]).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("_group", "_prefix").orderBy("_hash", "_key"))
+    )
+    found: dict[str, list[tuple[str, str]]] = {}
+    rows = ranked.join(picks, ["_group", "_prefix", "_rank"]).collect()
+    for row in sorted(rows, key=lambda r: r["_position"]):
+        found.setdefault(row["_group"], []).append((row["_hash"], row["_key"]))
+    return found
 
 
 def seeded_split(
@@ -97,16 +106,15 @@ def seeded_split(
     train, validation = F.lit("train"), F.lit("validation")
     if n_validation <= 0:
         return df.withColumn(name, train)
-    keys = df.select(
-        shuffle_key(key, seed).alias("_hash"), F.col(key).cast("string").alias("_key")
-    )
-    cut = _position_of(keys, n_validation)
-    if cut is None:
+    keys = _hashed(df, key, seed, F.lit("all"))
+    around = _keys_at(keys, lambda rows: (n_validation, n_validation + 1)).get("all", [])
+    if len(around) < 2:  # no row beyond the validation part
         return df.withColumn(name, validation)
+    if around[0] == around[1]:
+        raise ValueError(f"the split key is not unique: {around[0][1]!r}")
     place = F.struct(shuffle_key(key, seed), F.col(key).cast("string"))
-    return df.withColumn(
-        name, F.when(place <= F.struct(F.lit(cut[0]), F.lit(cut[1])), validation).otherwise(train)
-    )
+    last = F.struct(*[F.lit(v) for v in around[0]])
+    return df.withColumn(name, F.when(place <= last, validation).otherwise(train))
 
 
 def assign_shards(
@@ -119,28 +127,20 @@ def assign_shards(
 ) -> DataFrame:
     """Contiguous shards of ``ceil(rows / n)`` rows per split, in shuffled order.
 
-    Only the keys are sorted; the rows get their shard by comparing their key
-    with the ``n - 1`` cut points of their split.
+    Nothing is sorted: a row gets its shard by comparing its key with the first
+    keys of the shards of its split.
     """
-    keys = df.select(
-        split, shuffle_key(key, seed).alias("_hash"), F.col(key).cast("string").alias("_key")
-    )
-    placed = with_row_index(keys, split, "_hash", "_key", name="_at")
-    ranges = placed.groupBy(split).agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_n"))
-    per_shard = F.ceil(F.col("_n") / F.lit(n))
-    offset = F.col("_at") - F.col("_from")
-    cuts = (
-        placed.join(ranges, split)
-        .where((offset > 0) & (F.pmod(offset, per_shard) == 0))
-        .select(split, "_hash", "_key")
-        .orderBy(split, "_hash", "_key")
-        .collect()  # n - 1 rows per split
-    )
+
+    def firsts(rows: int) -> list[int]:
+        size = -(-rows // n)
+        return [i * size + 1 for i in range(1, n) if i * size < rows]
+
+    cuts = _keys_at(_hashed(df, key, seed, F.col(split)), firsts)
     place = F.struct(shuffle_key(key, seed), F.col(key).cast("string"))
     shard = F.lit(0)
-    for value in sorted({row[split] for row in cuts}):
-        points = [F.struct(F.lit(r["_hash"]), F.lit(r["_key"])) for r in cuts if r[split] == value]
-        passed = F.size(F.filter(F.array(*points), lambda point: point <= place))
+    for value, keys in cuts.items():
+        points = F.array(*[F.struct(F.lit(h), F.lit(k)) for h, k in keys])
+        passed = F.size(F.filter(points, lambda point: point <= place))
         shard = F.when(F.col(split) == F.lit(value), passed).otherwise(shard)
     return df.withColumn(name, shard.cast("int"))
 

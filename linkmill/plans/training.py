@@ -17,14 +17,12 @@ from linkmill.fixed_values import (
     FULL_BATCH_EPOCHS,
     FULL_BATCH_RATE,
     SAVE_EVERY,
-    WEIGHT_DECAY,
 )
 from linkmill.functions.layers import softmax_predict
 from linkmill.functions.schedule import exp_decay_at
 from linkmill.operators.gradient import step_sums
 from linkmill.operators.metrics import top1_accuracy
 from linkmill.operators.order import assign_replicas, take_batches
-from linkmill.plans.lineage import materialize
 
 _TRACE = "step int, loss double, cell_accuracy double, top1_accuracy double"
 _PARAMS = "var string, idx long, value double"
@@ -119,7 +117,7 @@ def train_softmax(
     needed = list(dict.fromkeys([features, label, *(order or [])]))
     rows, batches = df.select(*needed), 1
     if batch:
-        rows = materialize(take_batches(rows, batch, *order), "batches")
+        rows = take_batches(rows, batch, *order)
         batches = max(rows.count() // batch, 1)
         rows = rows.withColumn("_part", F.lit(0))
     elif replicas:
@@ -199,7 +197,6 @@ __all__ = [
     "Momentum",
     "Params",
     "Trained",
-    "WEIGHT_DECAY",
     "evaluate",
     "load_params",
     "save_params",

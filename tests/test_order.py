@@ -51,9 +51,9 @@ def test_seeded_split_is_exact(spark, n, want, seed):
     assert len(got) == n
 
 
-def test_split_goes_on_inside_a_prefix(spark, monkeypatch):
-    monkeypatch.setattr(O, "_SMALL", 1)
-    monkeypatch.setattr(O, "_STEP", 1)
+@pytest.mark.parametrize("digits", [0, 1, 2])
+def test_split_with_many_rows_per_prefix(spark, monkeypatch, digits):
+    monkeypatch.setattr(O, "_PREFIX_DIGITS", digits)
     got = O.seeded_split(paths(spark, 200), "path", 77).where("split = 'validation'").collect()
     assert {r["path"] for r in got} == set(expected_order(200)[:77])
 
