@@ -90,14 +90,11 @@ def crop_or_pad(rows: Column, height: int, width: int, zero: Column | None = Non
 
     def fit(cells: Column, size: int, blank: Column) -> Column:
         extra = F.size(cells) - size
-        skip = F.when(extra > 0, F.floor(extra / 2)).otherwise(-F.floor(-extra / 2))
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(size - 1)),
-            lambda i: F.coalesce(
-                F.when((i + skip >= 0) & (i + skip < F.size(cells)), F.get(cells, (i + skip).cast("int"))),
-                blank,
-            ),
-        )
-
-    blank_row = F.array_repeat(zero, width)
-    return fit(F.transform(rows, lambda row: fit(row, width, zero)), height, blank_row)
+        skip = F.when(extra > 0, F.floor(extra / 2)).otherwise(-F.floor(-extra / 2)).cast("int")
+        inside = F.slice(cells, F.greatest(skip, F.lit(0)) + 1, F.lit(size))
+        ahead = F.greatest(-skip, F.lit(0))
+        behind = F.lit(size) - ahead - F.least(F.size(cells), F.lit(size))
+        return F.concat(F.array_repeat(blank, ahead), inside, F.array_repeat(blank, behind))
+
+    rows = F.transform(rows, lambda row: fit(row, width, zero))
+    return let(rows, lambda cells: fit(cells, height, F.array_repeat(zero, width)))

@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_PER_PARTITION = 2
+HEAVY_PER_PARTITION = 4
 SLICE = "slice"
 _SLICES = "_slices"
 
 
 def slice_size(total_rows: int, partitions: int, floor: int) -> int:
-    """Rows per slice: half a fair share of the table, at least ``floor``."""
+    """Rows per slice: a quarter of a fair share of the table, at least ``floor``."""
     return max(floor, -(-total_rows // (HEAVY_PER_PARTITION * partitions)))
 
 
