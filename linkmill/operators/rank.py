@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.fixed_values import RANK_BASE, RANK_FACTOR, RANK_START
@@ -22,6 +22,7 @@ from linkmill.plans import skew
 from linkmill.plans.lineage import materialize
 
 MIN_SLICE_ROWS = 1_000_000
+ROWS_PER_PARTITION = 500_000
 
 
 @dataclass
@@ -30,6 +31,7 @@ class Links:
 
     rows: DataFrame
     keys: list[str]
+    partitions: int
     degrees: DataFrame
     n_sources: int
     heavy: DataFrame | None = None
@@ -55,9 +57,6 @@ def link_table(
     """
     if sources not in ("drop", "keep"):
         raise ValueError(f"sources must be 'drop' or 'keep', not {sources!r}")
-    spark = edges.sparkSession
-    partitions = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
     counted = materialize(
         edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies")), "links"
     )
@@ -72,6 +71,7 @@ def link_table(
         F.coalesce(F.max("n_targets"), F.lit(0)).alias("top"),
     ).first()
 
+    partitions = num_partitions or _fitting_partitions(edges.sparkSession, shape["rows"])
     placed = counted
     if sources == "keep":
         selves = degrees.select("src", F.col("src").alias("dst"), F.lit(0).cast("long").alias("copies"))
@@ -95,7 +95,17 @@ def link_table(
         # filled now: only a filled cache tells the planner its partitioning
         rows = rows.persist()
         rows.count()
-    return Links(rows, keys, degrees, shape["sources"], heavy)
+    return Links(rows, keys, partitions, degrees, shape["sources"], heavy)
+
+
+def _shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _fitting_partitions(spark: SparkSession, rows: int) -> int:
+    """The session's shuffle partitions, or fewer for a graph too small to fill them."""
+    enough = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_PARTITION))
+    return min(_shuffle_partitions(spark), enough)
 
 
 def init_ranks(edges: DataFrame, r0: float = RANK_START) -> DataFrame:
@@ -112,6 +122,9 @@ def join_ranks(links: Links, ranks: DataFrame) -> DataFrame:
     by_source = ranks.select(F.col("node").alias("src"), "rank")
     if links.heavy is not None:
         by_source = skew.copy_per_slice(by_source, "src", links.heavy)
+    if links.partitions != _shuffle_partitions(ranks.sparkSession):
+        # never let the planner move the links instead
+        by_source = by_source.repartition(links.partitions, *links.keys)
     return links.rows.join(by_source.hint("merge"), links.keys)
 
 

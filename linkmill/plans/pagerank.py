@@ -48,7 +48,7 @@ def pagerank(
     normalise: bool = False,
     cache_links: bool = True,
     num_partitions: int | None = None,
-    checkpoint_every: int = 5,
+    checkpoint_every: int = 2,
     min_slice_rows: int = MIN_SLICE_ROWS,
 ) -> DataFrame:
     """Rank the nodes of ``edges (src, dst)``; returns ``(node, rank)``.

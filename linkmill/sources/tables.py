@@ -77,14 +77,14 @@ def read_image_records(
 ) -> DataFrame:
     """Records of one split, missing fields filled with their defaults.
 
-    Shards are found by the split's file name pattern, so shards of other
-    splits are not opened.
+    Shards are picked by the split's name pattern on the shard folders, so
+    shards of other splits are not opened.
     """
     splits, pattern, defaults, _ = LAYOUTS[layout]
     if split not in splits:
         raise ValueError(f"unknown split {split!r}, expected one of {sorted(splits)}")
-    glob = f"{path.rstrip('/')}/{SHARD_FILE}={pattern % split}"
-    records = with_defaults(spark.read.option("basePath", path).parquet(glob), defaults)
+    named = F.startswith(F.col(SHARD_FILE), F.lit((pattern % split).rstrip("*")))
+    records = with_defaults(spark.read.parquet(path).where(named), defaults)
     boxes = {"xmin", "ymin", "xmax", "ymax"}
     return zip_boxes(records) if boxes <= set(records.columns) else records
 

@@ -81,6 +81,8 @@ def test_whole_job(spark, folder, tmp_path):
         h, w, image = pixels_of(name, i)
         assert bytes(row["encoded"]) == _png(w, h, image.tobytes())
         assert (row["height"], row["width"], names[row["label"]], row["format"]) == (h, w, name, "png")
+    plan = ST.read_image_records(spark, f"{out}/records", "train")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(shard_file" in plan
     again = prepare_image_dataset(spark, "/does/not/exist", out)
     assert again.count() == 3
     with pytest.raises(ValueError, match="unknown split"):
@@ -168,3 +170,9 @@ def test_spread_small(spark):
     assert ST.spread_small(few).rdd.getNumPartitions() == 8
     many = spark.range(10, numPartitions=9)
     assert ST.spread_small(many) is many
+
+
+def test_split_without_rows(spark, tmp_path):
+    rows = spark.createDataFrame([("flowers_validation_00000-of-00005", "png")], "shard_file string, format string")
+    rows.write.partitionBy("shard_file").parquet(str(tmp_path / "r"))
+    assert ST.read_image_records(spark, str(tmp_path / "r"), "train").count() == 0

@@ -132,6 +132,20 @@ def test_one_shuffle_per_round(spark, edges_of):
     links.release()
 
 
+@pytest.mark.parametrize("own,session", [(4, 8), (8, 3), (12, 8)])
+def test_links_stay_where_they_are_placed(spark, edges_of, own, session):
+    spark.conf.set("spark.sql.shuffle.partitions", session)
+    try:
+        links = R.link_table(edges_of(random_graph(2)), num_partitions=own)
+        joined = R.join_ranks(links, R.init_ranks(links.rows))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        link_side = plan.split("SortMergeJoin")[1].split("InMemoryRelation")[0]
+        assert "Exchange" not in link_side
+        links.release()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
 def test_unknown_mode(edges_of):
     with pytest.raises(ValueError):
         P.pagerank(edges_of(CHAIN), sources="other")
