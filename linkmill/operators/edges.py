@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from linkmill.fixed_values import COMMENT_PREFIX, KEPT_NAMESPACE
 from linkmill.plans import skew
 
+BROADCAST_KEYS = 200_000
+
 
 def split_fields(lines: DataFrame, sep: str = "\t") -> DataFrame:
     """Each line as an array of fields, empty trailing fields included."""
@@ -83,24 +85,25 @@ def adjacency(edges: DataFrame, max_list: int = 100_000) -> DataFrame:
     """Targets per source as lists: ``(src, slice, dests)``.
 
     A source with more than ``max_list`` links gets several rows, told apart
-    by ``slice``, so no single list or task grows with the largest hub.
+    by ``slice``, so no single list or task grows with the largest hub or with
+    the copies of one link.
     """
-    degrees = out_degree(edges)
-    total = degrees.agg(F.sum("n_links").alias("n"), F.max("n_links").alias("top")).first()
-    if (total["top"] or 0) <= max_list:
-        sliced = edges.withColumn(skew.SLICE, F.lit(0))
-    else:
-        partitions = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        heavy = skew.heavy_keys(degrees, "src", "n_links", max_list)
-        if total["n"] > max_list * partitions * skew.HEAVY_PER_PARTITION:
-            # too many heavy keys for the broadcast bound: join them by shuffle
-            sliced = _slice_by_join(edges, heavy)
-        else:
-            sliced = skew.add_slice(edges, "src", heavy, F.xxhash64(F.monotonically_increasing_id()))
-    return sliced.groupBy("src", skew.SLICE).agg(F.collect_list("dst").alias("dests"))
-
-
-def _slice_by_join(edges: DataFrame, heavy: DataFrame) -> DataFrame:
-    joined = edges.join(heavy, "src", "left")
-    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("_slices", F.lit(1)))
-    return joined.withColumn(skew.SLICE, spread.cast("int")).drop("_slices")
+    counted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
+    degrees = counted.groupBy("src").agg(F.sum("copies").alias("n_links"))
+    shape = degrees.agg(F.sum("n_links").alias("rows"), F.max("n_links").alias("top")).first()
+    if (shape["top"] or 0) <= max_list:
+        lists = edges.groupBy("src").agg(F.collect_list("dst").alias("dests"))
+        return lists.select("src", F.lit(0).alias(skew.SLICE), "dests")
+
+    # copies of one link in pieces well below a list, dealt out by their hash
+    unit = max(max_list // 8, 1)
+    last = F.floor((F.col("copies") - 1) / F.lit(unit)).cast("int")
+    pieces = counted.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
+    size = F.least(F.lit(unit), F.col("copies") - F.col("piece") * unit).cast("int")
+    heavy = skew.heavy_keys(degrees, "src", "n_links", max_list)
+    sliced = skew.add_slice(
+        pieces, "src", heavy, F.xxhash64("dst", "piece"), bounded=shape["rows"] // max_list <= BROADCAST_KEYS
+    )
+    return sliced.groupBy("src", skew.SLICE).agg(
+        F.flatten(F.collect_list(F.array_repeat("dst", size))).alias("dests")
+    )

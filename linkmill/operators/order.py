@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkmill.fixed_values import NUM_SHARDS, NUM_VALIDATION, SPLIT_SEED
-from linkmill.plans.lineage import materialize
+from linkmill.plans.lineage import materialize, repeatable
 
 _TASK_BITS = 33  # monotonically_increasing_id keeps the task number above this bit
 _PREFIX_DIGITS = 4
@@ -22,7 +22,8 @@ def stable_order(df: DataFrame, *order: str | Column) -> DataFrame:
     The input position breaks ties, so range partitioning can cut inside a key
     that holds a large part of the rows, and equal rows keep their order.
     """
-    return df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order, "_tie").drop("_tie")
+    numbered = repeatable(df).withColumn("_tie", F.monotonically_increasing_id())
+    return numbered.orderBy(*order, "_tie").drop("_tie")
 
 
 def with_row_index(df: DataFrame, *order: str | Column, name: str = "row_index") -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkmill.fixed_values import EXPORT_ORDER, EXPORT_VIEW
 from linkmill.operators.order import stable_order
+from linkmill.plans.lineage import repeatable
 from linkmill.sinks.text import write_export
 from linkmill.sources.tables import read_export
 
@@ -17,7 +19,7 @@ def sort_export(df: DataFrame, by: tuple[str, ...] = EXPORT_ORDER, as_text: bool
     """
     if as_text:
         return stable_order(df, *by)
-    return stable_order(df, *by[:-1], df[by[-1]].cast("double"))
+    return stable_order(df, *by[:-1], F.col(by[-1]).cast("double"))
 
 
 def export_view(df: DataFrame, by: tuple[str, ...] = EXPORT_ORDER) -> DataFrame:
@@ -25,7 +27,7 @@ def export_view(df: DataFrame, by: tuple[str, ...] = EXPORT_ORDER) -> DataFrame:
 
     The input position breaks ties, as in ``stable_order``.
     """
-    df.createOrReplaceGlobalTempView(EXPORT_VIEW)
+    repeatable(df).createOrReplaceGlobalTempView(EXPORT_VIEW)
     order = ", ".join(f"`{c}`" for c in by)
     return df.sparkSession.sql(
         f"""SELECT * EXCEPT (_tie) FROM (

@@ -28,9 +28,16 @@ def heavy_keys(counts: DataFrame, key: str, rows: str, slice_rows: int) -> DataF
     )
 
 
-def add_slice(df: DataFrame, key: str, heavy: DataFrame, spread: Column) -> DataFrame:
-    """Give every row a slice number; rows of light keys all get slice 0."""
-    joined = df.join(F.broadcast(heavy), key, "left")
+def add_slice(
+    df: DataFrame, key: str, heavy: DataFrame, spread: Column, bounded: bool = True
+) -> DataFrame:
+    """Give every row a slice number; rows of light keys all get slice 0.
+
+    ``spread`` must depend on the row alone, so that a task run again deals out
+    its rows as before.  Unless the heavy keys are ``bounded``, they are joined
+    by shuffle.
+    """
+    joined = df.join(F.broadcast(heavy) if bounded else heavy, key, "left")
     number = F.when(F.col(_SLICES).isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col(_SLICES)))
     return joined.withColumn(SLICE, number.cast("int")).drop(_SLICES)
 

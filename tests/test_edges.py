@@ -59,12 +59,13 @@ def test_lowering_makes_duplicates_that_count(lines_of):
 
 @pytest.mark.parametrize("limit", [1000, 10, 1])
 def test_adjacency_keeps_the_bag_and_bounds_the_lists(edges_of, limit):
-    pairs_in = [("hub", f"n{i % 40}") for i in range(120)] + [("b", "x"), ("b", "x"), ("c", "y")]
+    pairs_in = [("hub", f"n{i % 40}") for i in range(120)] + [("b", "x")] * 70 + [("c", "y")]
     rows = E.adjacency(edges_of(pairs_in), max_list=limit).collect()
     out = sorted((r["src"], d) for r in rows for d in r["dests"])
     assert out == sorted(pairs_in)
     if limit == 10:
         assert max(len(r["dests"]) for r in rows) < 40
+        assert len([r for r in rows if r["src"] == "b"]) > 2
     if limit == 1000:
         assert len(rows) == 3
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkmill.operators import order as O
+from linkmill.plans import lineage
 
 
 @pytest.mark.parametrize("parts", [1, 4, 9])
@@ -28,6 +29,14 @@ def test_heavy_key_is_sorted_by_several_tasks(spark):
     assert len(sizes) > 3 and max(r["count"] for r in sizes) < 1500
 
 
+def test_rows_behind_a_shuffle_are_written_before_numbering(spark):
+    scan = spark.range(10)
+    assert lineage.repeatable(scan) is scan
+    for moved in (scan.repartition(3), scan.selectExpr("id % 3 AS k").groupBy("k").count()):
+        plan = lineage.repeatable(moved)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "parquet" in plan.lower()
+
+
 def test_row_index_of_nothing(spark):
     assert O.with_row_index(spark.range(0), "id").count() == 0
 

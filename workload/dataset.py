@@ -103,7 +103,11 @@ def synset_names(spark, sf_dir):
 def box_records(spark, sf_dir) -> DataFrame:
     """One record per line item with one to three boxes."""
     items = table(
-        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_discount", "l_tax", "l_quantity"
+        spark,
+        sf_dir,
+        "lineitem",
+        *("l_orderkey", "l_linenumber", "l_discount", "l_tax", "l_quantity"),
+        spread=True,
     )
     n = F.col("l_linenumber") % 3 + 1
 
@@ -160,7 +164,7 @@ def image_folder(spark, sf_dir) -> str:
     root = fresh_path(spark, "images")
     target, base = fs.FileSystem.from_uri(root)
     target.create_dir(base)
-    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label", spread=True)
     red = F.transform("embedding", lambda v: F.pmod(F.floor(v.cast("double") * 1000), F.lit(256)).cast("int"))
 
     def write(batches):

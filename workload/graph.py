@@ -18,9 +18,10 @@ from linkmill.sources.text import first_lines, read_edges
 TAB = "\t"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread: bool = False) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread_small(df.select(*columns)) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread_small(df) if spread else df
 
 
 # --- inputs ------------------------------------------------------------------
@@ -34,7 +35,9 @@ def core_line():
 
 def link_lines(spark: SparkSession, sf_dir: str, comments: bool = False) -> DataFrame:
     """One scan per table; each row gives all of its lines."""
-    items = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    items = table(
+        spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", spread=True
+    )
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
     per_item = [
         core_line(),
