@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from linkmill.fixed_values import (
     FLOWER_DEFAULTS,
     FLOWER_PATTERN,
     FLOWER_SPLITS,
+    LABELS_FILE,
     SYNSET_CLASSES,
     SYNSET_DEFAULTS,
     SYNSET_PATTERN,
@@ -18,6 +21,7 @@ from linkmill.fixed_values import (
 )
 from linkmill.operators.records import with_defaults, zip_boxes
 from linkmill.sinks.shards import SHARD_FILE
+from linkmill.sources.labels import has_labels, read_label_map
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
@@ -72,6 +76,25 @@ LAYOUTS = {
 }
 
 
+@dataclass(frozen=True)
+class DatasetInfo:
+    """What is declared about one split of an image dataset."""
+
+    pattern: str
+    rows: int
+    classes: int
+    labels: DataFrame | None
+
+
+def describe_split(spark: SparkSession, path: str, split: str, layout: str = "flowers") -> DatasetInfo:
+    """Declared shard pattern, row and class count, and the label names if the folder has them."""
+    splits, pattern, _, classes = LAYOUTS[layout]
+    if split not in splits:
+        raise ValueError(f"unknown split {split!r}, expected one of {sorted(splits)}")
+    labels = read_label_map(spark, f"{path}/{LABELS_FILE}") if has_labels(spark, path) else None
+    return DatasetInfo(pattern % split, splits[split], classes, labels)
+
+
 def read_image_records(
     spark: SparkSession, path: str, split: str, layout: str = "flowers"
 ) -> DataFrame:

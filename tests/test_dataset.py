@@ -85,6 +85,11 @@ def test_whole_job(spark, folder, tmp_path):
     assert "PartitionFilters: [isnotnull(shard_file" in plan
     again = prepare_image_dataset(spark, "/does/not/exist", out)
     assert again.count() == 3
+    info = ST.describe_split(spark, out, "train")
+    assert (info.pattern, info.rows, info.classes, info.labels.count()) == ("flowers_train_*", 3320, 5, 3)
+    assert ST.describe_split(spark, folder, "validation", "synsets").labels is None
+    with pytest.raises(ValueError, match="unknown split"):
+        ST.describe_split(spark, out, "test")
     with pytest.raises(ValueError, match="unknown split"):
         ST.read_image_records(spark, f"{out}/records", "test")
 

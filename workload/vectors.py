@@ -130,6 +130,11 @@ def train_full(spark, sf_dir):
     return rounded_trace(spark, run)
 
 
+def train_all_epochs(spark, sf_dir):
+    """All 40 epochs from zeros."""
+    return rounded_params(spark, T.train_softmax(vectors(spark, sf_dir), CLASSES))
+
+
 def train_saved_trace(spark, sf_dir):
     path = fresh_path(spark, "trace")
     run = T.train_softmax(vectors(spark, sf_dir), CLASSES, epochs=2)
@@ -478,6 +483,7 @@ QUERIES = {
         + PARAMS_SQL.format(n=3),
     ),
     "train_full": (train_full, None),
+    "train_all_epochs": (train_all_epochs, training_sql(40) + PARAMS_SQL.format(n=40)),
     "train_saved_trace": (
         train_saved_trace,
         f"select step, loss from ({trace_sql(2)})",
