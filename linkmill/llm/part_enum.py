@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ from linkmill.plans.lineage import fresh_path, materialize
 #: signatures in a bucket, on average; bounds the memory of a task
 BUCKET = 500_000
 #: signatures gathered in a task before they are sent
-GATHER = 2_000_000
+GATHER = 500_000
 #: rows of one signature in a task from which on most go round its bucket
 COMMON = 16
 #: documents read to find frequent shingles, and how many of those are set aside at most;
@@ -56,12 +57,11 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
 
 
-def _slices(batch: pa.RecordBatch, size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows of about ``size`` bytes of text."""
     column = batch.column(batch.schema.get_field_index("text"))
-    lengths = [len(t) if (t := x.as_buffer()) else 0 for x in column.cast(pa.large_binary())]
     begin, held = 0, 0
-    for i, n in enumerate(lengths):
+    for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
         if held and held + n > size:
             yield batch.slice(begin, i - begin)
             begin, held = i, 0
