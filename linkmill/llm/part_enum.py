@@ -18,9 +18,11 @@ emits the m - ceil(3m/4) + 1 shingles that come first in one global order, rare
 ones first; two similar sets must share one of those.  Both ways are exact.
 
 Sets that share a signature are candidates.  Equal sets are one class.  Each
-signature's smallest class is its pivot and is compared with the others; then,
-within signatures that still span several components, the classes outside the
-largest component are compared with those of other components.  A pair is
+signature's most connected class is its pivot and is compared with the others.
+Where a signature still spans several components, one class of each is compared
+with one of the largest.  Where it spans several after that, all classes outside
+the largest component are compared with those of other components, or block by
+block if the signature is shared by many.  A pair is
 checked by size, by a bitmap whose differing bits bound the distance from
 below, and last by counting the intersection of the sets.
 """
@@ -46,6 +48,9 @@ BUCKET = 500_000
 GATHER = 500_000
 #: rows of one signature in a task from which on most go round its bucket
 COMMON = 16
+#: classes of one signature from which on they are compared in blocks, classes in a block,
+#: and columns of an incidence matrix that are held at once
+MANY, BLOCK, COLUMNS = 48, 96, 16_384
 #: documents read to find frequent shingles, and how many of those are set aside at most;
 #: both change only how many candidates there are, never which links are found
 SAMPLE_DOCS, SAMPLE_SHARE, SAMPLE_TIMES, FREQUENT = 200_000, 1 / 16, 3, 200_000
@@ -271,7 +276,7 @@ _COLUMNS = ["kind", "mark", "doc_id", "n", "key", "bitmap"]
 
 def _mark_rows(marks: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
     empty = {"n": None, "key": None, "bitmap": None}
-    return pd.DataFrame({"kind": "mark", "mark": marks, "doc_id": ids, **empty})
+    return pd.DataFrame({"kind": "mark", "mark": marks, "doc_id": ids, **empty})[_COLUMNS]
 
 
 def _shared(rows: pd.DataFrame) -> pd.DataFrame:
@@ -348,7 +353,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _links(pairs: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of class representatives that are similar."""
     side = lambda c, n, m: known.select(
         F.col("doc_id").alias(c), F.col("n").alias(n), F.col("bitmap").alias(m)
@@ -361,13 +366,6 @@ def _links(pairs: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
         .mapInArrow(_near_enough, "a long, b long")
     )
     near = materialize(near, "near")
-    wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    sets = (
-        docs.join(wanted, "doc_id", "left_semi")
-        .mapInArrow(_packed_sets, "doc_id long, items binary")
-        .dropDuplicates(["doc_id"])
-    )
-    sets = materialize(sets, "sets")
     of = lambda c, s: sets.select(F.col("doc_id").alias(c), F.col("items").alias(s))
     found = (
         near.join(of("a", "x"), "a")
@@ -378,6 +376,76 @@ def _links(pairs: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
     return materialize(found, "links")
 
 
+def _unions(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links within a pair of blocks, by products of slices of their incidence matrices."""
+    low, high = int(rows.low.iloc[0]), int(rows.high.iloc[0])
+    rows = rows.sort_values("rep")
+    a = rows[rows.block == low]
+    b = a if low == high else rows[rows.block == high]
+    if a.empty or b.empty:
+        return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+    sides = []
+    for side in (a, b):
+        sets = [_unpacked(x) for x in side["items"]]
+        sizes = np.array([len(x) for x in sets])
+        sides.append((np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), sizes))
+    (of_a, in_a, size_a), (of_b, in_b, size_b) = sides
+    common = np.intersect1d(in_a, in_b)
+    both = np.zeros((len(a), len(b)), np.float64)
+    for at in range(0, len(common), COLUMNS):
+        names = common[at : at + COLUMNS]
+        matrices = []
+        for of, items, count in ((of_a, in_a, len(a)), (of_b, in_b, len(b))):
+            spot = np.minimum(np.searchsorted(names, items), len(names) - 1)
+            here = names[spot] == items
+            matrix = np.zeros((count, len(names)), np.float32)
+            matrix[of[here], spot[here]] = 1
+            matrices.append(matrix)
+        both += matrices[0] @ matrices[1].T
+    linked = 100 * both >= 75 * (size_a[:, None] + size_b[None, :] - both)
+    x, y = a.rep.to_numpy()[np.nonzero(linked)[0]], b.rep.to_numpy()[np.nonzero(linked)[1]]
+    return pd.DataFrame({"a": np.minimum(x, y)[x != y], "b": np.maximum(x, y)[x != y]})
+
+
+def _block_links(wide: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among the classes of signatures that many classes share, block against block.
+
+    Classes joined by such signatures are dealt into blocks of about BLOCK, and
+    each two blocks are compared in one task, which holds two blocks at most.
+    No pairs are made rows; each set is sent once per block of its own kind.
+    """
+    edges = wide.where("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+    kinds = components(edges.distinct())
+    reps = wide.select("rep").distinct().join(kinds.withColumnRenamed("node", "rep"), "rep")
+    reps = materialize(reps.withColumnRenamed("component", "kind"), "kinds")
+    counts = reps.groupBy("kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = (
+        reps.join(counts, "kind")
+        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("kind", "rep", "block", "items", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    )
+    return materialize(dealt.groupBy("kind", "low", "high").applyInPandas(_unions, "a long, b long"), "links")
+
+
+def _torn(shared: DataFrame, reached: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``shared`` with components, and the signatures with several: ``mark, main`` (their largest)."""
+    spread = shared.join(reached.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep")
+    )
+    spread = materialize(spread, "spread")
+    torn = (
+        spread.groupBy("mark", "component")
+        .agg(F.count(F.lit(1)).alias("reps"))
+        .groupBy("mark")
+        .agg(F.max_by("component", F.struct("reps", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1")
+        .drop("parts")
+    )
+    return spread, torn
+
+
 def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Groups of similar texts: ``doc_id, n_shingles, component_id``.
 
@@ -420,29 +488,45 @@ def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         .distinct()
     )
     shared = materialize(shared, "shared")
-    pivots = (
-        shared.groupBy("mark")
-        .agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("reps"))
-        .where("reps > 1")
-        .drop("reps")
+    groups = (
+        shared.groupBy("mark").agg(F.count(F.lit(1)).alias("reps")).where("reps > 1")
     )
+    shared = materialize(shared.join(groups, "mark"), "shared")
+    sets = materialize(
+        docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        .mapInArrow(_packed_sets, "doc_id long, items binary")
+        .dropDuplicates(["doc_id"]),
+        "sets",
+    )
+    # the class that shares most with others comes first: of edited copies, most likely the original
+    ties = shared.groupBy("rep").agg(F.sum("reps").alias("ties"))
+    shared = materialize(shared.join(ties, "rep").select("mark", "rep", "ties"), "shared")
+    first = F.struct(F.col("ties"), (-F.col("rep")).alias("early"))
+    pivots = shared.groupBy("mark").agg(F.max_by("rep", first).alias("pivot"))
     shared = materialize(shared.join(pivots, "mark"), "shared")
-    stars = shared.where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
-    first = _links(stars.distinct(), known, docs)
-    reached = components(first)
-
-    spread = shared.join(reached.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "mark", "rep", "pivot", F.coalesce("component", "rep").alias("component")
+    stars = shared.where("rep != pivot").select(
+        F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")
     )
-    spread = materialize(spread, "spread")
-    torn = (
-        spread.groupBy("mark", "component")
-        .agg(F.count(F.lit(1)).alias("reps"))
-        .groupBy("mark")
-        .agg(F.max_by("component", F.struct("reps", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1")
+    links = _links(stars.distinct(), known, sets)
+
+    spread, torn = _torn(shared, components(links))
+    # one class of each component against the pivot's component first: this joins most of them
+    heads = spread.groupBy("mark", "component").agg(F.max_by("rep", F.struct("ties", "rep")).alias("rep"))
+    heads = heads.join(torn, "mark")
+    mains = heads.where("component = main").select("mark", F.col("rep").alias("head"))
+    bridges = (
+        heads.where("component != main")
+        .join(mains, "mark")
+        .select(F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b"))
+        .distinct()
     )
+    links = links.union(_links(bridges, known, sets))
+    spread, torn = _torn(shared, components(links))
     torn = spread.where("rep != pivot").join(torn, "mark")
+    wide = torn.groupBy("mark").agg(F.count(F.lit(1)).alias("reps")).where(F.col("reps") > MANY).select("mark")
+    blocks = materialize(torn.join(wide, "mark").select("mark", "rep", "pivot").distinct(), "wide")
+    links = links.union(_block_links(blocks, sets))
+    torn = torn.join(wide, "mark", "left_anti")
     few = torn.where("component != main").select(
         "mark", F.col("rep").alias("one"), F.col("component").alias("its")
     )
@@ -452,8 +536,8 @@ def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         .select(F.least("one", "rep").alias("a"), F.greatest("one", "rep").alias("b"))
         .distinct()
     )
-    second = _links(rest, known, docs)
-    reached = components(first.union(second)).withColumnRenamed("node", "rep")
+    links = links.union(_links(rest, known, sets))
+    reached = components(links).withColumnRenamed("node", "rep")
     return (
         known.select("doc_id", "n")
         .join(members, "doc_id", "left")
