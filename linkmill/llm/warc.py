@@ -36,7 +36,8 @@ _END = b"\r\n"
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path)
+    # Spark also writes file:/folder, which has no host part
+    return fs.FileSystem.from_uri("/" + path[5:].lstrip("/") if path.startswith("file:/") else path)
 
 
 def record_name(page_id: int | None) -> str:
