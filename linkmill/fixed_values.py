@@ -18,9 +18,6 @@ EXPORT_ORDER = ("cca2", "timestamp")
 # --- fixed values: softmax training ---------------------------------------
 FULL_BATCH_RATE = 0.05
 FULL_BATCH_EPOCHS = 40
-SYNC_RATE = 0.5
-SYNC_EPOCHS = 10
-SYNC_REPLICAS = 2
 
 # --- fixed values: momentum settings ((pattern, start, target, stairs, momentum))
 DECAYED_GROUPS = (

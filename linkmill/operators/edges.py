@@ -90,11 +90,7 @@ def adjacency(edges: DataFrame, max_list: int = 100_000) -> DataFrame:
     """
     counted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
     degrees = counted.groupBy("src").agg(F.sum("copies").alias("n_links"))
-    shape = degrees.agg(F.sum("n_links").alias("rows"), F.max("n_links").alias("top")).first()
-    if (shape["top"] or 0) <= max_list:
-        lists = edges.groupBy("src").agg(F.collect_list("dst").alias("dests"))
-        return lists.select("src", F.lit(0).alias(skew.SLICE), "dests")
-
+    shape = degrees.agg(F.sum("n_links").alias("rows")).first()
     # copies of one link in pieces well below a list, dealt out by their hash
     unit = max(max_list // 8, 1)
     last = F.floor((F.col("copies") - 1) / F.lit(unit)).cast("int")
@@ -102,7 +98,7 @@ def adjacency(edges: DataFrame, max_list: int = 100_000) -> DataFrame:
     size = F.least(F.lit(unit), F.col("copies") - F.col("piece") * unit).cast("int")
     heavy = skew.heavy_keys(degrees, "src", "n_links", max_list)
     sliced = skew.add_slice(
-        pieces, "src", heavy, F.xxhash64("dst", "piece"), bounded=shape["rows"] // max_list <= BROADCAST_KEYS
+        pieces, "src", heavy, F.xxhash64("dst", "piece"), bounded=(shape["rows"] or 0) // max_list <= BROADCAST_KEYS
     )
     return sliced.groupBy("src", skew.SLICE).agg(
         F.flatten(F.collect_list(F.array_repeat("dst", size))).alias("dests")

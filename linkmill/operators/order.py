@@ -147,15 +147,15 @@ def assign_shards(
 
 
 def take_batches(
-    df: DataFrame, batch_size: int, *order: str | Column, allow_smaller: bool = False
+    df: DataFrame, batch_size: int, *order: str | Column, drop_short: bool = False
 ) -> DataFrame:
     """Consecutive batches: adds ``row_index`` and ``batch_id``.
 
-    A short last batch is left out unless ``allow_smaller``.
+    A short last batch is kept; ``drop_short`` leaves it out.
     """
     indexed = with_row_index(df, *order)
     batched = indexed.withColumn("batch_id", F.floor(F.col("row_index") / F.lit(batch_size)))
-    if allow_smaller:
+    if not drop_short:
         return batched
     rows = indexed.count()
     return batched.where(F.col("row_index") < rows - rows % batch_size)
@@ -178,6 +178,17 @@ def repeat_epochs(df: DataFrame, epochs: int) -> DataFrame:
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
 
 
+def stream_copies(batch_size: int, rows: int, step: int, index: str = "row_index") -> Column:
+    """How often batch ``step`` of the stream of rows, repeated without end, holds a row.
+
+    Batches run on over the end of an epoch, so no row is left out; a batch
+    larger than the table holds rows several times.
+    """
+    begin = step * batch_size % rows
+    ahead = F.pmod(F.col(index) - F.lit(begin), F.lit(rows))
+    return F.lit(batch_size // rows) + F.when(ahead < batch_size % rows, 1).otherwise(0)
+
+
 def epochs_needed(rows: int, batch_size: int, batch_num: int) -> int:
     """How often ``rows`` rows must be repeated to fill all batches."""
     return -(-batch_num * batch_size // rows)

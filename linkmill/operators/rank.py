@@ -103,9 +103,8 @@ def _shuffle_partitions(spark: SparkSession) -> int:
 
 
 def _fitting_partitions(spark: SparkSession, rows: int) -> int:
-    """The session's shuffle partitions, or fewer for a graph too small to fill them."""
-    enough = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_PARTITION))
-    return min(_shuffle_partitions(spark), enough)
+    """Partitions that rows fill; the number grows with the graph, whatever the session's is."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_PARTITION))
 
 
 def init_ranks(edges: DataFrame, r0: float = RANK_START) -> DataFrame:

@@ -1,12 +1,11 @@
 """Cutting lineage into storage that outlives executors.
 
-The shared folder is the one the cluster names in ``spark.checkpoint.dir``.
-Only a local session that names none gets a folder of its own.
+The shared folder is the one the cluster names in ``spark.checkpoint.dir``, else
+a folder below the session's warehouse, which is shared storage as well.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
         if current is None:
             context.setCheckpointDir(named)
         return named or current
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="linkmill-")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/linkmill-checkpoints"
     context.setCheckpointDir(own)
     return own
 

@@ -22,7 +22,7 @@ from linkmill.functions.layers import softmax_predict
 from linkmill.functions.schedule import exp_decay_at
 from linkmill.operators.gradient import step_sums
 from linkmill.operators.metrics import top1_accuracy
-from linkmill.operators.order import assign_replicas, take_batches
+from linkmill.operators.order import assign_replicas, stream_copies, with_row_index
 
 _TRACE = "step int, loss double, cell_accuracy double, top1_accuracy double"
 _PARAMS = "var string, idx long, value double"
@@ -107,19 +107,19 @@ def train_softmax(
 ) -> Trained:
     """Softmax regression by gradient descent, one Spark job per step.
 
-    Full batch by default.  ``batch`` feeds consecutive mini-batches in turn
-    (``epochs`` then counts batches); ``replicas`` splits the rows into equal
-    parts whose gradients are averaged; both need ``order`` columns that place
-    the rows.  ``decay`` adds the L2 term of the weights to loss and gradient.
+    Full batch by default.  ``batch`` feeds consecutive mini-batches of the rows
+    repeated without end (``epochs`` then counts batches), so a batch may run
+    over into the next epoch and none is short; ``replicas`` splits the rows into
+    equal parts whose gradients are averaged; both need ``order`` columns that
+    place the rows.  ``decay`` adds the L2 term of the weights to loss and gradient.
     """
     if batch and replicas:
         raise ValueError("choose either mini-batches or replicas")
     needed = list(dict.fromkeys([features, label, *(order or [])]))
-    rows, batches = df.select(*needed), 1
+    rows, total = df.select(*needed), 0
     if batch:
-        rows = take_batches(rows, batch, *order)
-        batches = max(rows.count() // batch, 1)
-        rows = rows.withColumn("_part", F.lit(0))
+        rows = with_row_index(rows, *order).withColumn("_part", F.lit(0))
+        total = rows.count()
     elif replicas:
         rows = assign_replicas(rows, replicas, *order).withColumn("_part", F.col("replica_id"))
     else:
@@ -128,8 +128,8 @@ def train_softmax(
     if eval_df is not None:
         held = eval_df.select(features, label, F.lit(-1).alias("_part"))
         if batch:
-            held = held.withColumn("batch_id", F.lit(-1).cast("long"))
-            scored = rows.select(features, label, "_part", "batch_id").unionByName(held)
+            held = held.withColumn("row_index", F.lit(-1).cast("long"))
+            scored = rows.select(features, label, "_part", "row_index").unionByName(held)
         else:
             scored = rows.select(features, label, "_part").unionByName(held)
     scored = scored.persist()
@@ -140,7 +140,10 @@ def train_softmax(
         for step in range(epochs + 1):
             feed = scored
             if batch:
-                feed = scored.where(F.col("batch_id").isin(step % batches, -1))
+                copies = F.when(F.col("_part") < 0, 1).otherwise(stream_copies(batch, total, step))
+                feed = scored.where(copies > 0)
+                if batch > total:
+                    feed = feed.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
             found = step_sums(feed, params.weights, params.biases, features, label, F.col("_part"))
             held_out = found.pop(-1, None)
             mean = _mean_of_parts(found)

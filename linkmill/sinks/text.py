@@ -1,8 +1,8 @@
 """Text and CSV sinks.
 
 All fail when the target exists.  Ordered output is written as part files
-whose name order is the row order; one single file is an explicit choice for
-results of a checked size.
+whose name order is the row order; one single file, through one task, is the
+caller's explicit choice.
 """
 
 from __future__ import annotations
@@ -14,14 +14,6 @@ from linkmill.fixed_values import LABELS_FILE
 from linkmill.functions.text import label_line
 from linkmill.operators.order import stable_order
 
-SINGLE_FILE_ROWS = 50_000_000
-
-
-def _single(df: DataFrame, max_rows: int) -> DataFrame:
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write ordered part files instead")
-    return df.repartition(1)
-
 
 def write_ranks_text(ranks: DataFrame, path: str, as_tuple: bool = False) -> None:
     """``node<TAB>rank`` lines, or one tuple literal per line."""
@@ -32,11 +24,9 @@ def write_ranks_text(ranks: DataFrame, path: str, as_tuple: bool = False) -> Non
     ranks.select(line.alias("value")).write.mode("errorifexists").text(path)
 
 
-def write_ranks_csv(
-    ranks: DataFrame, path: str, single_file: bool = False, max_rows: int = SINGLE_FILE_ROWS
-) -> None:
+def write_ranks_csv(ranks: DataFrame, path: str, single_file: bool = False) -> None:
     """``node,rank`` without header; nothing passes through the driver."""
-    out = _single(ranks, max_rows) if single_file else ranks
+    out = ranks.repartition(1) if single_file else ranks
     out.write.mode("errorifexists").csv(path)
 
 
@@ -45,15 +35,14 @@ def write_export(
     path: str,
     *order: str | Column,
     single_file: bool = False,
-    max_rows: int = SINGLE_FILE_ROWS,
 ) -> None:
     """CSV without header in the given order.
 
     Part files are range-partitioned: read in name order they are the sorted
-    table.  ``single_file`` gives one part, for at most ``max_rows`` rows.
+    table.  ``single_file`` gives one part, sorted by one task.
     """
     if single_file:
-        out = _single(df, max_rows).sortWithinPartitions(*order)
+        out = df.repartition(1).sortWithinPartitions(*order)
     else:
         out = stable_order(df, *order)
     out.write.mode("errorifexists").csv(path)

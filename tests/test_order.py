@@ -85,11 +85,21 @@ def test_shards_are_contiguous_and_may_end_empty(spark, n, n_val, shards):
     assert got == want
 
 
+@pytest.mark.parametrize("size", [4, 5, 10, 23])
+def test_stream_of_batches_holds_every_row(spark, size):
+    rows = spark.range(10).withColumnRenamed("id", "row_index")
+    stream = [i % 10 for i in range(size * 7)]
+    for step in range(7):
+        copies = {r["row_index"]: r["n"] for r in rows.withColumn("n", O.stream_copies(size, 10, step)).collect()}
+        want = stream[step * size : (step + 1) * size]
+        assert copies == {i: want.count(i) for i in range(10)}
+
+
 def test_batches_and_replicas(spark):
     rows = spark.range(23).withColumnRenamed("id", "v")
     full = O.take_batches(rows, 5, "v").collect()
-    assert sorted((r["v"], r["batch_id"]) for r in full) == [(i, i // 5) for i in range(20)]
-    assert O.take_batches(rows, 5, "v", allow_smaller=True).count() == 23
+    assert sorted((r["v"], r["batch_id"]) for r in full) == [(i, i // 5) for i in range(23)]
+    assert O.take_batches(rows, 5, "v", drop_short=True).count() == 20
     with pytest.raises(ValueError, match="equal parts"):
         O.assign_replicas(rows, 4, "v")
     parts = O.assign_replicas(rows.where("v < 20"), 4, "v").collect()

@@ -49,11 +49,6 @@ def test_typed_order_and_view(spark, source):
     assert [r["v"] for r in seen.collect()] == ["c", "d", "e", "b", "a"]
 
 
-def test_single_file_is_refused_beyond_its_bound(spark, source, tmp_path):
-    with pytest.raises(ValueError, match="ordered part files"):
-        K.write_export(read_export(spark, source), str(tmp_path / "x"), "v", single_file=True, max_rows=4)
-
-
 def test_rank_sinks(spark, tmp_path):
     ranks = spark.createDataFrame([("a", 0.15), ("b", 1.5)], "node string, rank double")
     K.write_ranks_text(ranks, str(tmp_path / "t"))
@@ -91,9 +86,10 @@ class FakeContext:
 
 
 class FakeSession:
-    def __init__(self, master, named=None, current=None):
+    def __init__(self, master, named=None, current=None, warehouse=None):
         self.sparkContext = FakeContext(master, current)
         self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.conf["spark.sql.warehouse.dir"] = warehouse
 
 
 def test_shared_folder_comes_from_the_session():
@@ -101,6 +97,5 @@ def test_shared_folder_comes_from_the_session():
     assert lineage.shared_folder(session) == "hdfs:///ck"
     assert session.sparkContext.current == "hdfs:///ck"
     assert lineage.shared_folder(FakeSession("yarn", current="s3://b/ck")) == "s3://b/ck"
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        lineage.shared_folder(FakeSession("yarn"))
-    assert "linkmill-" in lineage.shared_folder(FakeSession("local[2]"))
+    own = lineage.shared_folder(FakeSession("yarn", warehouse="hdfs:///wh/"))
+    assert own == "hdfs:///wh/linkmill-checkpoints"

@@ -74,10 +74,18 @@ def test_loss_never_rises_at_a_small_rate(data):
 
 def test_mini_batches_in_turn(data):
     run = T.train_softmax(data, K, epochs=5, lr=0.3, batch=20, order=["id"])
-    w, b, _, _ = descend(5, 0.3, lambda t: slice(20 * (t % 2), 20 * (t % 2) + 20))
+    w, b, _, _ = descend(5, 0.3, lambda t: (20 * t + np.arange(20)) % N)
     assert np.allclose(run.params.weights, w) and np.allclose(run.params.biases, b)
 
 
+def test_batch_larger_than_the_table(data):
+    """Three times all rows in one batch is the full batch."""
+    rows = data.count()
+    run = T.train_softmax(data, K, epochs=2, lr=0.3, batch=3 * rows, order=["id"])
+    full = T.train_softmax(data, K, epochs=2, lr=0.3)
+    np.testing.assert_allclose(run.params.weights, full.params.weights, atol=1e-12)
+
+
 def test_replicas_equal_full_batch(data):
     run = T.train_softmax(data, K, epochs=3, lr=0.5, replicas=4, order=["id"])
     assert np.allclose(run.params.weights, descend(3, 0.5)[0])

@@ -313,7 +313,7 @@ def ranks_tuple_text(spark, sf_dir):
 
 def ranks_csv(spark, sf_dir):
     path = fresh_path(spark, "ranks")
-    write_ranks_csv(first_ranks(spark, sf_dir), path, single_file=True)
+    write_ranks_csv(first_ranks(spark, sf_dir), path)
     return rounded(spark.read.csv(path, schema="node string, rank double"))
 
 

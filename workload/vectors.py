@@ -120,7 +120,7 @@ def train_l2(spark, sf_dir):
 
 
 def train_batches(spark, sf_dir):
-    run = T.train_softmax(vectors(spark, sf_dir), CLASSES, epochs=3, batch=100, order=["vec_id"])
+    run = T.train_softmax(vectors(spark, sf_dir), CLASSES, epochs=5, batch=128, order=["vec_id"])
     return rounded_params(spark, run)
 
 
@@ -223,7 +223,7 @@ def lr_schedule(spark, sf_dir):
     """One step per batch of 128 line items."""
     items = table(spark, sf_dir, "lineitem", *ITEM_ORDER)
     steps = take_batches(items, 128, *ITEM_ORDER).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    total = F.lit(items.count() // 128).cast("double")
+    total = F.lit(-(-items.count() // 128)).cast("double")
     rates = [
         F.round(exp_decay(F.col("batch_id"), start, target, stairs, total), 10).alias(f"lr_{name}")
         for name, start, target, stairs, _ in DECAYED_GROUPS
@@ -479,8 +479,12 @@ QUERIES = {
     "train_l2": (train_l2, training_sql(3, decay="0.0005") + PARAMS_SQL.format(n=3)),
     "train_batches": (
         train_batches,
-        training_sql(3, part="place // 100 = {t} % ((select count(*) from embeddings) // 100)")
-        + PARAMS_SQL.format(n=3),
+        training_sql(
+            5,
+            part="(place - 128 * {t} % (select count(*) from embeddings) + (select count(*) from embeddings))"
+            " % (select count(*) from embeddings) < 128",
+        )
+        + PARAMS_SQL.format(n=5),
     ),
     "train_full": (train_full, None),
     "train_all_epochs": (train_all_epochs, training_sql(40) + PARAMS_SQL.format(n=40)),
@@ -515,8 +519,8 @@ QUERIES = {
     ),
     "lr_schedule": (
         lr_schedule,
-        """with total as (select count(*) // 128 as n from lineitem)
-        select step, 128 as n_rows,
+        """with total as (select count(*) as c, ceil(count(*) / 128)::bigint as n from lineitem)
+        select step, least(128, c - 128 * step) as n_rows,
           round(0.001 * pow(pow(1.0::double / 250, 1.0::double / 3), floor(step / (n / 3.0::double))), 10) as lr_weights,
           round(0.002 * pow(0.1::double, floor(step / n::double)), 10) as lr_biases
         from total, range(n) t(step)""",
@@ -536,8 +540,7 @@ QUERIES = {
         mini_batches,
         """select place // 64 as batch_id, count(*) as n, min(vec_id) as first_id, max(vec_id) as last_id,
           sum(label) as label_sum
-        from (select vec_id, label, row_number() over (order by vec_id) - 1 as place from embeddings)
-        where place < (select count(*) // 64 * 64 from embeddings) group by 1""",
+        from (select vec_id, label, row_number() over (order by vec_id) - 1 as place from embeddings) group by 1""",
     ),
     "repeat_epochs": (
         repeat_epochs_query,
