@@ -25,7 +25,7 @@ WEIGHTS = (5, 2, 1)
 #: a source is sent this often at most
 COPIES = 3
 #: documents in a cell, on average
-CELL = 4_000
+CELL = 1_000
 #: sources up to which their table is sent to every executor
 SMALL = 100_000
 
