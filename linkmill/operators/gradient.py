@@ -17,7 +17,7 @@ from linkmill.functions.layers import matrix
 
 _ROWS, _LOSS, _CELLS, _TOP1 = range(4)
 _STATS = 4
-_PARTIAL = "part int, idx long, s double"
+_PARTIAL = "part int, s array<double>"
 
 
 def _partial_sums(shared, width: int, classes: int):
@@ -50,12 +50,7 @@ def _partial_sums(shared, width: int, classes: int):
                 sums[int(part)] = sums[int(part)] + new if int(part) in sums else new
         for part, values in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(values), part, dtype=np.int32)),
-                    pa.array(np.arange(len(values), dtype=np.int64) - _STATS),
-                    pa.array(values),
-                ],
-                names=["part", "idx", "s"],
+                [pa.array([part], pa.int32()), pa.array([values], pa.list_(pa.float64()))], names=["part", "s"]
             )
 
     return run
@@ -65,25 +60,42 @@ def _share(df: DataFrame, weights: np.ndarray, bias: np.ndarray):
     return df.sparkSession.sparkContext.broadcast((weights, np.asarray(bias).reshape(-1)))
 
 
-def _sums(df: DataFrame, shared, shape: tuple, features: str, label: str, part: Column) -> DataFrame:
-    """``(part, idx, s)`` summed over all rows; idx < 0 holds the statistics."""
+def task_sums(df: DataFrame, shared, shape: tuple, features: str, label: str, part: Column) -> DataFrame:
+    """``(part, s)``: one row per task and part, statistics first, then weights and biases."""
     width, classes = shape
     narrow = df.select(features, F.col(label).cast("int"), part.cast("int"))
-    partial = narrow.mapInArrow(_partial_sums(shared, width, classes), _PARTIAL)
-    return partial.groupBy("part", "idx").agg(F.sum("s").alias("s"))
+    return narrow.mapInArrow(_partial_sums(shared, width, classes), _PARTIAL)
+
+
+def _added(arrays: Column) -> Column:
+    """Element-wise sum of equally long arrays."""
+    zeros = F.array_repeat(F.lit(0.0), F.size(F.get(arrays, F.lit(0))))
+    return F.aggregate(arrays, zeros, lambda total, one: F.zip_with(total, one, lambda x, y: x + y))
+
+
+def _sums(df: DataFrame, shared, shape: tuple, features: str, label: str, part: Column) -> DataFrame:
+    """``(part, s)`` summed over all tasks, in two levels.
+
+    As many groups as the session has shuffle partitions add up the tasks first,
+    so that no task holds more than its share of the tasks' arrays.
+    """
+    groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = F.pmod(F.spark_partition_id(), F.lit(groups)).alias("_group")
+    partial = task_sums(df, shared, shape, features, label, part).select("part", "s", group)
+    grouped = partial.groupBy("part", "_group").agg(_added(F.collect_list("s")).alias("s"))
+    return grouped.groupBy("part").agg(_added(F.collect_list("s")).alias("s"))
 
 
 def _means(sums: DataFrame, size: int, classes: int) -> DataFrame:
     """Sums divided by the rows of their part, as ``(part, var, idx, g)``."""
-    rows = sums.where(F.col("idx") == _ROWS - _STATS).select("part", F.col("s").alias("_rows"))
     n_weights = size * classes
-    var = F.when(F.col("idx") < n_weights, F.lit("weights")).otherwise(F.lit("biases"))
-    at = F.when(F.col("idx") < n_weights, F.col("idx")).otherwise(F.col("idx") - n_weights)
-    return (
-        sums.where(F.col("idx") >= 0)
-        .join(F.broadcast(rows), "part")  # one row per replica
-        .select("part", var.alias("var"), at.alias("idx"), (F.col("s") / F.col("_rows")).alias("g"))
+    cells = sums.select(
+        "part", F.get("s", F.lit(_ROWS)).alias("_rows"), F.posexplode(F.slice("s", _STATS + 1, n_weights + classes))
     )
+    place = F.col("pos").cast("long")
+    var = F.when(place < n_weights, F.lit("weights")).otherwise(F.lit("biases"))
+    at = F.when(place < n_weights, place).otherwise(place - n_weights)
+    return cells.select("part", var.alias("var"), at.alias("idx"), (F.col("col") / F.col("_rows")).alias("g"))
 
 
 def softmax_gradient(
@@ -112,18 +124,12 @@ def step_sums(
     What reaches the driver is one number per parameter and part.
     """
     width, classes = weights.shape
-    size = width * classes + classes + _STATS
     shared = _share(df, weights, bias)
     table = _sums(df, shared, weights.shape, features, label, part).toArrow()
     shared.destroy()
-    parts, idx, sums = (table.column(c).to_numpy() for c in ("part", "idx", "s"))
-    found: dict[int, np.ndarray] = {}
-    for number in np.unique(parts):
-        mine = parts == number
-        values = found[int(number)] = np.zeros(size)
-        values[idx[mine] + _STATS] = sums[mine]
     out = {}
-    for number, values in found.items():
+    for number, sums in zip(table.column("part").to_pylist(), table.column("s").to_pylist(), strict=True):
+        values = np.array(sums)
         rows = values[_ROWS]
         out[number] = {
             "rows": int(rows),

@@ -178,15 +178,15 @@ def repeat_epochs(df: DataFrame, epochs: int) -> DataFrame:
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
 
 
-def stream_copies(batch_size: int, rows: int, step: int, index: str = "row_index") -> Column:
-    """How often batch ``step`` of the stream of rows, repeated without end, holds a row.
+def stream_places(batch_size: int, rows: int, step: int, index: str = "row_index") -> Column:
+    """Places (from 0) of a row in batch ``step`` of the stream of rows, repeated without end.
 
     Batches run on over the end of an epoch, so no row is left out; a batch
     larger than the table holds rows several times.
     """
-    begin = step * batch_size % rows
-    ahead = F.pmod(F.col(index) - F.lit(begin), F.lit(rows))
-    return F.lit(batch_size // rows) + F.when(ahead < batch_size % rows, 1).otherwise(0)
+    first = F.pmod(F.col(index) - F.lit(step * batch_size % rows), F.lit(rows)).cast("long")
+    places = F.sequence(first, F.greatest(first, F.lit(batch_size - 1).cast("long")), F.lit(rows).cast("long"))
+    return F.filter(places, lambda place: place < batch_size)
 
 
 def epochs_needed(rows: int, batch_size: int, batch_num: int) -> int:

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.fixed_values import NUM_SHARDS, NUM_VALIDATION, SPLIT_SEED
+from linkmill.functions.text import base_name
 from linkmill.operators.classes import attach_class_id, class_index
 from linkmill.operators.order import assign_shards, seeded_split
 from linkmill.sinks.shards import write_shards
 from linkmill.sinks.text import write_label_map
-from linkmill.sources.images import image_dims, list_image_files
+from linkmill.sources.images import image_dims, list_image_files, read_images
 from linkmill.sources.labels import has_labels, read_label_map
 
 
@@ -22,35 +23,47 @@ def prepare_image_dataset(
     shards: int = NUM_SHARDS,
     seed: int = SPLIT_SEED,
     image_format: str = "jpg",
+    pixels: bool = False,
 ) -> DataFrame:
     """Convert ``root/<class>/<file>`` into shards below ``out/records``.
 
-    Split and shards are worked out from the file names alone; the encoded
-    bytes are read once and shuffled once.  A finished dataset is left as it
-    is.  Returns the label dictionary.
+    Split and shards are worked out from ``file`` (``<class>/<file>``) alone, so
+    they do not depend on where the folder lies; the encoded bytes are read once
+    and shuffled once.  With ``pixels`` the decoded RGB pixels are stored as well,
+    joined by ``file``, so that a split can go straight into ``image_features``.
+    A finished dataset is left as it is.  Returns the label dictionary.
     """
     if has_labels(spark, out, "records/_SUCCESS") and has_labels(spark, out):
         return read_label_map(spark, f"{out}/labels.txt")
-    files = list_image_files(spark, root, content=True)
+    named = F.concat_ws("/", "class", base_name(F.col("path"))).alias("file")
+    files = list_image_files(spark, root, content=True).select("*", named)
     classes = class_index(files).persist()
-    split = seeded_split(files, "path", n_validation, seed)
-    placed = assign_shards(split, "path", shards, seed=seed)
-    labelled = attach_class_id(placed, classes).withColumn("_dims", image_dims(F.col("encoded")))
+    split = seeded_split(files, "file", n_validation, seed)
+    placed = assign_shards(split, "file", shards, seed=seed)
+    labelled = attach_class_id(placed, classes)
+    if pixels:
+        decoded = read_images(spark, root).select(named, "height", "width", "pixels")
+        sized = labelled.join(decoded, "file")
+    else:
+        sized = labelled.withColumn("_dims", image_dims(F.col("encoded"))).select("*", "_dims.height", "_dims.width")
     write_shards(
-        labelled.select(
+        sized.select(
             "path",
+            "file",
             "split",
             "shard",
             "encoded",
             F.lit(image_format).alias("format"),
-            F.col("_dims.height").alias("height"),
-            F.col("_dims.width").alias("width"),
+            "height",
+            "width",
             F.col("label").cast("long").alias("label"),
+            *(["pixels"] if pixels else []),
         ),
         f"{out}/records",
-        "path",
+        "file",
         shards,
         seed,
     )
     write_label_map(classes, out)
-    return classes
+    classes.unpersist()
+    return read_label_map(spark, f"{out}/labels.txt")

@@ -15,11 +15,12 @@ from linkmill.sources.tables import read_export
 def sort_export(df: DataFrame, by: tuple[str, ...] = EXPORT_ORDER, as_text: bool = True) -> DataFrame:
     """All columns in total order of the text columns ``by``, nulls first.
 
-    With ``as_text=False`` the last column is compared as a number.
+    With ``as_text=False`` the last column is compared as a number;
+    what is no number counts as null.
     """
     if as_text:
         return stable_order(df, *by)
-    return stable_order(df, *by[:-1], F.col(by[-1]).cast("double"))
+    return stable_order(df, *by[:-1], F.col(by[-1]).try_cast("double"))
 
 
 def export_view(df: DataFrame, by: tuple[str, ...] = EXPORT_ORDER) -> DataFrame:

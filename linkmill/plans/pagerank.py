@@ -3,13 +3,16 @@
 Plan per round: the cached link table is already partitioned and sorted by
 source, and the ranks leave the previous aggregate partitioned by node, so the
 join adds no exchange; the aggregate by target is the only shuffle, after a
-map-side combine.  (When heavy sources are sliced, or when ``num_partitions``
-differs from the session's shuffle partitions, the ranks - one row per node -
-are shuffled once more.)
+map-side combine.  The rounds are planned for the number of partitions that the
+links have, whatever the session's is.  (When heavy sources are sliced, the
+ranks - one row per node - are shuffled once more.)
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,11 +66,24 @@ def pagerank(
     if normalise and links.n_sources:
         base, factor = NORMALISED_TELEPORT / links.n_sources, 1 - NORMALISED_TELEPORT
     try:
-        return _rounds(links, iterations, base, factor, r0, checkpoint_every)
+        with _planned_for(links, edges.sparkSession):
+            return _rounds(links, iterations, base, factor, r0, checkpoint_every)
     finally:
         links.release()
 
 
+@contextmanager
+def _planned_for(links: Links, spark: SparkSession) -> Iterator[None]:
+    """Aggregate into the partitions of the links meanwhile, so that ranks move once a round."""
+    name = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(links.partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def _rounds(
     links: Links, iterations: int, base: float, factor: float, r0: float, checkpoint_every: int
 ) -> DataFrame:
@@ -104,15 +120,21 @@ def partitioned_pagerank(
     return wiki_pagerank(lines, num_partitions=num_partitions, **options)
 
 
-def partition_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Used partitions, rows and largest partition, before and after placing."""
+def partition_report(before: DataFrame, partitions: int, links: Links) -> DataFrame:
+    """Partitions, those in use, rows and largest partition, before and after placing.
+
+    ``before`` lies in ``partitions`` partitions; empty ones count.
+    """
 
-    def report(stage: str, df: DataFrame) -> DataFrame:
-        per_part = df.groupBy(F.spark_partition_id().alias("part")).count()
-        return per_part.agg(
+    def report(stage: str, df: DataFrame, declared: int) -> DataFrame:
+        filled = df.groupBy(F.spark_partition_id().cast("long").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+        every = df.sparkSession.range(declared).join(filled, "id", "left")
+        return every.agg(
             F.count(F.lit(1)).alias("partitions"),
-            F.sum("count").alias("n_rows"),
-            F.max("count").alias("largest"),
-        ).select(F.lit(stage).alias("stage"), "partitions", "n_rows", "largest")
+            F.count("n").alias("used"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("largest"),
+        ).select(F.lit(stage).alias("stage"), "partitions", "used", "n_rows", "largest")
 
-    return report("before", before).unionByName(report("after", after))
+    placed = report("after", links.rows, links.partitions)
+    return report("before", before, partitions).unionByName(placed)

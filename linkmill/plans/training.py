@@ -6,6 +6,8 @@ receives one number per parameter.
 
 from __future__ import annotations
 
+import re
+import time
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 
 from linkmill.fixed_values import (
     DECAYED_GROUPS,
+    DEFAULT_MOMENTUM,
+    DEFAULT_RATE,
     FULL_BATCH_EPOCHS,
     FULL_BATCH_RATE,
     SAVE_EVERY,
@@ -22,9 +26,9 @@ from linkmill.functions.layers import softmax_predict
 from linkmill.functions.schedule import exp_decay_at
 from linkmill.operators.gradient import step_sums
 from linkmill.operators.metrics import top1_accuracy
-from linkmill.operators.order import assign_replicas, stream_copies, with_row_index
+from linkmill.operators.order import assign_replicas, stream_places, with_row_index
 
-_TRACE = "step int, loss double, cell_accuracy double, top1_accuracy double"
+_TRACE = "step int, loss double, cell_accuracy double, top1_accuracy double, rows long, seconds double"
 _PARAMS = "var string, idx long, value double"
 
 
@@ -59,7 +63,10 @@ class Trained:
     trace: list[tuple] = field(default_factory=list)
 
     def trace_table(self, spark: SparkSession) -> DataFrame:
-        """Step 0 is the start; step t has the loss before and the accuracies after update t."""
+        """Step 0 is the start; step t has the loss before and the accuracies after update t.
+
+        ``rows`` and ``seconds`` are those of the step's own pass.
+        """
         return spark.createDataFrame(self.trace, _TRACE)
 
 
@@ -71,6 +78,13 @@ class Momentum:
     groups: tuple = DECAYED_GROUPS
     nesterov: bool = False
 
+    def setting(self, name: str, step: int) -> tuple[float, float]:
+        """Rate and momentum of a variable: exact name, else first matching pattern, else default."""
+        exact = [g for g in self.groups if g[0] == name]
+        for _, start, target, stairs, momentum in exact + [g for g in self.groups if re.search(g[0], name)]:
+            return exp_decay_at(step, start, target, stairs, self.total_steps), momentum
+        return DEFAULT_RATE, DEFAULT_MOMENTUM
+
 
 def _update(params: Params, state: dict, grads: dict, step: int, lr: float, rule: Momentum | None):
     new = {}
@@ -79,8 +93,7 @@ def _update(params: Params, state: dict, grads: dict, step: int, lr: float, rule
         if rule is None:
             new[name] = value - lr * g
             continue
-        _, start, target, stairs, mom = next(r for r in rule.groups if r[0] == name)
-        rate = exp_decay_at(step, start, target, stairs, rule.total_steps)
+        rate, mom = rule.setting(name, step)
         state[name] = mom * state.get(name, 0.0) + g
         push = g + mom * state[name] if rule.nesterov else state[name]
         new[name] = value - rate * push
@@ -104,17 +117,18 @@ def train_softmax(
     decay: float | None = None,
     save_to: str | None = None,
     save_every: int = SAVE_EVERY,
+    start: Params | None = None,
 ) -> Trained:
     """Softmax regression by gradient descent, one Spark job per step.
 
     Full batch by default.  ``batch`` feeds consecutive mini-batches of the rows
     repeated without end (``epochs`` then counts batches), so a batch may run
     over into the next epoch and none is short; ``replicas`` splits the rows into
-    equal parts whose gradients are averaged; both need ``order`` columns that
-    place the rows.  ``decay`` adds the L2 term of the weights to loss and gradient.
+    equal parts whose gradients are averaged, with ``batch`` each batch into
+    stretches whose gradients are averaged by their rows; both need ``order``
+    columns that place the rows.  ``decay`` adds the L2 term of the weights to
+    loss and gradient.  ``start`` gives the first parameters instead of ``init``.
     """
-    if batch and replicas:
-        raise ValueError("choose either mini-batches or replicas")
     needed = list(dict.fromkeys([features, label, *(order or [])]))
     rows, total = df.select(*needed), 0
     if batch:
@@ -134,41 +148,46 @@ def train_softmax(
             scored = rows.select(features, label, "_part").unionByName(held)
     scored = scored.persist()
     try:
-        width = len(df.select(features).first()[0])
-        params, state = Params.start(width, classes, init, seed), {}
+        params, state = start, {}
+        if params is None:
+            params = Params.start(len(df.select(features).first()[0]), classes, init, seed)
         trace, losses = [], []
         for step in range(epochs + 1):
-            feed = scored
+            feed, part, began = scored, F.col("_part"), time.monotonic()
             if batch:
-                copies = F.when(F.col("_part") < 0, 1).otherwise(stream_copies(batch, total, step))
-                feed = scored.where(copies > 0)
-                if batch > total:
-                    feed = feed.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-            found = step_sums(feed, params.weights, params.biases, features, label, F.col("_part"))
+                held_row = F.col("_part") < 0
+                places = F.when(held_row, F.array(F.lit(0).cast("long"))).otherwise(
+                    stream_places(batch, total, step)
+                )
+                feed = scored.withColumn("_place", F.explode(places))
+                stretch = F.floor(F.col("_place") * (replicas or 1) / batch).cast("int")
+                part = F.when(held_row, F.col("_part")).otherwise(stretch)
+            found = step_sums(feed, params.weights, params.biases, features, label, part)
             held_out = found.pop(-1, None)
+            fed = sum(p["rows"] for p in found.values())
             mean = _mean_of_parts(found)
             if decay:
                 mean["loss"] += decay * float((params.weights**2).sum()) / 2
                 mean["weights"] = mean["weights"] + decay * params.weights
             losses.append(mean["loss"])
             score = held_out or mean
-            trace.append(
-                (step, losses[max(step - 1, 0)], score["cell_accuracy"], score["top1_accuracy"])
-            )
+            reached = (losses[max(step - 1, 0)], score["cell_accuracy"], score["top1_accuracy"])
+            trace.append((step, *map(float, reached), fed, time.monotonic() - began))
             if step < epochs:
                 params = _update(params, state, mean, step, lr, momentum)
                 if save_to and (step % save_every == 0 or step + 1 == epochs):
                     save_params(df.sparkSession, params, save_to, step)
     finally:
         scored.unpersist()
-    return Trained(params, [(s, float(a), float(b), float(c)) for s, a, b, c in trace])
+    return Trained(params, trace)
 
 
 def _mean_of_parts(found: dict[int, dict]) -> dict:
-    """Mean over replicas; with one part, that part."""
+    """Mean over replicas by their rows; with one part, that part."""
     parts = list(found.values())
+    rows = sum(p["rows"] for p in parts)
     keys = ("loss", "cell_accuracy", "top1_accuracy", "weights", "biases")
-    return {k: sum(p[k] for p in parts) / len(parts) for k in keys}
+    return {k: sum(p[k] * (p["rows"] / rows) for p in parts) for k in keys}
 
 
 def save_params(spark: SparkSession, params: Params, path: str, step: int) -> None:

@@ -9,7 +9,6 @@ from linkmill.fixed_values import LABELS_FILE, SYNSET_COUNT, SYNSET_NAME_COUNT
 from linkmill.functions.text import after_first, before_first
 from linkmill.operators.classes import label_names
 from linkmill.operators.order import with_row_index
-from linkmill.sources.text import first_lines
 
 
 def parse_label_lines(lines: DataFrame) -> DataFrame:
@@ -67,9 +66,16 @@ def read_synset_names(
     n_synsets: int | None = SYNSET_COUNT,
     n_names: int | None = SYNSET_NAME_COUNT,
 ) -> DataFrame:
-    """Label dictionary of an ordered id list and an id-to-name table."""
-    listed = _checked(spark.read.text(synsets), n_synsets, "synset list")
-    listed = first_lines(spark, synsets, n_synsets) if n_synsets else listed
-    ids = number_synsets(listed.withColumn("_line", F.monotonically_increasing_id()), "_line")
+    """Label dictionary of an ordered id list and an id-to-name table.
+
+    The list's files count in name order, their lines in file order.
+    """
+    listed = _checked(spark.read.text(synsets), n_synsets, "synset list").select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    ids = number_synsets(listed, "_file", "_block", "_line")
     named = _checked(spark.read.text(names), n_names, "synset names")
     return label_names(ids, parse_synset_names(named))

@@ -167,6 +167,20 @@ def test_raw_skips_comments_and_folds_nothing(lines_of):
 
 def test_partition_report(edges_of):
     edges = edges_of(random_graph(3))
-    rows = P.partition_report(edges.repartition(3), edges.repartition(12, "src")).collect()
-    assert [(r["stage"], r["n_rows"]) for r in rows] == [("before", 300), ("after", 300)]
-    assert rows[0]["partitions"] == 3 and 1 < rows[1]["partitions"] <= 12
+    links = R.link_table(edges, num_partitions=500)
+    rows = P.partition_report(edges.repartition(3), 3, links).collect()
+    assert [(r["stage"], r["n_rows"]) for r in rows] == [("before", 300), ("after", edges.distinct().count())]
+    assert [r["partitions"] for r in rows] == [3, 500] and 1 < rows[1]["used"] < 500
+    links.release()
+
+
+def test_one_exchange_a_round_for_any_partitions(spark, edges_of):
+    links = R.link_table(edges_of(random_graph(2)), num_partitions=12)
+    ranks = P.checkpoint(R.init_ranks(links.rows))
+    with P._planned_for(links, spark):
+        once = R.damp(R.sum_contributions(R.contributions(R.join_ranks(links, ranks))))
+        twice = R.damp(R.sum_contributions(R.contributions(R.join_ranks(links, once))))
+        first, second = (d._jdf.queryExecution().executedPlan().toString() for d in (once, twice))
+    assert second.count("Exchange hashpartitioning") - first.count("Exchange hashpartitioning") == 1
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    links.release()

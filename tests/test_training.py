@@ -91,8 +91,35 @@ def test_replicas_equal_full_batch(data):
     assert np.allclose(run.params.weights, descend(3, 0.5)[0])
     with pytest.raises(ValueError, match="equal parts"):
         T.train_softmax(data, K, epochs=1, replicas=5, order=["id"])
-    with pytest.raises(ValueError, match="either"):
-        T.train_softmax(data, K, replicas=2, batch=2, order=["id"])
+
+
+@pytest.mark.parametrize("batch,replicas", [(20, 3), (32, 4), (100, 7)])
+def test_replicas_within_batches(data, batch, replicas):
+    """Stretches of unequal size, batches over the end of an epoch and larger than the table."""
+    run = T.train_softmax(data, K, epochs=4, lr=0.3, batch=batch, replicas=replicas, order=["id"])
+    w, b, _, _ = descend(4, 0.3, lambda t: (batch * t + np.arange(batch)) % N)
+    assert np.allclose(run.params.weights, w) and np.allclose(run.params.biases, b)
+
+
+def test_given_start_and_trace_of_speed(data):
+    first = T.Params(RND.normal(size=(D, K)), RND.normal(size=K))
+    run = T.train_softmax(data, K, epochs=1, start=first)
+    assert run.trace[0][1] == pytest.approx(grad(first.weights, first.biases)[0])
+    assert [row[4] for row in run.trace] == [N, N] and all(row[5] > 0 for row in run.trace)
+
+
+def test_a_task_sends_one_row_per_part(spark, data):
+    shared = spark.sparkContext.broadcast((np.zeros((D, K)), np.zeros(K)))
+    part = F.col("id") % 2
+    rows = G.task_sums(data, shared, (D, K), "features", "label", part).collect()
+    assert len(rows) == 4 * 2 and {len(r["s"]) for r in rows} == {4 + D * K + K}
+
+
+def test_settings_by_name_pattern_and_default():
+    rule = T.Momentum(4, groups=(("fc", 0.5, 1.0, 2, 0.7), ("fc9", 0.1, 1.0, 2, 0.8)))
+    assert rule.setting("fc9", 0) == pytest.approx((0.1, 0.8))
+    assert rule.setting("fc8/weights", 0) == pytest.approx((0.5, 0.7))
+    assert rule.setting("other", 0) == (T.DEFAULT_RATE, T.DEFAULT_MOMENTUM)
 
 
 @pytest.mark.parametrize("batch", [None, 24])

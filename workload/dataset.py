@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame
@@ -17,10 +18,11 @@ from linkmill.operators.order import assign_shards, seeded_split
 from linkmill.operators.records import check_split, with_defaults, zip_boxes
 from linkmill.plans.dataset_job import prepare_image_dataset
 from linkmill.plans.lineage import fresh_path
+from linkmill.plans.training import Params, evaluate, save_params
 from linkmill.sinks.shards import SHARD_FILE, write_shards
 from linkmill.sinks.text import write_label_map
 from linkmill.sources.images import image_dims, list_image_files, read_images
-from linkmill.sources.labels import number_synsets, parse_synset_names, read_label_map
+from linkmill.sources.labels import read_label_map, read_synset_names
 from linkmill.sources.tables import read_image_records
 from workload.graph import table
 
@@ -90,11 +92,14 @@ def background_labels(spark, sf_dir):
 
 
 def synset_names(spark, sf_dir):
+    """Both files written from the suppliers, the list in order over several parts, and read back."""
     supplier = table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
     code = F.format_string("n%08d", "s_suppkey")
-    ids = number_synsets(supplier.select(F.concat(code, F.lit(" ")).alias("value")), "value")
-    lines = supplier.select(F.concat(code, F.lit("\t"), "s_name").alias("value"))
-    return C.label_names(ids, parse_synset_names(lines))
+    listed, named = fresh_path(spark, "synsets"), fresh_path(spark, "names")
+    supplier.select(F.concat(code, F.lit(" ")).alias("value")).orderBy("value").write.text(listed)
+    supplier.select(F.concat(code, F.lit("\t"), "s_name").alias("value")).write.text(named)
+    rows = supplier.count()
+    return read_synset_names(spark, listed, named, rows, rows)
 
 
 # --- records ------------------------------------------------------------------------------------
@@ -226,17 +231,39 @@ def image_dataset(spark, sf_dir):
     out = fresh_path(spark, "dataset")
     prepare_image_dataset(spark, image_folder(spark, sf_dir), out, n_validation=100, image_format="png")
     again = prepare_image_dataset(spark, "/nowhere", out)  # finished: nothing is read again
+    both = both_splits(spark, out).join(again, "label")
+    return both.select("file", "split", F.col(SHARD_FILE), "label", "name", "format", "height", "width")
+
+
+def both_splits(spark, out) -> DataFrame:
     records = [
         read_image_records(spark, f"{out}/records", split).withColumn("split", F.lit(split))
         for split in ("train", "validation")
     ]
-    both = records[0].unionByName(records[1]).join(again, "label")
-    return both.groupBy("split", "name", "format").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("height").alias("height_sum"), F.max("width").alias("width")
-    ).groupBy("name", "format", "width").agg(
-        F.sum("n").alias("n"),
-        F.sum("height_sum").alias("height_sum"),
-    )
+    return records[0].unionByName(records[1])
+
+
+def split_features(spark, sf_dir) -> DataFrame:
+    """Model input straight from the shards of both splits."""
+    out = fresh_path(spark, "dataset")
+    images = image_folder(spark, sf_dir)
+    prepare_image_dataset(spark, images, out, n_validation=100, image_format="png", pixels=True)
+    records = both_splits(spark, out).select("file", "split", "label", "height", "width", "pixels")
+    return image_features(records, 9, 6)
+
+
+def dataset_features(spark, sf_dir):
+    flat = split_features(spark, sf_dir).select("file", "split", F.posexplode("features").alias("k", "value"))
+    return flat.select("file", "split", "k", F.round(F.col("value").cast("double"), 3).alias("value"))
+
+
+def dataset_evaluate(spark, sf_dir):
+    """Saved parameters scored on the validation split, from shards to precision."""
+    path = fresh_path(spark, "model")
+    weights = np.sin(np.arange(162)[:, None] * 10 + np.arange(10)[None, :])
+    save_params(spark, Params(weights, np.cos(np.arange(10))), path, 5)
+    scored = evaluate(split_features(spark, sf_dir).where("split = 'validation'"), path)
+    return scored.select("step", "correct", "total", F.round("precision", 6).alias("precision"))
 
 
 # --- oracles --------------------------------------------------------------------------------------------
@@ -251,6 +278,24 @@ SPLIT_SQL = """splits as (select path, lang, case when place <= 350 then 'valida
   case when place <= 350 then least(total, 350) else total - 350 end as size from placed)"""
 SHARD_SQL = f"with {FILES_SQL}, {PLACED_SQL}, {SPLIT_SQL}"
 SHARD_OF = "(pos // ceil(size / 5.0)::bigint)::int"
+IMAGE_SPLIT_SQL = """names as (select name, row_number() over (order by name) - 1 as label_id
+  from (select distinct cast(label as varchar) as name from embeddings)),
+images as (select vec_id, name, label_id, concat(name, '/', vec_id, '.png') as file
+  from embeddings join names on name = cast(label as varchar)),
+placed as (select *, row_number() over (order by md5(concat('0', file)), file) as place,
+  count(*) over () as total from images),
+splits as (select *, case when place <= 100 then 'validation' else 'train' end as split,
+  case when place <= 100 then place - 1 else place - 101 end as pos,
+  case when place <= 100 then least(total, 100) else total - 100 end as size from placed)"""
+GRID_SQL = """px as (select vec_id, label, 8 - vec_id % 2 as h, embedding as e from embeddings),
+grid as (select vec_id, (r * 6 + c) * 3 + ch as k,
+    case when r - (9 - h) // 2 between 0 and h - 1 then
+      case ch when 0 then ((floor(e[(r - (9 - h) // 2) * 8 + c + 2]::double * 1000)::bigint % 256) + 256) % 256
+        when 1 then (r - (9 - h) // 2) * 8 + c + 1 else label end
+    else 0 end::double as v
+  from px, range(9) t(r), range(6) u(c), range(3) w(ch)),
+standard as (select vec_id, k, (v - avg(v) over g) / greatest(stddev_pop(v) over g, 1 / sqrt(162.0)) as value
+  from grid window g as (partition by vec_id))"""
 
 QUERIES = {
     "class_index": (class_index, f"with {CLASSES_SQL} select label, lang as name from classes"),
@@ -305,20 +350,27 @@ QUERIES = {
     ),
     "image_features": (
         image_features_query,
-        """with px as (select vec_id, label, 8 - vec_id % 2 as h, embedding as e from embeddings),
-        grid as (select vec_id, (r * 6 + c) * 3 + ch as k,
-            case when r - (9 - h) // 2 between 0 and h - 1 then
-              case ch when 0 then ((floor(e[(r - (9 - h) // 2) * 8 + c + 2]::double * 1000)::bigint % 256) + 256) % 256
-                when 1 then (r - (9 - h) // 2) * 8 + c + 1 else label end
-            else 0 end::double as v
-          from px, range(9) t(r), range(6) u(c), range(3) w(ch))
-        select vec_id, k, round(((v - avg(v) over g) / greatest(stddev_pop(v) over g, 1 / sqrt(162.0)))::float::double, 3)
-          as value
-        from grid window g as (partition by vec_id)""",
+        f"with {GRID_SQL} select vec_id, k, round(value::float::double, 3) as value from standard",
     ),
     "image_dataset": (
         image_dataset,
-        """select cast(label as varchar) as name, 'png' as format, 8 as width, count(*) as n,
-          sum(8 - vec_id % 2) as height_sum from embeddings group by label""",
+        f"""with {IMAGE_SPLIT_SQL} select file, split, label_id as label, name, 'png' as format,
+          8 - vec_id % 2 as height, 8 as width,
+          concat('flowers_', split, '_', printf('%05d-of-00005', {SHARD_OF})) as shard_file
+        from splits""",
+    ),
+    "dataset_features": (
+        dataset_features,
+        f"""with {IMAGE_SPLIT_SQL}, {GRID_SQL}
+        select file, split, k, round(value::float::double, 3) as value from standard join splits using (vec_id)""",
+    ),
+    "dataset_evaluate": (
+        dataset_evaluate,
+        f"""with {IMAGE_SPLIT_SQL}, {GRID_SQL},
+        z as (select vec_id, c, sum(value * sin(k * 10 + c)) + cos(c) as z
+          from standard join splits using (vec_id), range(10) t(c) where split = 'validation' group by vec_id, c),
+        hits as (select vec_id, max(case when c = label_id and z >= m then 1 else 0 end) as hit
+          from (select *, max(z) over (partition by vec_id) as m from z) join splits using (vec_id) group by vec_id)
+        select 5 as step, sum(hit) as correct, count(*) as total, round(avg(hit), 6) as precision from hits""",
     ),
 }

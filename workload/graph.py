@@ -211,9 +211,8 @@ def pagerank_sliced(spark, sf_dir):
 
 def partition_report(spark, sf_dir):
     edges = content(spark, sf_dir)
-    before = edges.repartition(8)
-    after = edges.repartition(120, "src")
-    return P.partition_report(before, after).select("stage", "partitions", "n_rows")
+    links = R.link_table(edges, num_partitions=120, cache_links=False)
+    return P.partition_report(edges.repartition(8), 8, links).select("stage", "partitions", "n_rows")
 
 
 # --- lines, exports, sinks -----------------------------------------------------------
@@ -253,10 +252,20 @@ def export_file(spark, sf_dir):
     return path
 
 
+def in_own_order(df: DataFrame) -> DataFrame:
+    """Rows with the position that they have in ``df`` as it is written."""
+    path = fresh_path(df.sparkSession, "ordered")
+    df.write.parquet(path)
+    located = df.sparkSession.read.parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    placed = with_row_index(located, "_file", "_row", name="_at")
+    return placed.select(*df.columns, (F.col("_at") + 1).alias("position"))
+
+
 def sort_export_query(spark, sf_dir):
     rows = read_export(spark, export_file(spark, sf_dir))
-    placed = with_row_index(rows, "cca2", "timestamp", "id", name="_at")
-    return placed.select("cca2", "timestamp", "id", (F.col("_at") + 1).alias("position"))
+    return in_own_order(sort_export(rows, ("cca2", "timestamp", "id")))
 
 
 def export_job(spark, sf_dir):
@@ -275,13 +284,12 @@ def export_job(spark, sf_dir):
 
 
 def export_sql_view(spark, sf_dir):
-    return export_view(read_export(spark, export_file(spark, sf_dir)))
+    return in_own_order(export_view(read_export(spark, export_file(spark, sf_dir)), ("cca2", "timestamp", "id")))
 
 
 def export_typed(spark, sf_dir):
-    rows = sort_export(read_export(spark, export_file(spark, sf_dir)), as_text=False)
-    placed = with_row_index(rows, "cca2", F.col("timestamp").cast("double"), "id", name="_at")
-    return placed.select("cca2", "timestamp", "id", (F.col("_at") + 1).alias("position"))
+    """Times differ from customer to customer, so no tie is left."""
+    return in_own_order(sort_export(read_export(spark, export_file(spark, sf_dir)), as_text=False))
 
 
 def first_ranks(spark, sf_dir):
@@ -389,7 +397,7 @@ QUERIES = {
     "partition_report": (
         partition_report,
         f"""{CONTENT_SQL} select 'before' as stage, 8 as partitions, count(*) as n_rows from edges
-        union all select 'after', 120, count(*) from edges""",
+        union all select 'after', 120, count(*) from (select distinct src, dst from edges)""",
     ),
     "first_lines": (
         first_lines_query,
@@ -402,7 +410,7 @@ QUERIES = {
     ),
     "sort_export": (sort_export_query, POSITION_SQL.format('"timestamp"', EXPORT_SQL)),
     "export_job": (export_job, POSITION_SQL.format('"timestamp"', EXPORT_SQL)),
-    "export_sql_view": (export_sql_view, EXPORT_SQL),
+    "export_sql_view": (export_sql_view, POSITION_SQL.format('"timestamp"', EXPORT_SQL)),
     "export_typed": (export_typed, POSITION_SQL.format('cast("timestamp" as double)', EXPORT_SQL)),
     "ranks_text": (ranks_text, ONE_RANK_SQL),
     "ranks_tuple_text": (ranks_tuple_text, ONE_RANK_SQL),

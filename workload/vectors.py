@@ -124,9 +124,23 @@ def train_batches(spark, sf_dir):
     return rounded_params(spark, run)
 
 
+def train_batch_replicas(spark, sf_dir):
+    """Each batch in three stretches, of 43, 43 and 42 rows."""
+    run = T.train_softmax(
+        vectors(spark, sf_dir), CLASSES, epochs=5, batch=128, replicas=3, order=["vec_id"]
+    )
+    return rounded_params(spark, run)
+
+
+def train_speed(spark, sf_dir):
+    """Rows of each step in the trace and whether its time was taken."""
+    run = T.train_softmax(vectors(spark, sf_dir), CLASSES, epochs=2)
+    return run.trace_table(spark).select("step", "rows", (F.col("seconds") > 0).alias("timed"))
+
+
 def train_full(spark, sf_dir):
-    """The full 40 epochs from a seeded normal start; checked by its shape only."""
-    run = T.train_softmax(vectors(spark, sf_dir), CLASSES, init="normal", seed=1)
+    """The full 40 epochs from given parameters."""
+    run = T.train_softmax(vectors(spark, sf_dir), CLASSES, start=T.Params(WEIGHTS, BIASES))
     return rounded_trace(spark, run)
 
 
@@ -355,14 +369,16 @@ def training_sql(
     part: str = "true",
     decay: str = "0",
     momentum: bool = False,
+    weights: str = "0.0::double",
+    biases: str = "0.0::double",
 ) -> str:
-    """Gradient descent from zeros, written out round by round."""
+    """Gradient descent, written out round by round."""
     start = ", 0.0::double as v" if momentum else ""
     ctes = [
         CELLS_SQL,
         "placed as materialized (select vec_id, row_number() over (order by vec_id) - 1 as place from embeddings)",
-        f"w0 as (select i, k, 0.0::double as w{start} from range(64) t(i), range(10) u(k))",
-        f"b0 as (select k, 0.0::double as b{start} from range(10) u(k))",
+        f"w0 as (select i, k, {weights} as w{start} from range(64) t(i), range(10) u(k))",
+        f"b0 as (select k, {biases} as b{start} from range(10) u(k))",
     ]
     for t in range(rounds + 1):
         ctes.append(
@@ -408,7 +424,7 @@ def training_sql(
     return "with " + ", ".join(ctes)
 
 
-def trace_sql(rounds: int) -> str:
+def trace_sql(rounds: int, **options) -> str:
     lines = []
     for t in range(rounds + 1):
         loss = f"(select avg(ln(s) + m - z) from p{max(t - 1, 0)} where k = label)"
@@ -419,7 +435,7 @@ def trace_sql(rounds: int) -> str:
             f"select {t} as step, round({loss}, 6) as loss, round({cell}, 6) as cell_accuracy,"
             f" round({top1}, 6) as top1_accuracy"
         )
-    return f"{training_sql(rounds)} {' union all '.join(lines)}"
+    return f"{training_sql(rounds, **options)} {' union all '.join(lines)}"
 
 
 def momentum_sql(params: str, first: str, second: str, nesterov: bool = False) -> str:
@@ -446,6 +462,11 @@ SUMMARY_SQL = " union all ".join(
     for c in SUMMARY
 )
 
+BATCH_SQL = (
+    "(place - 128 * {t} % (select count(*) from embeddings) + (select count(*) from embeddings))"
+    " % (select count(*) from embeddings) < 128"
+)
+
 QUERIES = {
     "one_hot": (
         one_hot,
@@ -477,16 +498,13 @@ QUERIES = {
     "train_softmax_weights": (train_softmax_weights, training_sql(3) + PARAMS_SQL.format(n=3)),
     "train_replicas": (train_replicas, training_sql(3, "0.5") + PARAMS_SQL.format(n=3)),
     "train_l2": (train_l2, training_sql(3, decay="0.0005") + PARAMS_SQL.format(n=3)),
-    "train_batches": (
-        train_batches,
-        training_sql(
-            5,
-            part="(place - 128 * {t} % (select count(*) from embeddings) + (select count(*) from embeddings))"
-            " % (select count(*) from embeddings) < 128",
-        )
-        + PARAMS_SQL.format(n=5),
+    "train_batches": (train_batches, training_sql(5, part=BATCH_SQL) + PARAMS_SQL.format(n=5)),
+    "train_batch_replicas": (train_batch_replicas, training_sql(5, part=BATCH_SQL) + PARAMS_SQL.format(n=5)),
+    "train_speed": (
+        train_speed,
+        "select step, (select count(*) from embeddings) as rows, true as timed from range(3) t(step)",
     ),
-    "train_full": (train_full, None),
+    "train_full": (train_full, trace_sql(40, weights="sin(i * 10 + k)", biases="cos(k)")),
     "train_all_epochs": (train_all_epochs, training_sql(40) + PARAMS_SQL.format(n=40)),
     "train_saved_trace": (
         train_saved_trace,
