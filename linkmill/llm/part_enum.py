@@ -271,31 +271,48 @@ def _signed(buckets: int, frequent):
 
 
 _FOUND = "kind string, mark long, doc_id long, n long, key binary, bitmap binary"
-_COLUMNS = ["kind", "mark", "doc_id", "n", "key", "bitmap"]
+_FOUND_SCHEMA = pa.schema(
+    [("kind", pa.string()), ("mark", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64())]
+    + [(name, pa.binary()) for name in ("key", "bitmap")]
+)
+
+
+def _found(rows: int, kind: str, **columns: pa.ChunkedArray | np.ndarray) -> pa.Table:
+    """``rows`` rows of _FOUND; columns not given are null."""
+    columns["kind"] = pa.repeat(kind, rows)
+    return pa.table(
+        [columns[x.name] if x.name in columns else pa.nulls(rows, x.type) for x in _FOUND_SCHEMA],
+        schema=_FOUND_SCHEMA,
+    )
+
 
+def _mark_rows(marks: np.ndarray, ids: np.ndarray) -> pa.Table:
+    return _found(len(marks), "mark", mark=marks, doc_id=ids)
 
-def _mark_rows(marks: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
-    empty = {"n": None, "key": None, "bitmap": None}
-    return pd.DataFrame({"kind": "mark", "mark": marks, "doc_id": ids, **empty})[_COLUMNS]
 
+def _shared(rows: pa.Table) -> pa.Table:
+    """Of a bucket: the (signature, document) rows of signatures that two documents have.
 
-def _shared(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of a bucket: the (signature, document) rows of signatures that two documents have."""
-    bucket = int(rows.bucket.iloc[0])
+    Arrow on both ends: ids stay 64-bit integers beside nulls.
+    """
+    bucket = rows.column("bucket")[0].as_py()
     if bucket < 0:
-        docs = rows[rows.marks.isna()].assign(kind="doc", mark=None)
-        sure = rows[rows.marks.notna()]
-        marks = [np.frombuffer(x, np.int64) for x in sure.marks]
-        ids = [np.frombuffer(x, np.int64) for x in sure.ids]
-        return pd.concat(
-            [docs[_COLUMNS]] + [_mark_rows(m, i) for m, i in zip(marks, ids, strict=True)]
+        sure = pc.is_valid(rows.column("marks"))
+        docs = rows.filter(pc.invert(sure))
+        packs = rows.filter(sure)
+        marks = [np.frombuffer(x.as_buffer(), np.int64) for x in packs.column("marks")]
+        ids = [np.frombuffer(x.as_buffer(), np.int64) for x in packs.column("ids")]
+        plain = {name: docs.column(name) for name in ("doc_id", "n", "key", "bitmap")}
+        return pa.concat_tables(
+            [_found(len(docs), "doc", **plain)] + [_mark_rows(m, i) for m, i in zip(marks, ids, strict=True)]
         )
     marks, ids = [], []
-    for packed, names in zip(rows.marks, rows.ids, strict=True):
-        low = np.frombuffer(packed, np.uint8).reshape(-1, 5)
+    for packed, names in zip(rows.column("marks"), rows.column("ids"), strict=True):
+        low = np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, 5)
         whole = np.zeros((len(low), 8), np.uint8)
         whole[:, :5] = low
         marks.append(whole.view(np.int64).ravel())
+        names = names.as_buffer()
         width = np.uint32 if len(names) == 4 * len(low) else np.int64
         ids.append(np.frombuffer(names, width).astype(np.int64))
     mark, doc = np.concatenate(marks), np.concatenate(ids)
@@ -465,7 +482,7 @@ def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     (
         docs.mapInArrow(_signed(buckets, frequent), _ROW)
         .groupBy("bucket")
-        .applyInPandas(_shared, _FOUND)
+        .applyInArrow(_shared, _FOUND)
         .write.partitionBy("kind")
         .parquet(path)
     )

@@ -78,6 +78,18 @@ def test_similar_groups_at_the_threshold(spark):
     assert got == brute.similar_groups(rows)
 
 
+def test_similar_groups_of_ids_above_2_to_53(spark):
+    """Neighbouring 64-bit ids, a signature of more than COMMON texts of a task, and a null id."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(2**53 + 1 + k, f"{passage} u{k}") for k in range(part_enum.COMMON + 24)]
+    rows += [(2**62 + 2 * k + 1, " ".join(f"o{k}x{i}" for i in range(20))) for k in range(20)]
+    frame = spark.createDataFrame(rows + [(None, passage)], "doc_id long, text string").coalesce(1)
+    got = part_enum.similar_groups(frame).collect()
+    assert len(got) == len(rows) + 1
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id} == brute.similar_groups(rows)
+    assert [(r.n_shingles, r.component_id) for r in got if r.doc_id is None] == [(36, None)]
+
+
 def test_contamination(docs, texts, items):
     want = brute.contamination(texts, [("" if i is None else i, t) for i, t in ITEMS])
     rows = decontam.contamination(docs, items).collect()
