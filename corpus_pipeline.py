@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows it is given.
 All but the last return the columns of documents; the last returns what the mix
-takes of each document left.
+takes of each document left.  Rows are judged one by one: a null doc_id is no
+reason to go, a repeated one no reason to stay.
 """
 
 from __future__ import annotations
@@ -11,36 +12,83 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.llm import decontam, exact_dedup, fair_mix, lang_id, part_enum
+from linkmill.llm.text import filled
 from linkmill.plans.lineage import materialize
 
 #: words of a document inside benchmark windows from which on it goes
 HIT_WORDS = 1
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; without text or a letter they go."""
-    found = lang_id.identify(docs, lang_id.train(docs))
-    return found.where(F.col("lang_pred") != lang_id.UNKNOWN).select(*docs.columns)
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written once with a number of its own for every row, and that column's name.
+
+    Decisions are carried back by this number, so null and repeated ids are
+    rows like any other.  Numbers run up without large gaps: one count per task
+    of the write (read back by the driver) says where each task's begin.
+    """
+    key = "row_key"
+    while key in {c.lower() for c in docs.columns}:
+        key += "_"
+    rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    task = F.shiftright(F.col(key), 33)
+    first, firsts = 0, {}
+    for at, n in sorted(rows.groupBy(task).agg(F.max(F.col(key).bitwiseAND((1 << 33) - 1)) + 1).collect()):
+        firsts[at] = first
+        first += n
+    begins = docs.sparkSession.createDataFrame(list(firsts.items()), f"{key}_task long, {key}_first long")
+    begin = F.col(f"{key}_first") + F.col(key).bitwiseAND((1 << 33) - 1)
+    numbered = rows.join(F.broadcast(begins), task == F.col(f"{key}_task"))
+    return numbered.select(*(F.col(f"`{c}`") for c in docs.columns), begin.alias(key)), key
 
 
-def _kept(docs: DataFrame, keep: DataFrame) -> DataFrame:
-    return docs.join(keep.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+def _kept(docs: DataFrame, key: str, keep: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose number is in ``keep``, without it."""
+    return docs.join(keep.select(key), key, "left_semi").drop(key)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; without text or a letter they go.
+
+    If no row teaches a language (none is labelled, or all that are have a null
+    id or are held out), only rows without text or a letter go.
+    """
+    model = lang_id.train(docs)
+    if not model.languages:
+        return docs.where(filled(F.col("text")).rlike(r"\p{L}"))
+    found = lang_id.identify(docs, model)
+    return found.where(F.col("lang_pred") != lang_id.UNKNOWN).select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _kept(docs, exact_dedup.exact_groups(docs).where("kept"))
+    """One row of each group of equal texts: the longest, then the smallest id.
+
+    A null id loses to any other; of rows that repeat an id one stays.
+    """
+    rows, key = _keyed(docs)
+    one = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id"), F.col(key).alias("row"))
+    groups = exact_dedup.exact_groups(rows.select("text", one.alias("one")), doc_id="one")
+    return _kept(rows, key, groups.where("kept").select(F.col("doc_id.row").alias(key)))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of similar texts."""
-    return _kept(docs, part_enum.similar_groups(docs).where("doc_id = component_id"))
+    """One row of each group of similar texts: the smallest id.
+
+    A null id loses to any other; of rows that repeat an id and are similar one
+    stays.  A text without words is like no other and stays.
+    """
+    rows, key = _keyed(docs)
+    groups = part_enum.similar_groups(rows, doc_id=key).select(F.col("doc_id").alias(key), "component_id")
+    one = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id"), F.col(key).alias("row"))
+    best = rows.select("doc_id", key).join(groups, key).groupBy("component_id").agg(F.min(one).alias("one"))
+    return _kept(rows, key, best.select(F.col("one.row").alias(key)))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without words inside benchmark windows."""
+    """Documents without words inside benchmark windows; every row is judged by its own text."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _kept(docs, decontam.contamination(docs, items).where(F.col("n_hit") < HIT_WORDS))
+    rows, key = _keyed(docs)
+    found = decontam.contamination(rows, items, doc_id=key).where(F.col("n_hit") < HIT_WORDS)
+    return _kept(rows, key, found.select(F.col("doc_id").alias(key)))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
