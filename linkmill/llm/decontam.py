@@ -93,8 +93,9 @@ def contamination(
     (sorted ids, comma-joined), items_sha256, contaminated``.  Words are runs of
     characters other than ASCII ones that are no letters or digits, A-Z
     lower-cased; null has none.  A null item id counts as an item named "".
-    Rows that repeat a document id must repeat its text; a document with a null
-    id gets its word count and no hits.
+    Every row is compared by its own text, also where rows repeat an id.  A row
+    with a null id gets its word count and no hits, as in the SQL form; number
+    the rows and pass that column as ``doc_id`` to have those compared, too.
     """
     items = materialize(
         items.select(
@@ -121,22 +122,27 @@ def contamination(
     )
     windows = materialize(windows.select("item", "length", "w.span").distinct(), "windows")
 
+    # the number of a row is frozen by the write, so the text is written beside it
     found = docs.select(
-        F.col(doc_id).alias("doc_id"), loose_words(F.col(text)).alias("words")
+        F.monotonically_increasing_id().alias("row"),
+        F.col(doc_id).alias("doc_id"),
+        F.col(text).alias("text"),
+        loose_words(F.col(text)).alias("words"),
+    )
+    found = _prints(found, [1], short).select(
+        "row", "doc_id", "text", F.size("words").cast("long").alias("n_words"), "prints"
     )
-    found = _prints(found, [1], short).select("doc_id", F.size("words").cast("long").alias("n_words"), "prints")
     found = materialize(found, "fingerprints")
     hits = (
         found.where("doc_id is not null")
-        .select("doc_id", F.explode("prints").alias("print"))
+        .select("row", F.explode("prints").alias("print"))
         .join(_sent(prints), "print")
-        .groupBy("doc_id")
+        .groupBy("row")
         .agg(F.collect_set("print").alias("hits"))
     )
     hits = materialize(hits, "hits")
-    touched = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(hits, "doc_id")
-    touched = touched.dropDuplicates(["doc_id"]).select(
-        "doc_id", "hits", loose_words(F.col("text")).alias("words"), exact_words(F.col("text")).alias("exact")
+    touched = found.select("row", "text").join(hits, "row").select(
+        "row", "hits", loose_words(F.col("text")).alias("words"), exact_words(F.col("text")).alias("exact")
     )
     kinds = []
     # a fingerprint at word i lies in the windows that start at the words from i - reach to i
@@ -152,26 +158,26 @@ def contamination(
         )
     )
     starts = F.filter(starts, lambda i: i + WINDOW - 1 <= F.size("exact"))
-    kinds.append(touched.select("doc_id", F.lit(WINDOW).alias("length"), F.explode(_spans("exact", starts, WINDOW)).alias("w")))
+    kinds.append(touched.select("row", F.lit(WINDOW).alias("length"), F.explode(_spans("exact", starts, WINDOW)).alias("w")))
     for n in short:
         spans = F.transform(
             _grams("words", 1, 1, n), lambda g, i: F.when(F.array_contains("hits", g), i + 1)
         )
         spans = F.array_compact(spans)
-        kinds.append(touched.select("doc_id", F.lit(n).alias("length"), F.explode(_spans("exact", spans, n)).alias("w")))
+        kinds.append(touched.select("row", F.lit(n).alias("length"), F.explode(_spans("exact", spans, n)).alias("w")))
     around = kinds[0]
     for other in kinds[1:]:
         around = around.union(other)
     matched = (
-        around.select("doc_id", "length", "w.at", "w.span")
+        around.select("row", "length", "w.at", "w.span")
         .join(_sent(windows), ["length", "span"])
-        .groupBy("doc_id")
+        .groupBy("row")
         .agg(
             F.collect_set(F.struct("at", "length")).alias("at"),
             F.sort_array(F.collect_set("item")).alias("names"),
         )
         .select(
-            "doc_id",
+            "row",
             F.size(
                 F.array_distinct(
                     F.flatten(
@@ -183,7 +189,7 @@ def contamination(
             F.array_join("names", ",").alias("items"),
         )
     )
-    return found.select("doc_id", "n_words").join(matched, "doc_id", "left").select(
+    return found.select("row", "doc_id", "n_words").join(matched, "row", "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),

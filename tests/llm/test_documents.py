@@ -107,6 +107,16 @@ def test_contamination_repeats(docs, items, none):
     assert {(r.n_hit, r.items_sha256) for r in clean} == {(0, hashlib.sha256(b"").hexdigest())}
 
 
+def test_contamination_of_rows_that_repeat_an_id(spark, items):
+    """Each of them is judged by its own text, in any order."""
+    texts = [f"clean {k} words" for k in range(6)] + [ITEMS[0][1], ITEMS[0][1] + " tail", "see one two three"]
+    want = sorted(brute.contamination(list(enumerate(texts)), [("" if i is None else i, t) for i, t in ITEMS]).values())
+    docs = spark.createDataFrame([(7, t) for t in texts], "doc_id long, text string")
+    for frame in (docs, docs.repartition(5, "text")):
+        rows = decontam.contamination(frame, items).collect()
+        assert sorted((r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in rows) == want
+
+
 def test_every_shift_of_a_passage_is_found(spark):
     item = " ".join(f"i{k}" for k in range(14))
     rows = [
