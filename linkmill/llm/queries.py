@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from linkmill.llm import (
     decontam,
+    dual_tree,
     exact_dedup,
     fair_mix,
     html_blocks,
     lang_id,
+    lookup_centroids,
     part_enum,
     pii,
     token_counts,
@@ -77,6 +79,14 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", lang_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_dual_tree_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return dual_tree.compress(_table(spark, folder, "embeddings"))
+
+
+def op12_lookup_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return lookup_centroids.cluster(_table(spark, folder, "embeddings"))
+
+
 _WORD_RX = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -163,6 +173,65 @@ select page_id, payload_bytes, payload_digest,
 from f
 """
 
+_PLAIN = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+
+def _op11() -> str:
+    """Two rounds and a last assignment as chained tables; parts of four components."""
+    cells = ", ".join(f"x{k}" for k in range(4))
+    far = " + ".join(f"(a.x{k} - b.x{k}) * (a.x{k} - b.x{k})" for k in range(4))
+    mean = ", ".join(f"cast(floor(cast(sum(a.x{k}) as double) / count(*)) as bigint) as x{k}" for k in range(4))
+    kept = ", ".join(f"coalesce(m.x{k}, c.x{k}) as x{k}" for k in range(4))
+    listed = " || ',' || ".join(f"x{k}" for k in range(4))
+    steps = [
+        f"""with v as materialized (select vec_id, label, embedding, row_number() over (order by vec_id) - 1 as r
+                from embeddings where {_PLAIN}),
+q as materialized (select r, p, {", ".join(f"cast(floor(256 * cast(embedding[p * 4 + {k + 1}] as double)) as bigint) as x{k}" for k in range(4))}
+                   from v, (select unnest(range(16)) as p)),
+c0 as materialized (select p, r as e, {cells} from q where r < 64)"""
+    ]
+    for n in range(3):
+        steps.append(
+            f"a{n} as materialized (select a.r, a.p, min(({far}) * 64 + b.e) as best from q a join c{n} b using (p) group by a.r, a.p)"
+        )
+        if n < 2:
+            steps.append(
+                f"m{n} as (select a.p, best % 64 as e, {mean} from q a join a{n} using (r, p) group by a.p, best % 64),\n"
+                f"c{n + 1} as materialized (select c.p, c.e, {kept} from c{n} c left join m{n} m on m.p = c.p and m.e = c.e)"
+            )
+    steps.append("t as (select r, string_agg(printf('%02x', best % 64), '' order by p) as code, cast(sum(best // 64) as bigint) as error from a2 group by r)")
+    return ",\n".join(steps) + f"""
+select vec_id, code, error, label, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg({listed}, ',' order by p, e)) from c2) as codebooks_sha256
+from v join t using (r)"""
+
+
+def _op12() -> str:
+    """Ten rounds and a last assignment as chained tables of cells."""
+    steps = [
+        f"""with v as materialized (select vec_id, row_number() over (order by sha256('3:' || vec_id), vec_id) - 1 as r, embedding
+                from embeddings where {_PLAIN} and len(embedding) = 64),
+q as materialized (select r, k, cast(floor(1024 * cast(embedding[k] as double)) as bigint) as x from v, (select unnest(range(1, 65)) as k)),
+c0 as materialized (select r as c, k, x from q where r < 8)"""
+    ]
+    for n in range(11):
+        steps.append(
+            f"d{n} as (select q.r, c, sum((q.x - b.x) * (q.x - b.x)) as far from q join c{n} b using (k) group by q.r, c),\n"
+            f"a{n} as materialized (select r, min(far * 8 + c) as best from d{n} group by r)"
+        )
+        if n < 10:
+            steps.append(
+                f"m{n} as (select best % 8 as c, k, cast(floor(cast(sum(x) as double) / count(*)) as bigint) as x from q join a{n} using (r) group by best % 8, k),\n"
+                f"c{n + 1} as materialized (select c, k, coalesce(m.x, b.x) as x from c{n} b left join m{n} m using (c, k))"
+            )
+    return ",\n".join(steps) + """,
+h as (select c, sha256(string_agg(x, ',' order by k)) as centroid_sha256 from c10 group by c),
+t as (select r, cast(best % 8 as int) as cluster, cast(best // 8 as bigint) as distance from a10)
+select vec_id, cluster, distance, cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+       cast(sum(distance) over () as bigint) as inertia, centroid_sha256
+from v join t using (r) join h on h.c = t.cluster"""
+
+
 QUERIES = {
     "op1_html_blocks": (op1_html_blocks, None),
     "op2_token_counts": (op2_token_counts, None),
@@ -174,4 +243,6 @@ QUERIES = {
     "op8_similar_groups": (op8_similar_groups, None),
     "op9_warc": (op9_warc, _OP9),
     "op10_language": (op10_language, None),
+    "op11_dual_tree_codes": (op11_dual_tree_codes, _op11()),
+    "op12_lookup_centroids": (op12_lookup_centroids, _op12()),
 }

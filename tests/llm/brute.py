@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import string
 from collections import defaultdict
@@ -107,3 +108,63 @@ def exact_groups(rows):
         sha = hashlib.sha256(SPACE.sub("", text or "").encode()).hexdigest()
         groups[sha].append((-len(text or ""), doc))
     return {doc: (min(g)[1], len(g), sha) for sha, g in groups.items() for _, doc in g}
+
+
+def _plain(vector) -> bool:
+    return vector is not None and all(x is not None and math.isfinite(x) for x in vector)
+
+
+def _order(row):
+    return (row[0] is None, row[0] if row[0] is not None else 0, row[1])
+
+
+def codes(rows, scale=256, parts=16, entries=64, rounds=2):
+    """[(vec_id, code, error, label, label_error, codebooks_sha256)] of (vec_id, vector, label)."""
+    kept = [(i, [math.floor(scale * x) for x in v], label) for i, v, label in rows if _plain(v) and v and len(v) % parts == 0]
+    if not kept:
+        return []
+    width = len(min(kept, key=_order)[1])
+    kept = [r for r in kept if len(r[1]) == width]
+    d = width // parts
+    cut = lambda v: [tuple(v[p * d : p * d + d]) for p in range(parts)]
+    books = [[cut(r[1])[p] for r in sorted(kept, key=_order)[:entries]] for p in range(parts)]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+    nearest = lambda part, book: min((far(part, c), e) for e, c in enumerate(book))
+    for _ in range(rounds):
+        for p in range(parts):
+            members = defaultdict(list)
+            for r in kept:
+                members[nearest(cut(r[1])[p], books[p])[1]].append(cut(r[1])[p])
+            for e, own in members.items():
+                books[p][e] = tuple(sum(x) // len(own) for x in zip(*own, strict=True))
+    listed = ",".join(str(x) for book in books for c in book for x in c)
+    sha = hashlib.sha256(listed.encode()).hexdigest()
+    found = []
+    for i, v, label in kept:
+        best = [nearest(part, book) for part, book in zip(cut(v), books, strict=True)]
+        found.append((i, "".join(f"{e:02x}" for _, e in best), sum(f for f, _ in best), label))
+    total = defaultdict(int)
+    for _, _, error, label in found:
+        total[label] += error
+    return [(*r, total[r[3]], sha) for r in found]
+
+
+def clusters(rows, scale=1024, width=64, k=8, rounds=10):
+    """[(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256)] of (vec_id, vector)."""
+    kept = [(i, [math.floor(scale * x) for x in v]) for i, v in rows if _plain(v) and len(v) == width]
+    draw = lambda r: (r[0] is None, hashlib.sha256(f"3:{r[0]}".encode()).hexdigest(), r[1])
+    centres = [r[1] for r in sorted(kept, key=draw)[:k]]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+    nearest = lambda v: min((far(v, c), j) for j, c in enumerate(centres))
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for _, v in kept:
+            members[nearest(v)[1]].append(v)
+        for j, own in members.items():
+            centres[j] = [sum(x) // len(own) for x in zip(*own, strict=True)]
+    found = [(i, *nearest(v)) for i, v in kept]
+    total = defaultdict(int)
+    for _, f, j in found:
+        total[j] += f
+    sha = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return [(i, j, f, total[j], sum(total.values()), sha[j]) for i, f, j in found]
