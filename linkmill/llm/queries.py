@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.llm import (
+    chosen_path,
     decontam,
     dual_tree,
     exact_dedup,
@@ -87,6 +88,10 @@ def op12_lookup_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return lookup_centroids.cluster(_table(spark, folder, "embeddings"))
 
 
+def op13_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.similar_groups(_table(spark, folder, "documents"))
+
+
 _WORD_RX = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -245,4 +250,5 @@ QUERIES = {
     "op10_language": (op10_language, None),
     "op11_dual_tree_codes": (op11_dual_tree_codes, _op11()),
     "op12_lookup_centroids": (op12_lookup_centroids, _op12()),
+    "op13_chosen_path": (op13_chosen_path, None),
 }

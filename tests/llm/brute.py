@@ -20,7 +20,7 @@ def shingles(text: str | None) -> frozenset:
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def similar_groups(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
+def similar_groups(rows: list[tuple[int, str | None]], percent: int = 75) -> dict[int, tuple[int, int]]:
     """doc_id -> (n_shingles, component_id), by counting shared shingles of all pairs."""
     sets = {d: shingles(t) for d, t in rows}
     parent = {d: d for d in sets}
@@ -42,7 +42,7 @@ def similar_groups(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, i
                 if b > a:
                     shared[b] += 1
         for b, both in shared.items():
-            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {d: (len(s), find(d)) for d, s in sets.items()}
