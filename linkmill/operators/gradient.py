@@ -15,17 +15,19 @@ from pyspark.sql import functions as F
 
 from linkmill.functions.layers import matrix
 
-_ROWS, _LOSS, _CELLS, _TOP1 = range(4)
-_STATS = 4
-_PARTIAL = "part int, s array<double>"
+_LOSS, _CELLS, _TOP1 = range(3)
+_STATS = 3
+#: numbers of a part that travel together: one reducing task holds one such piece of each input task
+CHUNK = 8192
+_PARTIAL = "part int, chunk int, s array<double>"
 
 
 def _partial_sums(shared, width: int, classes: int):
-    """Per task: sums over its rows of the gradient and the row statistics."""
+    """Per task: sums over its rows of the row statistics and the gradient."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
-        sums: dict[int, np.ndarray] = {}
+        sums: dict[int, tuple] = {}
         for batch in batches:
             x = matrix(batch.column(0), width)
             y = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -43,59 +45,64 @@ def _partial_sums(shared, width: int, classes: int):
             error = p - target
             for part in np.unique(parts):
                 mine = parts == part
-                stats = [mine.sum(), loss[mine].sum(), cells[mine].sum(), top1[mine].sum()]
-                new = np.concatenate(
-                    [stats, (x[mine].T @ error[mine]).ravel(), error[mine].sum(axis=0)]
-                )
-                sums[int(part)] = sums[int(part)] + new if int(part) in sums else new
-        for part, values in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([values], pa.list_(pa.float64()))], names=["part", "s"]
-            )
+                stats = [loss[mine].sum(), cells[mine].sum(), top1[mine].sum()]
+                new = np.concatenate([stats, (x[mine].T @ error[mine]).ravel(), error[mine].sum(axis=0)])
+                rows, total = sums.get(int(part), (0, 0.0))
+                sums[int(part)] = (rows + int(mine.sum()), total + new)
+        for part, (rows, total) in sums.items():
+            for chunk, at in enumerate(range(0, len(total), CHUNK)):
+                yield _piece(part, chunk, np.concatenate([[rows], total[at : at + CHUNK]]))
 
     return run
 
 
+def _piece(part: int, chunk: int, values: np.ndarray) -> pa.RecordBatch:
+    lists = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int32()), pa.array([chunk], pa.int32()), lists], names=["part", "chunk", "s"]
+    )
+
+
+def _added(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One piece of a part, summed over the input tasks as they arrive."""
+    total = 0.0
+    for batch in batches:
+        pieces = batch.column(batch.schema.get_field_index("s"))
+        total = total + pieces.flatten().to_numpy().reshape(len(pieces), -1).sum(axis=0)
+    yield _piece(key[0].as_py(), key[1].as_py(), total)
+
+
 def _share(df: DataFrame, weights: np.ndarray, bias: np.ndarray):
     return df.sparkSession.sparkContext.broadcast((weights, np.asarray(bias).reshape(-1)))
 
 
 def task_sums(df: DataFrame, shared, shape: tuple, features: str, label: str, part: Column) -> DataFrame:
-    """``(part, s)``: one row per task and part, statistics first, then weights and biases."""
+    """``(part, chunk, s)``: per task and part its sums, cut into pieces.
+
+    The numbers of a part are row statistics, weights and biases, one after another;
+    every piece holds the part's rows first, then at most CHUNK of them.
+    """
     width, classes = shape
     narrow = df.select(features, F.col(label).cast("int"), part.cast("int"))
     return narrow.mapInArrow(_partial_sums(shared, width, classes), _PARTIAL)
 
 
-def _added(arrays: Column) -> Column:
-    """Element-wise sum of equally long arrays."""
-    zeros = F.array_repeat(F.lit(0.0), F.size(F.get(arrays, F.lit(0))))
-    return F.aggregate(arrays, zeros, lambda total, one: F.zip_with(total, one, lambda x, y: x + y))
-
-
 def _sums(df: DataFrame, shared, shape: tuple, features: str, label: str, part: Column) -> DataFrame:
-    """``(part, s)`` summed over all tasks, in two levels.
-
-    As many groups as the session has shuffle partitions add up the tasks first,
-    so that no task holds more than its share of the tasks' arrays.
-    """
-    groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    group = F.pmod(F.spark_partition_id(), F.lit(groups)).alias("_group")
-    partial = task_sums(df, shared, shape, features, label, part).select("part", "s", group)
-    grouped = partial.groupBy("part", "_group").agg(_added(F.collect_list("s")).alias("s"))
-    return grouped.groupBy("part").agg(_added(F.collect_list("s")).alias("s"))
+    """``(part, chunk, s)`` summed over all tasks; every piece is added up by a task of its own."""
+    partial = task_sums(df, shared, shape, features, label, part)
+    return partial.groupBy("part", "chunk").applyInArrow(_added, _PARTIAL)
 
 
 def _means(sums: DataFrame, size: int, classes: int) -> DataFrame:
     """Sums divided by the rows of their part, as ``(part, var, idx, g)``."""
     n_weights = size * classes
-    cells = sums.select(
-        "part", F.get("s", F.lit(_ROWS)).alias("_rows"), F.posexplode(F.slice("s", _STATS + 1, n_weights + classes))
-    )
-    place = F.col("pos").cast("long")
+    rows = F.get("s", F.lit(0)).alias("_rows")
+    cells = sums.select("part", "chunk", rows, F.posexplode("s").alias("_at", "_sum")).where("_at > 0")
+    place = F.col("chunk").cast("long") * CHUNK + F.col("_at") - 1 - _STATS
     var = F.when(place < n_weights, F.lit("weights")).otherwise(F.lit("biases"))
     at = F.when(place < n_weights, place).otherwise(place - n_weights)
-    return cells.select("part", var.alias("var"), at.alias("idx"), (F.col("col") / F.col("_rows")).alias("g"))
+    mean = (F.col("_sum") / F.col("_rows")).alias("g")
+    return cells.where(place >= 0).select("part", var.alias("var"), at.alias("idx"), mean)
 
 
 def softmax_gradient(
@@ -127,17 +134,20 @@ def step_sums(
     shared = _share(df, weights, bias)
     table = _sums(df, shared, weights.shape, features, label, part).toArrow()
     shared.destroy()
+    pieces: dict[int, dict[int, np.ndarray]] = {}
+    for number, chunk, s in zip(*(table.column(c).to_pylist() for c in ("part", "chunk", "s")), strict=True):
+        pieces.setdefault(number, {})[chunk] = np.array(s)
     out = {}
-    for number, sums in zip(table.column("part").to_pylist(), table.column("s").to_pylist(), strict=True):
-        values = np.array(sums)
-        rows = values[_ROWS]
+    for number, found in pieces.items():
+        rows = found[0][0]
+        means = np.concatenate([found[chunk][1:] for chunk in sorted(found)]) / rows
         out[number] = {
             "rows": int(rows),
-            "loss": values[_LOSS] / rows,
-            "cell_accuracy": values[_CELLS] / rows,
-            "top1_accuracy": values[_TOP1] / rows,
-            "weights": values[_STATS : _STATS + width * classes].reshape(width, classes) / rows,
-            "biases": values[_STATS + width * classes :] / rows,
+            "loss": means[_LOSS],
+            "cell_accuracy": means[_CELLS],
+            "top1_accuracy": means[_TOP1],
+            "weights": means[_STATS : _STATS + width * classes].reshape(width, classes),
+            "biases": means[_STATS + width * classes :],
         }
     return out
 

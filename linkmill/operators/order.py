@@ -8,22 +8,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from linkmill.fixed_values import NUM_SHARDS, NUM_VALIDATION, SPLIT_SEED
-from linkmill.plans.lineage import materialize, repeatable
+from linkmill.plans.lineage import materialize
 
 _TASK_BITS = 33  # monotonically_increasing_id keeps the task number above this bit
 _PREFIX_DIGITS = 4
 
 
+def content_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row; maps count by their JSON form."""
+    cells = [F.to_json(f"`{f.name}`") if isinstance(f.dataType, MapType) else F.col(f"`{f.name}`") for f in df.schema]
+    return F.xxhash64(*cells) if cells else F.lit(0).cast("long")
+
+
 def stable_order(df: DataFrame, *order: str | Column) -> DataFrame:
     """Global sort in which equal keys may be spread over several tasks.
 
-    The input position breaks ties, so range partitioning can cut inside a key
-    that holds a large part of the rows, and equal rows keep their order.
+    Ties are broken by a hash of the whole row, so the order is the same for any
+    layout of the input.  Rows that are equal throughout are told apart by their
+    place in their task once it is sorted, so a range can also end within one value that
+    holds a large part of the rows; a task run again, with its rows in another order, numbers
+    them alike.  Nothing is written.
     """
-    numbered = repeatable(df).withColumn("_tie", F.monotonically_increasing_id())
-    return numbered.orderBy(*order, "_tie").drop("_tie")
+    hashed = df.withColumn("_content", content_hash(df)).sortWithinPartitions(*order, "_content")
+    numbered = hashed.withColumn("_tie", F.monotonically_increasing_id())
+    return numbered.orderBy(*order, "_content", "_tie").drop("_content", "_tie")
 
 
 def with_row_index(df: DataFrame, *order: str | Column, name: str = "row_index") -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from linkmill.fixed_values import EXPORT_ORDER, EXPORT_VIEW
 from linkmill.operators.order import stable_order
-from linkmill.plans.lineage import repeatable
 from linkmill.sinks.text import write_export
 from linkmill.sources.tables import read_export
 
@@ -24,16 +23,15 @@ def sort_export(df: DataFrame, by: tuple[str, ...] = EXPORT_ORDER, as_text: bool
 
 
 def export_view(df: DataFrame, by: tuple[str, ...] = EXPORT_ORDER) -> DataFrame:
-    """The same order through SQL over the global temporary view.
-
-    The input position breaks ties, as in ``stable_order``.
-    """
-    repeatable(df).createOrReplaceGlobalTempView(EXPORT_VIEW)
+    """The same order through SQL over the global temporary view, ties broken as in ``stable_order``."""
+    df.createOrReplaceGlobalTempView(EXPORT_VIEW)
     order = ", ".join(f"`{c}`" for c in by)
+    cells = ", ".join(f"`{c}`" for c in df.columns)
     return df.sparkSession.sql(
-        f"""SELECT * EXCEPT (_tie) FROM (
-              SELECT *, monotonically_increasing_id() AS _tie FROM global_temp.{EXPORT_VIEW}
-              ORDER BY {order}, _tie)"""
+        f"""SELECT * EXCEPT (_content, _tie) FROM (
+              SELECT *, monotonically_increasing_id() AS _tie FROM (
+                SELECT *, xxhash64({cells}) AS _content FROM global_temp.{EXPORT_VIEW} SORT BY {order}, _content)
+              ORDER BY {order}, _content, _tie)"""
     )
 
 

@@ -45,14 +45,3 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint, for intermediate rows read exactly once."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def repeatable(df: DataFrame) -> DataFrame:
-    """``df`` with rows that come back in the same order when a task is run again.
-
-    Rows behind a shuffle arrive in any order, so numbering them and shuffling
-    by the number could lose or double rows after an executor is lost.  Such a
-    plan is written first; a plan that only scans is returned as it is.
-    """
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return materialize(df, "rows") if "Exchange" in plan or "InMemory" in plan else df

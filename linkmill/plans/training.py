@@ -26,10 +26,13 @@ from linkmill.functions.layers import softmax_predict
 from linkmill.functions.schedule import exp_decay_at
 from linkmill.operators.gradient import step_sums
 from linkmill.operators.metrics import top1_accuracy
-from linkmill.operators.order import assign_replicas, stream_places, with_row_index
+from linkmill.operators.order import assign_replicas
+from linkmill.plans.batch_store import BatchStore, store_batches
 
 _TRACE = "step int, loss double, cell_accuracy double, top1_accuracy double, rows long, seconds double"
 _PARAMS = "var string, idx long, value double"
+#: the part of rows that only score
+_HELD_OUT = -1
 
 
 @dataclass
@@ -100,6 +103,37 @@ def _update(params: Params, state: dict, grads: dict, step: int, lr: float, rule
     return Params(**new)
 
 
+class _AllRows:
+    """Every step sees all rows, kept by the executors."""
+
+    def __init__(self, rows: DataFrame, held: DataFrame | None):
+        self.rows = (rows if held is None else rows.unionByName(held)).persist()
+
+    def at(self, step: int) -> DataFrame:
+        return self.rows
+
+    def close(self) -> None:
+        self.rows.unpersist()
+
+
+class _Batches:
+    """Every step reads its own batch, and the held-out rows, kept by the executors."""
+
+    def __init__(self, store: BatchStore, batch: int, replicas: int, features: str, label: str, held: DataFrame | None):
+        self.store, self.batch, self.replicas = store, batch, replicas
+        self.columns = [features, label, "_part"]
+        self.held = None if held is None else held.persist()
+
+    def at(self, step: int) -> DataFrame:
+        stretch = F.floor(F.col("_place") * self.replicas / self.batch).cast("int")
+        fed = self.store.batch(self.batch, step).withColumn("_part", stretch).select(*self.columns)
+        return fed if self.held is None else fed.unionByName(self.held)
+
+    def close(self) -> None:
+        if self.held is not None:
+            self.held.unpersist()
+
+
 def train_softmax(
     df: DataFrame,
     classes: int,
@@ -130,40 +164,25 @@ def train_softmax(
     loss and gradient.  ``start`` gives the first parameters instead of ``init``.
     """
     needed = list(dict.fromkeys([features, label, *(order or [])]))
-    rows, total = df.select(*needed), 0
+    rows = df.select(*needed)
+    held = None if eval_df is None else eval_df.select(features, label, F.lit(_HELD_OUT).alias("_part"))
     if batch:
-        rows = with_row_index(rows, *order).withColumn("_part", F.lit(0))
-        total = rows.count()
-    elif replicas:
-        rows = assign_replicas(rows, replicas, *order).withColumn("_part", F.col("replica_id"))
+        feed = _Batches(store_batches(rows, batch, *order), batch, replicas or 1, features, label, held)
     else:
-        rows = rows.withColumn("_part", F.lit(0))
-    scored = rows
-    if eval_df is not None:
-        held = eval_df.select(features, label, F.lit(-1).alias("_part"))
-        if batch:
-            held = held.withColumn("row_index", F.lit(-1).cast("long"))
-            scored = rows.select(features, label, "_part", "row_index").unionByName(held)
+        if replicas:
+            rows = assign_replicas(rows, replicas, *order).withColumnRenamed("replica_id", "_part")
         else:
-            scored = rows.select(features, label, "_part").unionByName(held)
-    scored = scored.persist()
+            rows = rows.withColumn("_part", F.lit(0))
+        feed = _AllRows(rows.select(features, label, "_part"), held)
     try:
         params, state = start, {}
         if params is None:
             params = Params.start(len(df.select(features).first()[0]), classes, init, seed)
         trace, losses = [], []
         for step in range(epochs + 1):
-            feed, part, began = scored, F.col("_part"), time.monotonic()
-            if batch:
-                held_row = F.col("_part") < 0
-                places = F.when(held_row, F.array(F.lit(0).cast("long"))).otherwise(
-                    stream_places(batch, total, step)
-                )
-                feed = scored.withColumn("_place", F.explode(places))
-                stretch = F.floor(F.col("_place") * (replicas or 1) / batch).cast("int")
-                part = F.when(held_row, F.col("_part")).otherwise(stretch)
-            found = step_sums(feed, params.weights, params.biases, features, label, part)
-            held_out = found.pop(-1, None)
+            began = time.monotonic()
+            found = step_sums(feed.at(step), params.weights, params.biases, features, label, F.col("_part"))
+            held_out = found.pop(_HELD_OUT, None)
             fed = sum(p["rows"] for p in found.values())
             mean = _mean_of_parts(found)
             if decay:
@@ -178,7 +197,7 @@ def train_softmax(
                 if save_to and (step % save_every == 0 or step + 1 == epochs):
                     save_params(df.sparkSession, params, save_to, step)
     finally:
-        scored.unpersist()
+        feed.close()
     return Trained(params, trace)
 
 

@@ -1,9 +1,11 @@
 import hashlib
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
 from linkmill.operators import order as O
+from linkmill.plans import batch_store as B
 from linkmill.plans import lineage
 
 
@@ -29,12 +31,18 @@ def test_heavy_key_is_sorted_by_several_tasks(spark):
     assert len(sizes) > 3 and max(r["count"] for r in sizes) < 1500
 
 
-def test_rows_behind_a_shuffle_are_written_before_numbering(spark):
-    scan = spark.range(10)
-    assert lineage.repeatable(scan) is scan
-    for moved in (scan.repartition(3), scan.selectExpr("id % 3 AS k").groupBy("k").count()):
-        plan = lineage.repeatable(moved)._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange" not in plan and "parquet" in plan.lower()
+def test_sort_behind_a_shuffle_writes_nothing_extra(spark):
+    moved = spark.range(60).selectExpr("id % 3 AS k", "id % 7 AS v").repartition(5)
+    plan = O.stable_order(moved, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" not in plan.lower() and "WriteFiles" not in plan
+    assert not hasattr(lineage, "repeatable")
+
+
+def test_order_of_ties_does_not_hang_on_the_layout(spark):
+    rows = spark.range(300).selectExpr("id % 3 AS k", "id % 11 AS v", "map('a', id % 2) AS m", "array(id % 5) AS a")
+    first = O.stable_order(rows, "k").collect()
+    for layout in (rows.coalesce(1), rows.repartition(7), rows.orderBy(F.desc("v"))):
+        assert O.stable_order(layout, "k").collect() == first
 
 
 def test_row_index_of_nothing(spark):
@@ -90,9 +98,9 @@ def test_stream_of_batches_holds_every_row(spark, size):
     rows = spark.range(10).withColumnRenamed("id", "row_index")
     stream = [i % 10 for i in range(size * 7)]
     for step in range(7):
-        copies = {r["row_index"]: r["n"] for r in rows.withColumn("n", O.stream_copies(size, 10, step)).collect()}
+        found = {r["row_index"]: sorted(r["at"]) for r in rows.withColumn("at", O.stream_places(size, 10, step)).collect()}
         want = stream[step * size : (step + 1) * size]
-        assert copies == {i: want.count(i) for i in range(10)}
+        assert found == {i: [at for at, row in enumerate(want) if row == i] for i in range(10)}
 
 
 def test_batches_and_replicas(spark):
@@ -111,3 +119,32 @@ def test_epochs(spark):
     got = O.repeat_epochs(spark.range(3), 4).collect()
     assert sorted((r["id"], r["epoch"]) for r in got) == [(i, e) for i in range(3) for e in range(4)]
     assert O.repeat_epochs(spark.range(3), 0).count() == 0
+
+
+@pytest.mark.parametrize("batch,max_ranges", [(4, 4096), (7, 3), (10, 4096), (23, 2), (60, 4096)])
+def test_a_step_reads_only_the_files_of_its_batch(spark, batch, max_ranges):
+    rows = spark.range(50).selectExpr("49 - id AS v", "id AS w").repartition(6)
+    store = B.store_batches(rows, batch, "v", max_ranges=max_ranges)
+    assert store.total == 50 and len(store.rows.select(B.RANGE).distinct().collect()) <= max_ranges
+    folder_of = {f: int(f.split(f"{B.RANGE}=")[1].split("/")[0]) for f in store.rows.inputFiles()}
+    for step in range(9):
+        want = [(step * batch + k) % 50 for k in range(batch)]
+        needed = {i // store.width for i in want}
+        others = {urlparse(f).path: None for f, folder in folder_of.items() if folder not in needed}
+        for path in others:  # whatever else the step opened would now fail
+            with open(path, "rb") as file:
+                others[path] = file.read()
+            with open(path, "wb") as file:
+                file.write(b"no parquet here")
+        fed = store.batch(batch, step)
+        assert [r["v"] for r in sorted(fed.collect(), key=lambda r: r["_place"])] == want
+        for path, content in others.items():
+            with open(path, "wb") as file:
+                file.write(content)
+        plan = fed._jdf.queryExecution().executedPlan().toString()
+        assert B.RANGE in plan.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_store_of_nothing(spark):
+    store = B.store_batches(spark.range(0).withColumnRenamed("id", "v"), 5, "v")
+    assert store.total == 0 and store.batch(5, 3).collect() == []

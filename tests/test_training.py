@@ -108,11 +108,29 @@ def test_given_start_and_trace_of_speed(data):
     assert [row[4] for row in run.trace] == [N, N] and all(row[5] > 0 for row in run.trace)
 
 
-def test_a_task_sends_one_row_per_part(spark, data):
+@pytest.mark.parametrize("chunk", [8192, 7, 1])
+def test_a_task_sends_one_piece_per_part_and_chunk(spark, data, monkeypatch, chunk):
+    monkeypatch.setattr(G, "CHUNK", chunk)
     shared = spark.sparkContext.broadcast((np.zeros((D, K)), np.zeros(K)))
     part = F.col("id") % 2
+    numbers = 3 + D * K + K
     rows = G.task_sums(data, shared, (D, K), "features", "label", part).collect()
-    assert len(rows) == 4 * 2 and {len(r["s"]) for r in rows} == {4 + D * K + K}
+    pieces = -(-numbers // chunk)
+    assert len(rows) == 4 * 2 * pieces and max(len(r["s"]) for r in rows) == 1 + min(chunk, numbers)
+    assert sum(r["s"][0] for r in rows if r["chunk"] == 0) == N
+    found = G.step_sums(data, np.zeros((D, K)), np.zeros(K), "features", "label", part)
+    assert found.keys() == {0, 1} and found[0]["rows"] == N // 2
+    for number in (0, 1):
+        _, gw, gb, _ = grad(np.zeros((D, K)), np.zeros(K), slice(number, None, 2))
+        assert np.allclose(found[number]["weights"], gw) and np.allclose(found[number]["biases"], gb)
+    got = {(r["var"], r["idx"]): r["g"] for r in G.softmax_gradient(data, np.zeros((D, K)), np.zeros(K)).collect()}
+    assert len(got) == D * K + K and np.allclose([got["biases", i] for i in range(K)], grad(np.zeros((D, K)), np.zeros(K))[2])
+
+
+def test_a_reducing_task_sees_one_chunk(data):
+    plan = G.softmax_gradient(data, np.zeros((D, K)), np.zeros(K))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(part" in plan and "chunk" in plan.split("hashpartitioning(part")[1][:40]
+    assert "collect_list" not in plan
 
 
 def test_settings_by_name_pattern_and_default():
