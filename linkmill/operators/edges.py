@@ -5,13 +5,17 @@ Edges are a bag of ``(src, dst)``: repeated links are kept and counted.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkmill.fixed_values import COMMENT_PREFIX, KEPT_NAMESPACE
-from linkmill.plans import skew
-
-BROADCAST_KEYS = 200_000
+from linkmill.plans.lineage import materialize
 
 
 def split_fields(lines: DataFrame, sep: str = "\t") -> DataFrame:
@@ -84,22 +88,63 @@ def count_sources(edges: DataFrame) -> int:
 def adjacency(edges: DataFrame, max_list: int = 100_000) -> DataFrame:
     """Targets per source as lists: ``(src, slice, dests)``.
 
-    A source with more than ``max_list`` links gets several rows, told apart
-    by ``slice``, so no single list or task grows with the largest hub or with
-    the copies of one link.
+    The edges are scanned once, into a table of counted links.  Those are sorted by
+    source and target over all tasks, so a hub lies in as many tasks as it fills, and
+    each task cuts its stretch into lists as it reads it: at a new source, and after
+    ``max_list`` links of one.  No degree is looked up, and no task holds more
+    than a list and a batch.  Rows of a source are told apart by ``slice``; a source that
+    lies in two tasks has a list in each.  Copies of one link count one by one.
     """
-    counted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
-    degrees = counted.groupBy("src").agg(F.sum("copies").alias("n_links"))
-    shape = degrees.agg(F.sum("n_links").alias("rows")).first()
-    # copies of one link in pieces well below a list, dealt out by their hash
-    unit = max(max_list // 8, 1)
-    last = F.floor((F.col("copies") - 1) / F.lit(unit)).cast("int")
-    pieces = counted.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
-    size = F.least(F.lit(unit), F.col("copies") - F.col("piece") * unit).cast("int")
-    heavy = skew.heavy_keys(degrees, "src", "n_links", max_list)
-    sliced = skew.add_slice(
-        pieces, "src", heavy, F.xxhash64("dst", "piece"), bounded=(shape["rows"] or 0) // max_list <= BROADCAST_KEYS
-    )
-    return sliced.groupBy("src", skew.SLICE).agg(
-        F.flatten(F.collect_list(F.array_repeat("dst", size))).alias("dests")
-    )
+    counted = materialize(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies")), "links")
+    last = F.floor((F.col("copies") - 1) / F.lit(max_list)).cast("long")
+    pieces = counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
+    size = F.least(F.lit(max_list), F.col("copies") - F.col("piece") * max_list).cast("int")
+    placed = pieces.orderBy("src", "dst", "piece").select("src", "dst", size.alias("n"))
+    return placed.mapInArrow(_lists(max_list), "src string, slice long, dests array<string>")
+
+
+def _lists(max_list: int):
+    """Task function: sorted ``(src, dst, n)`` to lists of at most ``max_list`` targets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # lists of the task's first source are numbered apart: the task before may have some, too
+        held, number = None, TaskContext.get().partitionId() << 32
+        for whole in batches:
+            for rows in _stretches(whole, max(max_list, _EXPANDED)):
+                links = np.repeat(np.arange(rows.num_rows), rows.column("n").to_numpy())
+                src, dst = rows.column("src").take(links), rows.column("dst").take(links)
+                if held is not None:
+                    src, dst = (pa.concat_arrays([a, b]) for a, b in zip(held, (src, dst), strict=True))
+                new = np.ones(len(src), bool)
+                new[1:] = pc.not_equal(src[1:], src[:-1]).to_numpy(zero_copy_only=False)
+                begins = np.flatnonzero(new)
+                offset = np.arange(len(src)) - np.repeat(begins, np.diff(np.append(begins, len(src))))
+                starts = np.flatnonzero(offset % max_list == 0)
+                first = np.searchsorted(starts, begins[1], "left") if len(begins) > 1 else len(starts)
+                slices = offset[starts] // max_list
+                slices[:first] += number
+                if len(starts) > 1:
+                    lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), dst[: starts[-1]])
+                    done = pa.array(slices[:-1])
+                    yield pa.RecordBatch.from_arrays([src.take(starts[:-1]), done, lists], ["src", "slice", "dests"])
+                held, number = (src[starts[-1] :], dst[starts[-1] :]), int(slices[-1])
+        if held is not None:
+            lists = pa.ListArray.from_arrays(pa.array([0, len(held[1])], pa.int32()), held[1])
+            yield pa.RecordBatch.from_arrays([held[0][:1], pa.array([number]), lists], ["src", "slice", "dests"])
+
+    return run
+
+
+#: links that are written out at once
+_EXPANDED = 200_000
+
+
+def _stretches(rows: pa.RecordBatch, links: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about that many links."""
+    upto = np.cumsum(rows.column("n").to_numpy(), dtype=np.int64)
+    begin = 0
+    while begin < rows.num_rows:
+        before = upto[begin - 1] if begin else 0
+        end = max(int(np.searchsorted(upto, before + links, "right")), begin + 1)
+        yield rows.slice(begin, end - begin)
+        begin = end

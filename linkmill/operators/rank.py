@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from linkmill.fixed_values import RANK_BASE, RANK_FACTOR, RANK_START
 from linkmill.plans import skew
-from linkmill.plans.lineage import materialize
+from linkmill.plans.lineage import fresh_path, materialize, planned_session
 
 MIN_SLICE_ROWS = 1_000_000
 ROWS_PER_PARTITION = 500_000
@@ -27,19 +27,26 @@ ROWS_PER_PARTITION = 500_000
 
 @dataclass
 class Links:
-    """Weighted links, partitioned and sorted by ``keys``."""
+    """Weighted links, partitioned and sorted by ``keys``, in a session planned for their partitions.
+
+    ``declared`` is the number of hash classes asked for; ``partitions``, which divides
+    it, is the number of tasks they are folded into.
+    """
 
     rows: DataFrame
     keys: list[str]
     partitions: int
     degrees: DataFrame
     n_sources: int
+    declared: int
     heavy: DataFrame | None = None
+    stored: str | None = None
 
     def release(self) -> None:
-        """Free the executor copies."""
+        """Free the executor copies, and the name of a stored table."""
         self.rows.unpersist()
-        self.degrees.unpersist()
+        if self.stored:
+            self.rows.sparkSession.sql(f"DROP TABLE IF EXISTS {self.stored}")
 
 
 def link_table(
@@ -53,17 +60,18 @@ def link_table(
 
     Repeated links are counted with a map-side combine and written once, so
     the input is scanned a single time.  The counted links are then placed by
-    source; sources with too many targets for one partition are sliced.
+    source; sources with too many targets for one partition are sliced.  With ``cache_links``
+    the executors keep the placed links, else they are a bucketed and sorted table on shared storage,
+    which every round scans as it lies.
     """
     if sources not in ("drop", "keep"):
         raise ValueError(f"sources must be 'drop' or 'keep', not {sources!r}")
+    spark = edges.sparkSession
     counted = materialize(
         edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies")), "links"
     )
-    degrees = (
-        counted.groupBy("src")
-        .agg(F.sum("copies").alias("n_links"), F.count(F.lit(1)).alias("n_targets"))
-        .persist()
+    degrees = materialize(
+        counted.groupBy("src").agg(F.sum("copies").alias("n_links"), F.count(F.lit(1)).alias("n_targets")), "degrees"
     )
     shape = degrees.agg(
         F.count(F.lit(1)).alias("sources"),
@@ -71,7 +79,11 @@ def link_table(
         F.coalesce(F.max("n_targets"), F.lit(0)).alias("top"),
     ).first()
 
-    partitions = num_partitions or _fitting_partitions(edges.sparkSession, shape["rows"])
+    fitting = _fitting_partitions(spark, shape["rows"])
+    declared = num_partitions or fitting
+    partitions = folded(declared, fitting)
+    own = planned_session(spark, partitions, **_BUCKETS)
+    counted, degrees = (own.read.schema(t.schema).parquet(*t.inputFiles()) for t in (counted, degrees))
     placed = counted
     if sources == "keep":
         selves = degrees.select("src", F.col("src").alias("dst"), F.lit(0).cast("long").alias("copies"))
@@ -91,11 +103,41 @@ def link_table(
         .select(*keys, "dst", (F.col("copies") / F.col("n_links")).alias("weight"))
         .sortWithinPartitions(*keys)
     )
+    stored = None
     if cache_links:
         # filled now: only a filled cache tells the planner its partitioning
         rows = rows.persist()
         rows.count()
-    return Links(rows, keys, partitions, degrees, shape["sources"], heavy)
+    else:
+        rows, stored = _bucketed(rows, partitions, keys)
+    return Links(rows, keys, partitions, degrees, shape["sources"], declared, heavy, stored)
+
+
+#: a bucket is one file, written sorted, so a scan may count on its order
+_BUCKETS = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true"}
+
+
+def _bucketed(rows: DataFrame, partitions: int, keys: list[str]) -> tuple[DataFrame, str]:
+    """``rows``, which lie in ``partitions`` hash classes of ``keys``, as a table with one sorted file a class."""
+    spark = rows.sparkSession
+    path = fresh_path(spark, "placed")
+    name = f"linkmill_{path.rsplit('-', 1)[-1]}"
+    writer = rows.write.bucketBy(partitions, *keys).sortBy(*keys).option("path", path)
+    writer.format("parquet").saveAsTable(name)
+    return spark.table(name), name
+
+
+def folded(declared: int, fitting: int) -> int:
+    """Tasks for ``declared`` hash classes of which ``fitting`` tasks are filled.
+
+    The largest divisor of ``declared`` that is no larger than ``fitting``: class c then lies in task
+    c modulo that number, so rows that share a class share a task.  A number close to
+    ``fitting``, or without a divisor near it, stays as it is.
+    """
+    if declared <= 2 * fitting:
+        return declared
+    divisor = next(n for n in range(fitting, 0, -1) if declared % n == 0)
+    return divisor if 2 * divisor >= fitting else declared
 
 
 def _shuffle_partitions(spark: SparkSession) -> int:

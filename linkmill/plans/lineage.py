@@ -36,9 +36,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Columns stay prunable and filters push down; values that are not
     repeatable (row positions, task numbers) are frozen by the write.
     """
-    path = fresh_path(df.sparkSession, name)
+    return moved_to(df.sparkSession, df, name)
+
+
+def planned_session(spark: SparkSession, partitions: int, **settings: str) -> SparkSession:
+    """A session beside ``spark`` with the same SQL settings, planned for that many shuffle partitions.
+
+    Work that needs its own number leaves the caller's session, and whatever else is
+    planned in it meanwhile, as they are.  Tables move between sessions by being written.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    for name, value in {"spark.sql.shuffle.partitions": str(partitions), **settings}.items():
+        own.conf.set(name, value)
+    return own
+
+
+def moved_to(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read by another session."""
+    path = fresh_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

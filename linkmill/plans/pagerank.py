@@ -3,17 +3,14 @@
 Plan per round: the cached link table is already partitioned and sorted by
 source, and the ranks leave the previous aggregate partitioned by node, so the
 join adds no exchange; the aggregate by target is the only shuffle, after a
-map-side combine.  The rounds are planned for the number of partitions that the
-links have, whatever the session's is.  (When heavy sources are sliced, the
+map-side combine.  The rounds are planned in a session of the links' own, for the
+number of partitions that they have, whatever the caller's is.  (When heavy sources are sliced, the
 ranks - one row per node - are shuffled once more.)
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.fixed_values import (
@@ -37,7 +34,7 @@ from linkmill.operators.rank import (
     link_table,
     sum_contributions,
 )
-from linkmill.plans.lineage import checkpoint
+from linkmill.plans.lineage import checkpoint, moved_to
 from linkmill.sources.text import first_lines
 
 
@@ -57,8 +54,9 @@ def pagerank(
     """Rank the nodes of ``edges (src, dst)``; returns ``(node, rank)``.
 
     With ``normalise`` the base is ``a/N`` and the factor ``1-a``, where N is
-    the number of distinct sources.  The result is checkpointed, so reading it
-    again does not run the rounds again.
+    the number of distinct sources.  The result is written, so reading it again
+    does not run the rounds again.  ``num_partitions`` declares hash classes of the links; few rows are
+    folded into fewer tasks.
     """
     if iterations < 1:
         return init_ranks(edges, r0)
@@ -66,24 +64,12 @@ def pagerank(
     if normalise and links.n_sources:
         base, factor = NORMALISED_TELEPORT / links.n_sources, 1 - NORMALISED_TELEPORT
     try:
-        with _planned_for(links, edges.sparkSession):
-            return _rounds(links, iterations, base, factor, r0, checkpoint_every)
+        ranks = _rounds(links, iterations, base, factor, r0, checkpoint_every)
+        return moved_to(edges.sparkSession, ranks, "ranks")
     finally:
         links.release()
 
 
-@contextmanager
-def _planned_for(links: Links, spark: SparkSession) -> Iterator[None]:
-    """Aggregate into the partitions of the links meanwhile, so that ranks move once a round."""
-    name = "spark.sql.shuffle.partitions"
-    usual = spark.conf.get(name)
-    spark.conf.set(name, str(links.partitions))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, usual)
-
-
 def _rounds(
     links: Links, iterations: int, base: float, factor: float, r0: float, checkpoint_every: int
 ) -> DataFrame:
@@ -95,7 +81,7 @@ def _rounds(
         if done % checkpoint_every == 0:
             ranks = checkpoint(ranks)
         ranks = damp(sum_contributions(contributions(join_ranks(links, ranks))), base, factor)
-    return checkpoint(ranks)
+    return ranks
 
 
 def raw_pagerank(lines: DataFrame, **options) -> DataFrame:
@@ -123,11 +109,12 @@ def partitioned_pagerank(
 def partition_report(before: DataFrame, partitions: int, links: Links) -> DataFrame:
     """Partitions, those in use, rows and largest partition, before and after placing.
 
-    ``before`` lies in ``partitions`` partitions; empty ones count.
+    ``before`` lies in ``partitions`` partitions; empty ones count.  After placing, partitions are
+    the hash classes that were declared, however many of them share a task.
     """
 
-    def report(stage: str, df: DataFrame, declared: int) -> DataFrame:
-        filled = df.groupBy(F.spark_partition_id().cast("long").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    def report(stage: str, df: DataFrame, declared: int, place: Column) -> DataFrame:
+        filled = df.groupBy(place.cast("long").alias("id")).agg(F.count(F.lit(1)).alias("n"))
         every = df.sparkSession.range(declared).join(filled, "id", "left")
         return every.agg(
             F.count(F.lit(1)).alias("partitions"),
@@ -136,5 +123,6 @@ def partition_report(before: DataFrame, partitions: int, links: Links) -> DataFr
             F.coalesce(F.max("n"), F.lit(0)).alias("largest"),
         ).select(F.lit(stage).alias("stage"), "partitions", "used", "n_rows", "largest")
 
-    placed = report("after", links.rows, links.partitions)
-    return report("before", before, partitions).unionByName(placed)
+    hash_class = F.pmod(F.hash(*links.keys), F.lit(links.declared))
+    placed = report("after", links.rows, links.declared, hash_class)
+    return report("before", before, partitions, F.spark_partition_id()).unionByName(placed)

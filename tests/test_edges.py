@@ -63,8 +63,9 @@ def test_adjacency_keeps_the_bag_and_bounds_the_lists(edges_of, limit):
     rows = E.adjacency(edges_of(pairs_in), max_list=limit).collect()
     out = sorted((r["src"], d) for r in rows for d in r["dests"])
     assert out == sorted(pairs_in)
+    assert max(len(r["dests"]) for r in rows) <= limit
+    assert len({(r["src"], r["slice"]) for r in rows}) == len(rows)
     if limit == 10:
-        assert max(len(r["dests"]) for r in rows) < 40
         assert len([r for r in rows if r["src"] == "b"]) > 2
     if limit == 1000:
         assert len(rows) == 3
@@ -85,3 +86,23 @@ def test_filter_reaches_the_scan_without_python(lines_of):
     plan = E.content_edges(lines_of(["a\tb"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
     assert F is not None
+
+
+@pytest.mark.parametrize("limit", [7, 64, 1000])
+def test_adjacency_over_many_tasks(spark, edges_of, limit, monkeypatch):
+    """A hub that lies in several tasks, a link of many copies, batches cut anywhere."""
+    monkeypatch.setattr(E, "_EXPANDED", 16)
+    pairs_in = [("hub", f"n{i}") for i in range(300)] + [("b", "x")] * 90 + [(f"s{i % 40}", f"t{i % 3}") for i in range(200)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = E.adjacency(edges_of(pairs_in), max_list=limit).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted((r["src"], d) for r in rows for d in r["dests"]) == sorted(pairs_in)
+    assert len({(r["src"], r["slice"]) for r in rows}) == len(rows)
+    assert max(len(r["dests"]) for r in rows) <= limit
+    assert len([r for r in rows if r["src"] == "hub"]) > 1
+
+
+def test_adjacency_of_nothing(edges_of):
+    assert E.adjacency(edges_of([])).collect() == []

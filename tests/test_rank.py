@@ -174,14 +174,41 @@ def test_partition_report(edges_of):
     links.release()
 
 
-def test_one_exchange_a_round_for_any_partitions(spark, edges_of):
-    links = R.link_table(edges_of(random_graph(2)), num_partitions=12)
+@pytest.mark.parametrize("own", [12, 5])
+def test_one_exchange_a_round_for_any_partitions(spark, edges_of, own):
+    links = R.link_table(edges_of(random_graph(2)), num_partitions=own)
     ranks = P.checkpoint(R.init_ranks(links.rows))
-    with P._planned_for(links, spark):
-        once = R.damp(R.sum_contributions(R.contributions(R.join_ranks(links, ranks))))
-        twice = R.damp(R.sum_contributions(R.contributions(R.join_ranks(links, once))))
-        plans = [d._jdf.queryExecution().executedPlan().toString() for d in (once, twice, links.rows)]
+    once = R.damp(R.sum_contributions(R.contributions(R.join_ranks(links, ranks))))
+    twice = R.damp(R.sum_contributions(R.contributions(R.join_ranks(links, once))))
+    plans = [d._jdf.queryExecution().executedPlan().toString() for d in (once, twice, links.rows)]
     first, second, cached = (plan.count("Exchange hashpartitioning") for plan in plans)
     assert second - first - cached == 1  # each round also prints the plan behind the cached links
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert links.rows.sparkSession.conf.get("spark.sql.shuffle.partitions") == str(own)
+    links.release()
+
+
+@pytest.mark.parametrize("sliced", [{}, {"min_slice_rows": 3}])
+def test_stored_links_are_scanned_as_they_lie(spark, edges_of, sliced):
+    """Without a cache: no exchange and no sort on the link side of a round."""
+    links = R.link_table(edges_of(random_graph(7, hub=True)), cache_links=False, **sliced)
+    ranks = P.checkpoint(R.init_ranks(links.rows))
+    joined = R.join_ranks(links, ranks)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    link_side = plan.split("SortMergeJoin")[1].split("Bucketed: true")[0]
+    assert "Bucketed: true" in plan and "Exchange" not in link_side and "Sort [" not in link_side
+    assert "InMemoryTableScan" not in plan
+    name = links.stored
+    assert spark.catalog.tableExists(name)
+    links.release()
+    assert not spark.catalog.tableExists(name)
+
+
+def test_declared_partitions_are_folded(edges_of):
+    assert [R.folded(n, 8) for n in (4, 8, 16, 120, 121, 113, 1000)] == [4, 8, 16, 8, 121, 113, 8]
+    edges = edges_of(random_graph(3))
+    links = R.link_table(edges, num_partitions=96)
+    assert links.partitions < 96 == links.declared and links.rows.rdd.getNumPartitions() == links.partitions
+    tasks = links.rows.selectExpr("spark_partition_id() AS task", "pmod(hash(src), 96) AS c").distinct().collect()
+    assert all(r["task"] == r["c"] % links.partitions for r in tasks)
     links.release()

@@ -136,6 +136,26 @@ def adjacency_sizes(spark, sf_dir):
     )
 
 
+def with_hub(edges: DataFrame) -> DataFrame:
+    """The edges and, twice, a link from one hub to every source."""
+    hub = edges.select(F.lit("hub").alias("src"), F.col("src").alias("dst")).distinct()
+    return edges.unionByName(hub).unionByName(hub)
+
+
+def adjacency_lists(spark, sf_dir):
+    """What the lists hold, link by link, and that none is longer than 300."""
+    lists = E.adjacency(with_hub(content(spark, sf_dir)), max_list=300)
+    links = lists.select("src", F.size("dests").alias("n"), F.explode("dests").alias("dst"))
+    return links.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n_links"), (F.max("n") <= 300).alias("bounded"))
+
+
+def adjacency_rows(spark, sf_dir):
+    """Every row of a source is told apart by its slice."""
+    rows = E.adjacency(with_hub(content(spark, sf_dir)), max_list=300)
+    each = rows.groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("slice").alias("slices"), F.sum(F.size("dests")).alias("n_links"))
+    return each.select("src", "n_links", (F.col("n") == F.col("slices")).alias("apart"), (F.col("n") * 300 >= F.col("n_links")).alias("enough"))
+
+
 def source_count(spark, sf_dir):
     keys = E.node_keys(content(spark, sf_dir))
     return keys.agg(F.count(F.lit(1)).alias("n_sources"))
@@ -364,6 +384,9 @@ SAMPLE_SQL = f"""with lines as (select {CORE_SQL} as value from lineitem
 HUB_SQL = f"""{CONTENT_SQL}, hubbed as materialized (
   select * from edges union all select distinct 'hub', src from edges)"""
 
+HUB_TWICE_SQL = f"""{CONTENT_SQL}, hubbed as materialized (
+  select * from edges union all select 'hub', src from (select distinct src from edges), range(2))"""
+
 QUERIES = {
     "edge_parse": (edge_parse, f"with {LINES_SQL}, {PAIRS_SQL} {PAIR_COUNTS.format('pairs')}"),
     "edge_filter": (edge_filter, f"with {LINES_SQL}, {PAIRS_SQL}, {KEPT_SQL} {PAIR_COUNTS.format('kept')}"),
@@ -376,6 +399,14 @@ QUERIES = {
         f"{CONTENT_SQL} select src, count(*) as n_links, min(dst) as first_dst, max(dst) as last_dst"
         " from edges group by src",
     ),
+    "adjacency_lists": (
+        adjacency_lists,
+        f"{HUB_TWICE_SQL} select src, dst, count(*) as n_links, true as bounded from hubbed group by src, dst",
+    ),
+    "adjacency_rows": (
+        adjacency_rows,
+        f"{HUB_TWICE_SQL} select src, count(*) as n_links, true as apart, true as enough from hubbed group by src",
+    ),
     "source_count": (source_count, f"{CONTENT_SQL} select count(distinct src) as n_sources from edges"),
     "contributions_one_step": (contributions_one_step, CONTENT_SQL + ONE_ROUND_SQL.format("")),
     "contributions_keep": (
