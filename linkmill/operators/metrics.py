@@ -56,7 +56,8 @@ def average_gradients(grads: DataFrame) -> DataFrame:
 def column_summary(df: DataFrame, columns: list[str], bins: int | None = None) -> DataFrame:
     """Mean, population deviation, max and min per column, one pass.
 
-    With ``bins`` an approximate histogram ``array<(x, y)>`` is added.
+    With ``bins`` a second pass adds the bins of :func:`column_histogram` in order, as
+    ``histogram array<(bin, low, high, n)>``.
     """
     measures = []
     for c in columns:
@@ -68,10 +69,44 @@ def column_summary(df: DataFrame, columns: list[str], bins: int | None = None) -
             F.max(v).alias("max"),
             F.min(v).alias("min"),
         ]
-        if bins:
-            parts.append(F.histogram_numeric(v, F.lit(bins)).alias("histogram"))
         measures.append(F.struct(*parts))
-    return df.agg(F.array(*measures).alias("all")).select(F.inline("all"))
+    summary = df.agg(F.array(*measures).alias("all")).select(F.inline("all"))
+    if not bins:
+        return summary
+    each = column_histogram(df, columns, bins).groupBy("column")
+    lists = each.agg(F.array_sort(F.collect_list(F.struct("bin", "low", "high", "n"))).alias("histogram"))
+    return summary.join(lists, "column", "left")
+
+
+def column_histogram(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
+    """Exact counts in ``bins`` equally wide bins per column: ``(column, bin, low, high, n)``.
+
+    The first pass finds each column's range, the second counts.  A bin holds its lower
+    edge, the last one its upper edge as well; empty bins have 0.  Null, NaN and infinite values
+    are left out; equal values are all in bin 0; a column without values has no bins.
+    """
+    plain = {c: _finite(F.col(f"`{c}`").cast("double")) for c in columns}
+    found = df.agg(*[f(plain[c]).alias(f"{f.__name__}_{i}") for i, c in enumerate(columns) for f in (F.min, F.max)]).first()
+    ranges = {c: (found[f"min_{i}"], found[f"max_{i}"]) for i, c in enumerate(columns) if found[f"min_{i}"] is not None}
+    spots, edges = [], []
+    for c, (low, high) in ranges.items():
+        at = F.lit(0)
+        if high > low:
+            share = (plain[c] - F.lit(low)) / F.lit(high - low)
+            at = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
+        spots.append(F.struct(F.lit(c).alias("column"), F.when(plain[c].isNotNull(), at).alias("bin")))
+        step = (high - low) / bins
+        edges += [(c, i, low + i * step, high if i == bins - 1 else low + (i + 1) * step) for i in range(bins)]
+    grid = df.sparkSession.createDataFrame(edges, "column string, bin int, low double, high double")
+    if not spots:
+        return grid.withColumn("n", F.lit(0).cast("long"))
+    counts = df.select(F.inline(F.array(*spots))).where("bin IS NOT NULL").groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
+    # one row per column and bin on either side
+    return grid.join(F.broadcast(counts), ["column", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+
+
+def _finite(v: Column) -> Column:
+    return F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
 
 
 def throughput(trace: DataFrame, rows: str = "rows", seconds: str = "seconds") -> DataFrame:

@@ -15,6 +15,8 @@ from linkmill.plans.lineage import materialize
 
 _TASK_BITS = 33  # monotonically_increasing_id keeps the task number above this bit
 _PREFIX_DIGITS = 4
+#: splits that a table may have
+MAX_GROUPS = 16
 
 
 def content_hash(df: DataFrame) -> Column:
@@ -77,7 +79,10 @@ def _keys_at(keys: DataFrame, wanted) -> dict[str, list[tuple[str, str]]]:
     """
     spark = keys.sparkSession
     marked = keys.withColumn("_prefix", F.substring("_hash", 1, _PREFIX_DIGITS))
-    counts = marked.groupBy("_group", "_prefix").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    most = MAX_GROUPS << 4 * _PREFIX_DIGITS
+    counts = marked.groupBy("_group", "_prefix").agg(F.count(F.lit(1)).alias("n")).limit(most + 1).toPandas()
+    if len(counts) > most:
+        raise ValueError(f"more than {MAX_GROUPS} splits")
     places = []
     for group, part in counts.sort_values("_prefix").groupby("_group"):
         upto = part["n"].cumsum().to_numpy()
@@ -109,16 +114,18 @@ def seeded_split(
     n_validation: int = NUM_VALIDATION,
     seed: int = SPLIT_SEED,
     name: str = "split",
+    listed: DataFrame | None = None,
 ) -> DataFrame:
     """Mark exactly ``n_validation`` rows 'validation', all others 'train'.
 
     ``key`` must be unique.  The split is a condition on each row, so the rows
-    themselves are neither sorted nor joined.
+    themselves are neither sorted nor joined.  ``listed`` may give the same keys at less
+    cost than ``df``; the cut is then found there.
     """
     train, validation = F.lit("train"), F.lit("validation")
     if n_validation <= 0:
         return df.withColumn(name, train)
-    keys = _hashed(df, key, seed, F.lit("all"))
+    keys = _hashed(df if listed is None else listed, key, seed, F.lit("all"))
     around = _keys_at(keys, lambda rows: (n_validation, n_validation + 1)).get("all", [])
     if len(around) < 2:  # no row beyond the validation part
         return df.withColumn(name, validation)
@@ -136,18 +143,19 @@ def assign_shards(
     split: str = "split",
     seed: int = SPLIT_SEED,
     name: str = "shard",
+    listed: DataFrame | None = None,
 ) -> DataFrame:
     """Contiguous shards of ``ceil(rows / n)`` rows per split, in shuffled order.
 
     Nothing is sorted: a row gets its shard by comparing its key with the first
-    keys of the shards of its split.
+    keys of the shards of its split.  ``listed`` may give the same keys and splits.
     """
 
     def firsts(rows: int) -> list[int]:
         size = -(-rows // n)
         return [i * size + 1 for i in range(1, n) if i * size < rows]
 
-    cuts = _keys_at(_hashed(df, key, seed, F.col(split)), firsts)
+    cuts = _keys_at(_hashed(df if listed is None else listed, key, seed, F.col(split)), firsts)
     place = F.struct(shuffle_key(key, seed), F.col(key).cast("string"))
     shard = F.lit(0)
     for value, keys in cuts.items():

@@ -27,37 +27,39 @@ def prepare_image_dataset(
 ) -> DataFrame:
     """Convert ``root/<class>/<file>`` into shards below ``out/records``.
 
-    Split and shards are worked out from ``file`` (``<class>/<file>``) alone, so
-    they do not depend on where the folder lies; the encoded bytes are read once
-    and shuffled once.  With ``pixels`` the decoded RGB pixels are stored as well,
-    joined by ``file``, so that a split can go straight into ``image_features``.
+    Classes, split and shards are worked out from the file names alone (``file`` is
+    ``<class>/<file>``), so they do not depend on where the folder lies; contents are read
+    once and shuffled once.  Height and width come from the encoded bytes of the same row.  With ``pixels`` a record
+    holds the decoded RGB pixels in place of the encoded bytes (format ``rgb``), so that
+    a split can go straight into ``image_features``.
     A finished dataset is left as it is.  Returns the label dictionary.
     """
     if has_labels(spark, out, "records/_SUCCESS") and has_labels(spark, out):
         return read_label_map(spark, f"{out}/labels.txt")
     named = F.concat_ws("/", "class", base_name(F.col("path"))).alias("file")
-    files = list_image_files(spark, root, content=True).select("*", named)
-    classes = class_index(files).persist()
-    split = seeded_split(files, "file", n_validation, seed)
-    placed = assign_shards(split, "file", shards, seed=seed)
-    labelled = attach_class_id(placed, classes)
+    names = list_image_files(spark, root).select("class", named).persist()
+    classes = class_index(names).persist()
+    listed = seeded_split(names, "file", n_validation, seed)
     if pixels:
-        decoded = read_images(spark, root).select(named, "height", "width", "pixels")
-        sized = labelled.join(decoded, "file")
+        read = read_images(spark, root)
+        content, image_format = ["height", "width", "pixels"], "rgb"
     else:
-        sized = labelled.withColumn("_dims", image_dims(F.col("encoded"))).select("*", "_dims.height", "_dims.width")
+        read = list_image_files(spark, root, content=True)
+        content = ["encoded", "_dims.height", "_dims.width"]
+    files = seeded_split(read.select("*", named), "file", n_validation, seed, listed=names)
+    placed = assign_shards(files, "file", shards, seed=seed, listed=listed)
+    labelled = attach_class_id(placed, classes)
+    if not pixels:
+        labelled = labelled.withColumn("_dims", image_dims(F.col("encoded")))
     write_shards(
-        sized.select(
+        labelled.select(
             "path",
             "file",
             "split",
             "shard",
-            "encoded",
             F.lit(image_format).alias("format"),
-            "height",
-            "width",
             F.col("label").cast("long").alias("label"),
-            *(["pixels"] if pixels else []),
+            *content,
         ),
         f"{out}/records",
         "file",
@@ -66,4 +68,5 @@ def prepare_image_dataset(
     )
     write_label_map(classes, out)
     classes.unpersist()
+    names.unpersist()
     return read_label_map(spark, f"{out}/labels.txt")

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import struct
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.functions.text import parent_name
 
-_PNG = b"\x89PNG\r\n\x1a\n"
+# fixed values: PNG signature, channels by PNG colour type, JPEG markers that start a frame header
+_PNG = "89504E470D0A1A0A"
 _PNG_CHANNELS = {0: 1, 2: 3, 3: 3, 4: 2, 6: 4}
-# fixed values: JPEG markers that start a frame header
-_JPEG_FRAMES = frozenset(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC}
+_JPEG_FRAMES = sorted(set(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC})
+#: segments and fill bytes that may stand before the frame header of a JPEG
+MAX_SEGMENTS = 1024
 
 
 def list_image_files(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
@@ -59,27 +59,51 @@ def read_images(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _header(raw: bytes) -> tuple[int, int, int]:
-    """(height, width, channels) from a PNG or JPEG header."""
-    if raw[:8] == _PNG:
-        width, height, _, colour = struct.unpack(">IIBB", raw[16:26])
-        return height, width, _PNG_CHANNELS[colour]
-    if raw[:2] != b"\xff\xd8":
-        raise ValueError("neither PNG nor JPEG")
-    at = 2
-    while raw[at] == 0xFF:
-        marker = raw[at + 1]
-        if marker in _JPEG_FRAMES:
-            _, _, height, width, channels = struct.unpack(">HBHHB", raw[at + 2 : at + 10])
-            return height, width, channels
-        at += 1 if marker == 0xFF else 2 + struct.unpack(">H", raw[at + 2 : at + 4])[0]
-    raise ValueError("no frame header")
+def _number(raw: Column, at: Column | int, size: int) -> Column:
+    """The big-endian number in ``size`` bytes from the 1-based place ``at``."""
+    at = F.lit(at) if isinstance(at, int) else at
+    return F.conv(F.hex(F.substring(raw, at, F.lit(size))), 16, 10).cast("long")
 
 
-def image_dims(encoded: Column) -> Column:
-    """``(height, width, channels)`` of encoded images, without decoding pixels."""
+def _dims(height: Column, width: Column, channels: Column) -> Column:
+    return F.struct(height.alias("height"), width.alias("width"), channels.alias("channels"))
+
+
+def _jpeg_dims(raw: Column) -> Column:
+    """Walk from marker to marker up to the frame header; null if there is none."""
+
+    def step(state: Column, _: Column) -> Column:
+        at = state["at"]
+        marker = _number(raw, at + 1, 1)
+        here = _dims(_number(raw, at + 5, 2), _number(raw, at + 7, 2), _number(raw, at + 9, 1))
+        onward = F.when(marker == 255, at + 1).otherwise(at + 2 + _number(raw, at + 2, 2))
+        none = F.lit(None).cast("struct<height:long,width:long,channels:long>")
+        moved = (
+            F.when(_number(raw, at, 1) != 255, F.struct(F.lit(None).cast("long").alias("at"), none.alias("dims")))
+            .when(marker.isin(_JPEG_FRAMES), F.struct(at.alias("at"), here.alias("dims")))
+            .otherwise(F.struct(onward.alias("at"), none.alias("dims")))
+        )
+        return F.when(at.isNull() | state["dims"].isNotNull(), state).otherwise(moved)
+
+    start = F.struct(F.lit(3).cast("long").alias("at"), F.lit(None).cast("struct<height:long,width:long,channels:long>").alias("dims"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(MAX_SEGMENTS)), start, step, lambda state: state["dims"])
 
-    def dims(raw: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_header(r) for r in raw], columns=["height", "width", "channels"])
 
-    return F.pandas_udf(dims, "height long, width long, channels long")(encoded)
+def image_dims(encoded: Column) -> Column:
+    """``(height, width, channels)`` of encoded PNG or JPEG images, read from their headers.
+
+    Column functions only: no pixel is decoded and no byte leaves the JVM.  Anything
+    else, or a JPEG without a frame header, fails the job.
+    """
+    colour = _number(encoded, 26, 1)
+    channels = F.lit(None).cast("long")
+    for kind, count in _PNG_CHANNELS.items():
+        channels = F.when(colour == kind, F.lit(count).cast("long")).otherwise(channels)
+    png = _dims(_number(encoded, 21, 4), _number(encoded, 17, 4), channels)
+    found = F.when(F.hex(F.substring(encoded, 1, 8)) == _PNG, png).when(
+        F.hex(F.substring(encoded, 1, 2)) == "FFD8", _jpeg_dims(encoded)
+    )
+    complaint = F.raise_error(F.lit("neither a PNG nor a JPEG with a frame header"))
+    return F.when(found["height"].isNotNull() & found["channels"].isNotNull(), found).otherwise(
+        complaint.cast("struct<height:long,width:long,channels:long>")
+    )

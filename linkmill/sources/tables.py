@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.fixed_values import (
@@ -39,22 +40,36 @@ def read_feature_table(
     )
 
 
+def _uniform(seed: int, key: Column, what: str) -> Column:
+    """A number in (0, 1) that hangs on its arguments alone: 32 bits of an MD5."""
+    text = F.concat_ws(":", F.lit(str(seed)), key.cast("string"), F.lit(what))
+    bits = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double")
+    return (bits + 0.5) / float(1 << 32)
+
+
 def with_synthetic_features(
-    ids: DataFrame, dim: int, classes: int = SYNTHETIC_CLASSES, seed: int = 0, repeat_one: bool = False
+    ids: DataFrame,
+    dim: int,
+    classes: int = SYNTHETIC_CLASSES,
+    seed: int = 0,
+    repeat_one: bool = False,
+    key: str = "id",
 ) -> DataFrame:
     """Add normal ``features`` and a uniform ``label`` to each row of ``ids``.
 
-    ``repeat_one`` gives every row the same vector and label.
+    Both are formulas over ``seed`` and the row's ``key`` (Box-Muller over two hashed uniforms), so the
+    same id has the same values in every run and layout.  ``repeat_one`` gives
+    every row those of key 0.
     """
-    spark = ids.sparkSession
-    cells = [F.randn(seed + i + 1).alias(f"c{i}") for i in range(dim)]
-    label = F.floor(F.rand(seed) * classes).cast("int")
-    if repeat_one:
-        one = spark.range(1, numPartitions=1).select(*cells, label.alias("label")).first()
-        features = F.array(*[F.lit(float(v)) for v in one[:-1]])
-        return ids.withColumns({"features": features.cast("array<float>"), "label": F.lit(one["label"])})
-    drawn = F.array(*[F.randn(seed + i + 1) for i in range(dim)])
-    return ids.withColumns({"features": drawn.cast("array<float>"), "label": label})
+    of = F.lit(0) if repeat_one else F.col(key)
+
+    def normal(i: int) -> Column:
+        radius = F.sqrt(F.lit(-2.0) * F.log(_uniform(seed, of, f"r{i}")))
+        return radius * F.cos(F.lit(2 * math.pi) * _uniform(seed, of, f"a{i}"))
+
+    features = F.array(*[normal(i) for i in range(dim)]).cast("array<float>")
+    label = F.floor(_uniform(seed, of, "label") * classes).cast("int")
+    return ids.withColumns({"features": features, "label": label})
 
 
 def synthetic_features(

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from linkmill.operators import classes as C
 from linkmill.operators import images as I
 from linkmill.operators import records as R
+from linkmill.plans import dataset_job as J
 from linkmill.plans.dataset_job import prepare_image_dataset
+from linkmill.plans.sizes import measured_bytes
 from linkmill.sources import images as SI
 from linkmill.sources import labels as SL
 from linkmill.sources import tables as ST
@@ -50,12 +52,35 @@ def test_headers_agree_with_decoding(spark, folder):
         assert tuple(row["d"]) == (3 + i % 2, 5, 3)
 
 
-def test_jpeg_header():
+def test_jpeg_header(spark):
     frame = b"\xff\xc2\x00\x11\x08\x01\x02\x03\x04\x03" + b"\0" * 9
-    raw = b"\xff\xd8" + b"\xff\xe0\x00\x04ab" + b"\xff\xc4\x00\x03x" + frame
-    assert SI._header(raw) == (0x0102, 0x0304, 3)
-    with pytest.raises(ValueError):
-        SI._header(b"GIF89a")
+    raw = b"\xff\xd8" + b"\xff\xe0\x00\x04ab" + b"\xff\xff\xff\xc4\x00\x03x" + frame
+    many = b"\xff\xd8" + b"\xff\xe2\x01\x00" * 1 + b"i" * 254 + b"\xff\xfe\x00\x02" * 300 + frame
+    frames = spark.createDataFrame([(raw,), (many,)], "encoded binary").select(SI.image_dims(F.col("encoded")).alias("d"))
+    assert [tuple(r["d"]) for r in frames.collect()] == [(0x0102, 0x0304, 3)] * 2
+    plan = frames._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("raw", [b"GIF89a", b"", None, b"\xff\xd8", b"\xff\xd8abcd", b"\xff\xd8\xff\xe0\x00\x04ab"])
+def test_other_files_fail(spark, raw):
+    with pytest.raises(Exception, match="neither a PNG nor a JPEG"):
+        spark.createDataFrame([(raw,)], "encoded binary").select(SI.image_dims(F.col("encoded"))).collect()
+
+
+def test_records_of_pixels_need_no_join(spark, folder, tmp_path, monkeypatch):
+    """Sizes in the JVM, one scan of the contents, pixels from the row's own image."""
+    plans = []
+    monkeypatch.setattr(J, "write_shards", lambda df, *_: plans.append(df._jdf.queryExecution().executedPlan().toString()))
+    for pixels in (False, True):
+        J.prepare_image_dataset(spark, folder, str(tmp_path / f"{pixels}"), n_validation=2, pixels=pixels)
+    encoded, decoded = plans
+    assert "Python" not in encoded and "Arrow" not in encoded
+    for plan in plans:
+        above_the_dictionary = plan.split("InMemoryTableScan")[0]
+        assert "SortMergeJoin" not in plan and above_the_dictionary.count("BroadcastHashJoin") == 1
+        assert plan.count("FileScan binaryFile") + plan.count("FileScan image") >= 1
+    assert "image" in decoded and "content#" not in decoded.split("InMemoryTableScan")[0]
 
 
 def test_features_are_fitted_and_standardised(spark, folder):
@@ -103,10 +128,34 @@ def test_class_lookup_fails_on_unknown_names(spark):
         C.attach_class_id(files, classes.where("name = 'a'")).collect()
 
 
-def test_large_dictionary_is_not_broadcast(spark):
-    df = spark.range(10)
-    assert "broadcast" in C.small_side(df, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in C.small_side(df, 9)._jdf.queryExecution().logical().toString().lower()
+def test_dictionaries_by_measured_size(spark):
+    files = spark.range(90).selectExpr("concat('c', least(id % 45, 3)) AS class", "id AS path").repartition(4)
+    classes = C.class_index(files)
+    size = measured_bytes(classes)
+    assert size > 4 * 8
+    results = []
+    for bound, broadcast in ((size, True), (size - 1, False)):
+        found = C.attach_class_id(files, classes, max_bytes=bound)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert ("slice" not in plan) == broadcast and "strategy=broadcast" in plan  # the heavy keys, at least
+        results.append(sorted(map(tuple, found.collect())))
+    assert results[0] == results[1] and len(results[0]) == 90
+
+
+def test_heavy_classes_are_sliced(spark, monkeypatch):
+    monkeypatch.setattr(C, "MIN_SLICE_ROWS", 5)
+    rows = [(f"p{i}", "heavy" if i % 3 else f"c{i}") for i in range(120)]
+    files = spark.createDataFrame(rows, "path string, class string").repartition(3)
+    found = C.attach_class_id(files, C.class_index(files), max_bytes=0)
+    want = {name: label for label, name in enumerate(sorted({c for _, c in rows}))}
+    assert sorted((r["path"], r["label"]) for r in found.collect()) == sorted((p, want[c]) for p, c in rows)
+    with pytest.raises(Exception, match="unknown class"):
+        C.attach_class_id(files, C.class_index(files).where("name <> 'heavy'"), max_bytes=0).collect()
+
+
+def test_bytes_of_all_kinds(spark):
+    row = spark.createDataFrame([("abc", b"12", [1, 2], None)], "s string, b binary, a array<int>, n int")
+    assert measured_bytes(row) >= 3 + 2 + 8 and measured_bytes(row.limit(0)) == 0
 
 
 def test_label_lines(lines_of):
@@ -163,9 +212,13 @@ def test_synset_layout(spark, tmp_path):
 
 
 def test_synthetic_rows(spark):
-    rows = ST.synthetic_features(spark, 200, 4, seed=1).collect()
-    assert len({tuple(r["features"]) for r in rows}) == 200
-    assert all(0 <= r["label"] < 1000 for r in rows) and len({r["label"] for r in rows}) > 50
+    rows = ST.synthetic_features(spark, 400, 4, seed=1).orderBy("id").collect()
+    assert len({tuple(r["features"]) for r in rows}) == 400
+    assert all(0 <= r["label"] < 1000 for r in rows) and len({r["label"] for r in rows}) > 100
+    cells = np.array([r["features"] for r in rows])
+    assert abs(cells.mean()) < 0.1 and abs(cells.std() - 1) < 0.1
+    again = ST.with_synthetic_features(spark.range(400).repartition(3), 4, seed=1).orderBy("id").collect()
+    assert again == rows and ST.synthetic_features(spark, 1, 4, seed=2).first() != rows[0]
     same = ST.synthetic_features(spark, 20, 4, repeat_one=True).collect()
     assert len({(tuple(r["features"]), r["label"]) for r in same}) == 1
 

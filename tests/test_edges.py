@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkmill.operators import edges as E
+from linkmill.sources import text as text_source
 from linkmill.sources.text import first_lines, read_edges, read_lines
 
 
@@ -106,3 +107,28 @@ def test_adjacency_over_many_tasks(spark, edges_of, limit, monkeypatch):
 
 def test_adjacency_of_nothing(edges_of):
     assert E.adjacency(edges_of([])).collect() == []
+
+
+def test_first_lines_read_heads_only(spark, tmp_path, monkeypatch):
+    """Small files together; of a large one as many splits as needed, and no later file."""
+    monkeypatch.setattr(text_source, "HEAD_BYTES", 40)
+    (tmp_path / "a.txt").write_text("a1\na2\n")
+    (tmp_path / "b.txt").write_text("")
+    (tmp_path / "c.txt").write_text("c1\n")
+    (tmp_path / "d.txt").write_text("".join(f"d{i:07d}\n" for i in range(100_000)))
+    (tmp_path / "e.txt.gz").write_bytes(b"no gzip here")
+    path, context = str(tmp_path), spark.sparkContext
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        want = ["a1", "a2", "c1"] + [f"d{i:07d}" for i in range(100_000)]
+        for n in (0, 2, 3, 40, 12_000):
+            context.setJobGroup(f"head{n}", "first lines")
+            assert [r["value"] for r in first_lines(spark, path, n).collect()] == want[:n]
+            stages = [s for j in context.statusTracker().getJobIdsForGroup(f"head{n}") for s in context.statusTracker().getJobInfo(j).stageIds]
+            tasks = sum(info.numTasks for s in stages if (info := context.statusTracker().getStageInfo(s)))
+            assert tasks < 30  # the large file has 14 splits
+        with pytest.raises(Exception, match="gzip"):
+            first_lines(spark, path, 100_004)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        context.setLocalProperty("spark.jobGroup.id", None)

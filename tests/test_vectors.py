@@ -123,3 +123,18 @@ def test_penalty_leaves_out_biases(spark):
     df = spark.createDataFrame(rows, "var string, idx long, value double")
     assert M.l2_penalty(df, 0.1).first()[0] == pytest.approx(1.25)
     assert M.l2_penalty(df.where("idx > 5")).first()[0] == 0.0
+
+
+def test_histogram_counts_every_value_once(spark):
+    nan, inf = float("nan"), float("inf")
+    values = [0.0, 0.1, 1.0, 1.0, 2.5, 9.99, 10.0, 10.0, None, nan, inf, -inf]
+    df = spark.createDataFrame([(v, 7, None) for v in values], "v double, same int, none double")
+    rows = M.column_histogram(df, ["v", "same", "none"], 4).collect()
+    got = {(r["column"], r["bin"]): (r["low"], r["high"], r["n"]) for r in rows}
+    assert got == {
+        ("v", 0): (0.0, 2.5, 4), ("v", 1): (2.5, 5.0, 1), ("v", 2): (5.0, 7.5, 0), ("v", 3): (7.5, 10.0, 3),
+        ("same", 0): (7.0, 7.0, 12), ("same", 1): (7.0, 7.0, 0), ("same", 2): (7.0, 7.0, 0), ("same", 3): (7.0, 7.0, 0),
+    }
+    summary = {r["column"]: r["histogram"] for r in M.column_summary(df, ["v", "none"], bins=2).collect()}
+    assert [(b["bin"], b["n"]) for b in summary["v"]] == [(0, 5), (1, 3)] and summary["none"] is None
+    assert M.column_histogram(df.limit(0), ["v"], 3).collect() == []

@@ -44,6 +44,23 @@ def attach_class(spark, sf_dir):
     return C.attach_class_id(files, C.class_index(files)).select("path", "label")
 
 
+def attach_class_by_shuffle(spark, sf_dir):
+    """The way of a dictionary too large to broadcast, with every class in slices of its own."""
+    files = file_list(spark, sf_dir)
+    usual, C.MIN_SLICE_ROWS = C.MIN_SLICE_ROWS, 10
+    try:
+        return C.attach_class_id(files, C.class_index(files), max_bytes=0).select("path", "label")
+    finally:
+        C.MIN_SLICE_ROWS = usual
+
+
+def synset_names_by_shuffle(spark, sf_dir):
+    supplier = table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
+    code = F.format_string("n%08d", "s_suppkey").alias("synset")
+    listed = supplier.select(F.col("s_suppkey").alias("position"), code)
+    return C.label_names(listed, supplier.select(code, F.col("s_name").alias("name")), max_bytes=0)
+
+
 def seeded_split_query(spark, sf_dir):
     return seeded_split(file_list(spark, sf_dir), "path").select("path", "split")
 
@@ -303,6 +320,14 @@ QUERIES = {
         attach_class,
         f"with {FILES_SQL}, {CLASSES_SQL} select path, label from files join classes using (lang)",
     ),
+    "attach_class_by_shuffle": (
+        attach_class_by_shuffle,
+        f"with {FILES_SQL}, {CLASSES_SQL} select path, label from files join classes using (lang)",
+    ),
+    "synset_names_by_shuffle": (
+        synset_names_by_shuffle,
+        """select s_suppkey + 1 as label, s_name as name from supplier union all select 0, 'background'""",
+    ),
     "seeded_split": (seeded_split_query, f"{SHARD_SQL} select path, split from splits"),
     "shards": (shards, f"{SHARD_SQL} select path, split, {SHARD_OF} as shard from splits"),
     "shard_roundtrip": (

@@ -299,10 +299,18 @@ def throughput(spark, sf_dir):
 
 def synthetic_features(spark, sf_dir):
     ids = vectors(spark, sf_dir).select("vec_id")
-    rows = with_synthetic_features(ids, 16, seed=3)
-    return rows.select(
-        "vec_id", F.size("features").alias("dim"), F.col("label").between(0, 999).alias("label_ok")
-    )
+    rows = with_synthetic_features(ids, 16, seed=3, key="vec_id")
+    flat = rows.select("vec_id", "label", F.posexplode("features").alias("k", "value"))
+    return flat.select("vec_id", "label", "k", F.round(F.col("value").cast("double"), 4).alias("value"))
+
+
+def synthetic_repeated(spark, sf_dir):
+    """One row for all, as its cells and how many rows have them."""
+    ids = vectors(spark, sf_dir).select("vec_id")
+    rows = with_synthetic_features(ids, 16, seed=3, repeat_one=True, key="vec_id")
+    flat = rows.select("label", F.posexplode("features").alias("k", "value"))
+    value = F.round(F.col("value").cast("double"), 4).alias("value")
+    return flat.groupBy("label", "k", value).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- pixels ------------------------------------------------------------------------------------
@@ -334,9 +342,16 @@ def column_summary(spark, sf_dir):
 
 
 def column_histogram(spark, sf_dir):
-    out = M.column_summary(table(spark, sf_dir, "lineitem", *SUMMARY), list(SUMMARY), bins=16)
-    total = F.aggregate("histogram", F.lit(0.0), lambda acc, bar: acc + bar["y"])
-    return out.select("column", (F.size("histogram") <= 16).alias("bins_ok"), total.cast("long").alias("n"))
+    out = M.column_histogram(table(spark, sf_dir, "lineitem", *SUMMARY), list(SUMMARY), 16)
+    return out.select("column", "bin", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"), "n")
+
+
+def summary_histogram(spark, sf_dir):
+    """The bins beside the summary, with their counts added up."""
+    out = M.column_summary(table(spark, sf_dir, "lineitem", *SUMMARY), list(SUMMARY), bins=7)
+    total = F.aggregate("histogram", F.lit(0).cast("long"), lambda acc, bar: acc + bar["n"])
+    first = F.get("histogram", F.lit(0))["n"]
+    return out.select("column", F.round("max", 5).alias("max"), F.size("histogram").alias("bins"), total.alias("n"), first.alias("first_n"))
 
 
 # --- oracles -------------------------------------------------------------------------------------
@@ -462,6 +477,15 @@ SUMMARY_SQL = " union all ".join(
     for c in SUMMARY
 )
 
+HISTOGRAM_SQL = """select '{c}' as "column", bin::int as bin, round(lo + bin * ((hi - lo) / {bins}), 6) as low,
+  round(case when bin = {bins} - 1 then hi else lo + (bin + 1) * ((hi - lo) / {bins}) end, 6) as high,
+  (select count(*) from lineitem where least(floor(({c}::double - lo) / (hi - lo) * {bins}), {bins} - 1) = bin) as n
+  from (select min({c})::double as lo, max({c})::double as hi from lineitem), range({bins}) t(bin)"""
+UNIFORM_SQL = "((('0x' || substr(md5('3:' || {key} || ':' || {what}), 1, 8))::bigint + 0.5::double) / 4294967296.0::double)"
+SYNTHETIC_SQL = f"""sqrt(-2.0::double * ln({UNIFORM_SQL.format(key="{key}", what="'r' || k")}))
+  * cos(2.0::double * pi() * {UNIFORM_SQL.format(key="{key}", what="'a' || k")}) as value,
+  floor({UNIFORM_SQL.format(key="{key}", what="'label'")} * 1000)::int as label"""
+
 BATCH_SQL = (
     "(place - 128 * {t} % (select count(*) from embeddings) + (select count(*) from embeddings))"
     " % (select count(*) from embeddings) < 128"
@@ -576,7 +600,13 @@ QUERIES = {
     ),
     "synthetic_features": (
         synthetic_features,
-        "select vec_id, 16 as dim, true as label_ok from embeddings",
+        f"""select vec_id, label, k, round(value::float::double, 4) as value from (
+          select vec_id, k, {SYNTHETIC_SQL.format(key="vec_id")} from embeddings, range(16) t(k))""",
+    ),
+    "synthetic_repeated": (
+        synthetic_repeated,
+        f"""select label, k, round(value::float::double, 4) as value, count(*) as n from (
+          select k, {SYNTHETIC_SQL.format(key="0")} from embeddings, range(16) t(k)) group by all""",
     ),
     "standardize": (
         standardize,
@@ -597,10 +627,13 @@ QUERIES = {
           unnest(list_transform(embedding, lambda x: floor(x::double * 100)))::double as value from embeddings""",
     ),
     "column_summary": (column_summary, SUMMARY_SQL),
-    "column_histogram": (
-        column_histogram,
+    "column_histogram": (column_histogram, " union all ".join(HISTOGRAM_SQL.format(c=c, bins=16) for c in SUMMARY)),
+    "summary_histogram": (
+        summary_histogram,
         " union all ".join(
-            f"""select '{c}' as "column", true as bins_ok, count({c}) as n from lineitem""" for c in SUMMARY
+            f"""select "column", (select round(max({c}), 5) from lineitem) as max, count(*) as bins, sum(n)::bigint as n,
+            any_value(n) filter (where bin = 0) as first_n from ({HISTOGRAM_SQL.format(c=c, bins=7)}) group by 1"""
+            for c in SUMMARY
         ),
     ),
 }
