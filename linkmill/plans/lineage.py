@@ -7,6 +7,9 @@ a folder below the session's warehouse, which is shared storage as well.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,13 +33,44 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/linkmill/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+_scratch: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written meanwhile by :func:`materialize` are deleted at the end, but for lasting ones.
+
+    Lasting tables belong to the scratch around this one, if there is any.
+    """
+    own: list[str] = []
+    token = _scratch.set((*_scratch.get(), own))
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in own:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder that this job wrote."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def materialize(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write ``df`` once as parquet and go on from the written table.
 
     Columns stay prunable and filters push down; values that are not
     repeatable (row positions, task numbers) are frozen by the write.
     """
-    return moved_to(df.sparkSession, df, name)
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    owners = _scratch.get()[:-1] if lasting else _scratch.get()
+    if owners:
+        owners[-1].append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def planned_session(spark: SparkSession, partitions: int, **settings: str) -> SparkSession:
@@ -61,6 +95,15 @@ def moved_to(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
+    """:func:`materialize` in no more files than the cluster writes in two waves of tasks.
+
+    For intermediate rows that are small beside the input: many shuffle partitions of few
+    rows would leave as many files.
+    """
+    return materialize(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism), name, lasting)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint, for intermediate rows read exactly once."""
     shared_folder(df.sparkSession)
