@@ -12,10 +12,11 @@ it stays together from level to level with a probability that falls slowly; pair
 below SIMILARITY / BOOST die out.  Independent trees are repeated until a pair at the
 threshold is missed with a probability of at most MISSED, worked out by :func:`trees`.
 
-All trees begin at level START.  In every node the classes are held against
+All trees begin at level START.  There the classes of every node are held against
 its busiest one; nodes whose classes are then joined are done.  Of the others, small nodes are
-compared exhaustively, large ones branch on.  What is still large at level DEPTH is
-compared in blocks.  Candidates that pass a comparison of their tokens are
+compared exhaustively, large ones branch on, level by level, unless their classes are
+so alike on average that branching would not part them.  Those, and what is still large and not joined
+at level DEPTH, are compared in blocks.  Candidates that pass a comparison of their tokens are
 counted on their whole sets, and only those that link count.
 """
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from linkmill.llm.components import components
 from linkmill.llm.hashing import U, mix, shingle_sets
 from linkmill.llm.set_links import checked, encoded, links_in_blocks, sets_of, slices, text_key
-from linkmill.plans.lineage import materialize
+from linkmill.plans.lineage import materialize, stored
 from linkmill.plans.sizes import small_side
 
 PERCENT, SIMILARITY = 85, 0.85
@@ -42,8 +44,10 @@ TOKENS, BOOST, START, DEPTH, MISSED = 64, 1.4, 2, 5, 1e-6
 SMALL = 24
 #: a set below this size links with no other set
 LEAST = 6
-#: tokens in which two sets must agree to be counted: a pair that links has fewer with probability 4e-10
-AGREE = 33
+#: tokens in which two sets must agree to be counted: a pair that links has fewer with probability 3e-7
+AGREE = 37
+#: mean share of equal tokens from which on a node would not shrink
+DENSE = SIMILARITY / BOOST
 
 _draw = np.random.default_rng(1310)
 _TIMES = _draw.integers(0, 2**31, TOKENS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -168,6 +172,16 @@ def _branched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["node", "rep", "n"])
 
 
+_ROW = "node long, rep long, n long"
+
+
+def _same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal tokens of the rows' two classes."""
+    for batch in batches:
+        same = (_matrix(batch.column("x")) == _matrix(batch.column("y"))).sum(axis=1)
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(same)], ["node", "same"])
+
+
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with AGREE equal tokens or more."""
     for batch in batches:
@@ -175,23 +189,44 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(same >= AGREE))
 
 
-def _within(rows: pa.Table) -> pa.Table:
-    """All pairs of a small node that may link and are not joined yet: ``a < b``."""
-    rows = rows.sort_by("rep")
-    rep, n, joined = (rows.column(c).to_numpy() for c in ("rep", "n", "component"))
-    tokens = _matrix(rows.column("tokens"))
-    i, j = np.triu_indices(len(rep), 1)
-    sized = (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])) & (joined[i] != joined[j])
-    i, j = i[sized], j[sized]
-    near = (tokens[i] == tokens[j]).sum(axis=1) >= AGREE
-    return pa.table({"a": pa.array(rep[i[near]], pa.int64()), "b": pa.array(rep[j[near]], pa.int64())})
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of a small node that may link and are not joined yet; rows come sorted by node and class."""
+    held: list[pa.RecordBatch] = []
+    for whole in batches:
+        for at in range(0, whole.num_rows, 4096):
+            rows = pa.Table.from_batches([*held, whole.slice(at, 4096)]).combine_chunks()
+            node = rows.column("node").to_numpy()
+            begin = int(np.argmax(node == node[-1]))
+            held = rows.slice(begin).to_batches()
+            yield _pairs(rows.slice(0, begin))
+    if held:
+        yield _pairs(pa.Table.from_batches(held))
+
+
+def _pairs(rows: pa.Table) -> pa.RecordBatch:
+    """Pairs ``a < b`` within the nodes, which are whole: each row against the one k places on."""
+    node, rep, n, joined = (rows.column(c).to_numpy() for c in ("node", "rep", "n", "component"))
+    tokens = _matrix(rows.column("tokens").combine_chunks()) if len(node) else None
+    found = [(rep[:0], rep[:0])]
+    for k in range(1, SMALL):
+        i = np.flatnonzero(node[:-k] == node[k:])
+        if not len(i):
+            break
+        j = i + k
+        few, many = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        open_ = (100 * few >= PERCENT * many) & (joined[i] != joined[j])
+        i, j = i[open_], j[open_]
+        near = (tokens[i] == tokens[j]).sum(axis=1) >= AGREE
+        found.append((rep[i[near]], rep[j[near]]))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _shared(rows: DataFrame, name: str) -> DataFrame:
+def _shared(rows: DataFrame) -> DataFrame:
     """Rows ``node, rep, n`` of nodes with two classes or more, with the node's ``size``."""
-    rows = materialize(rows, name)
-    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return materialize(rows.join(small_side(materialize(sizes, "sizes")), "node"), name)
+    rows = materialize(rows, "nodes")
+    sizes = stored(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    return stored(rows.join(small_side(sizes), "node"), "shared")
 
 
 def _with_pivots(shared: DataFrame) -> DataFrame:
@@ -203,13 +238,16 @@ def _with_pivots(shared: DataFrame) -> DataFrame:
     return shared.join(pivots, "node")
 
 
-def _torn(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows of the nodes whose classes lie in several components, with ``component``."""
-    reached = components(links).withColumnRenamed("node", "rep")
-    spread = shared.join(reached, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    spread = materialize(spread, "spread")
+def _torn(shared: DataFrame, reached: DataFrame) -> DataFrame:
+    """Rows ``node, rep, n, size, component`` of the nodes whose classes lie in several components."""
+    spread = shared.select("node", "rep", "n", "size").join(reached, "rep", "left")
+    spread = stored(spread.withColumn("component", F.coalesce("component", "rep")), "spread")
     several = spread.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return spread.join(several.select("node"), "node", "left_semi")
+    return stored(spread.join(several.select("node"), "node", "left_semi"), "torn")
+
+
+def _reached(links: DataFrame) -> DataFrame:
+    return components(links).withColumnRenamed("node", "rep")
 
 
 class _Classes:
@@ -218,26 +256,38 @@ class _Classes:
     def __init__(self, docs: DataFrame):
         keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *text_key())
         self.docs = docs
+        # written, as rows must keep their numbers
         self.told = materialize(
             keyed.mapInArrow(_told, _TOLD).withColumn("row", F.monotonically_increasing_id()), "told"
         )
         some = self.told.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("rows"))
         copies = some.where("rows > 1").drop("rows")
-        self.members = materialize(self.told.select("row", "n", "k1", "k2").join(copies, ["n", "k1", "k2"]).select("row", "rep"), "members")
+        copies = small_side(stored(copies, "copies"))
+        members = self.told.select("row", "n", "k1", "k2").join(copies, ["n", "k1", "k2"]).select("row", "rep")
+        self.members = stored(members, "members")
         others = self.members.where("row != rep").select("row")
         first = self.told.where("tokens is not null").join(small_side(others), "row", "left_anti")
         self.reps = first.select(F.col("row").alias("rep"), "n", "t1", "t2", "tokens")
 
+    def narrow(self, rows: DataFrame) -> None:
+        """Go on with the classes in ``rows`` alone."""
+        seen = stored(rows.select("rep").distinct(), "seen")
+        self.reps = stored(self.reps.join(small_side(seen), "rep", "left_semi"), "reps")
+
+    def with_tokens(self, rows: DataFrame) -> DataFrame:
+        return self.reps.select("rep", "tokens").join(small_side(rows), "rep")
+
     def linked(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs ``(a, b)`` that link, after a look at their tokens."""
+        """Those of the pairs ``(a, b)`` that link, after a look at their tokens, as a written table."""
         side = lambda c, x: self.reps.select(F.col("rep").alias(c), F.col("tokens").alias(x))
         near = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
-        near = materialize(near.mapInArrow(_agreeing, "a long, b long"), "near")
-        return materialize(checked(near, self.sets(near), PERCENT), "links")
+        near = stored(near.mapInArrow(_agreeing, "a long, b long"), "near")
+        return stored(checked(near, self.sets(near), PERCENT), "links")
 
     def sets(self, pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-        return sets_of(self.docs, materialize(self.reps.select("rep", "t1", "t2").join(wanted, "rep", "left_semi"), "wanted"))
+        wanted = stored(self.reps.select("rep", "t1", "t2").join(wanted, "rep", "left_semi"), "wanted")
+        return materialize(sets_of(self.docs, wanted), "sets")
 
 
 def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -253,40 +303,62 @@ def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     classes = _Classes(docs)
-    shared = _shared(classes.reps.mapInArrow(_starting(trees()), "node long, rep long, n long"), "nodes")
-    links = None
-    for level in range(START, DEPTH + 1):
-        pivoted = materialize(_with_pivots(shared), "pivots")
-        stars = pivoted.where("rep != pivot and 100 * least(n, pivot_n) >= 85 * greatest(n, pivot_n)")
-        stars = stars.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-        found = classes.linked(stars)
-        links = found if links is None else links.union(found)
-        torn = materialize(_torn(pivoted, links), "torn")
-        tokens = classes.reps.select("rep", "tokens")
-        small = torn.where(F.col("size") <= SMALL).select("node", "rep", "n", "component")
-        pairs = small.join(tokens, "rep").groupBy("node").applyInArrow(_within, "a long, b long").distinct()
-        links = links.union(classes.linked(pairs))
-        large = torn.where(F.col("size") > SMALL)
-        if level == DEPTH or large.isEmpty():
-            break
-        shared = _shared(large.select("node", "rep", "n").join(tokens, "rep").mapInArrow(_branched, "node long, rep long, n long"), "nodes")
-    ends = large.where("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-    if not ends.isEmpty():
-        links = links.union(materialize(links_in_blocks(large, "pivot", classes.sets(ends), PERCENT), "links"))
-    reached = components(links).withColumnRenamed("node", "rep")
+    links = _links(classes)
     rows = (
         classes.told.select("row", "doc_id", "n")
         .join(classes.members, "row", "left")
         .withColumn("rep", F.coalesce("rep", "row"))
-        .join(reached, "rep", "left")
+        .join(_reached(links), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
     )
     rows = materialize(rows, "reached")
     lowest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    lowest = materialize(lowest.drop("rows"), "lowest")
-    many = F.col("found")
-    return (
-        rows.join(small_side(lowest.withColumn("found", F.lit(True))), "component", "left")
-        .withColumn("component_id", F.when(many, F.col("component_id")).otherwise(F.col("doc_id")))
-        .select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
-    )
+    lowest = stored(lowest.select("component", "component_id", F.lit(True).alias("found")), "lowest")
+    component = F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id"))
+    named = rows.join(small_side(lowest), "component", "left").withColumn("component_id", component)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return named.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept)
+
+
+def _links(classes: _Classes) -> DataFrame:
+    """Links ``(a, b)`` between classes that join what all links join."""
+    shared = _shared(classes.reps.mapInArrow(_starting(trees()), _ROW))
+    classes.narrow(shared)
+    pivoted = stored(_with_pivots(shared), "pivots")
+    stars = pivoted.where(f"rep != pivot and 100 * least(n, pivot_n) >= {PERCENT} * greatest(n, pivot_n)")
+    stars = stars.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+    links = classes.linked(stars)
+    reached = _reached(links)
+    torn = _torn(pivoted, reached)
+    pairs, blocks = [], []
+    for level in range(START, DEPTH + 1):
+        small = torn.where(F.col("size") <= SMALL).select("node", "rep", "n", "component")
+        small = classes.with_tokens(small).repartition("node").sortWithinPartitions("node", "rep")
+        pairs.append(stored(small.mapInArrow(_within, "a long, b long"), "pairs"))
+        large = torn.where(F.col("size") > SMALL)
+        if large.isEmpty():
+            break
+        dense = _dense(large, classes)
+        blocks.append(large if level == DEPTH else large.join(dense, "node", "left_semi"))
+        if level < DEPTH:
+            rest = large.join(dense, "node", "left_anti").select("node", "rep", "n")
+            torn = _torn(_shared(classes.with_tokens(stored(rest, "rest")).mapInArrow(_branched, _ROW)), reached)
+    links = links.union(classes.linked(reduce(DataFrame.union, pairs).distinct()))
+    if not blocks:
+        return links
+    large = _torn(reduce(DataFrame.union, blocks).drop("component"), _reached(links))
+    if large.isEmpty():
+        return links
+    pivots = large.groupBy("node").agg(F.min("rep").alias("pivot"))
+    large = stored(large.join(pivots, "node").select("node", "rep", "component", "pivot"), "large")
+    sets = classes.sets(large.select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
+    return links.union(stored(links_in_blocks(large, "pivot", sets, PERCENT), "links"))
+
+
+def _dense(large: DataFrame, classes: _Classes) -> DataFrame:
+    """The ``node``s whose classes have DENSE of their tokens in common with the first of them, on average."""
+    heads = large.groupBy("node").agg(F.min("rep").alias("rep"))
+    heads = stored(classes.with_tokens(stored(heads, "heads")).select("node", F.col("tokens").alias("y")), "heads")
+    held_against = classes.with_tokens(large.select("node", "rep")).join(small_side(heads), "node")
+    same = held_against.select("node", F.col("tokens").alias("x"), "y").mapInArrow(_same, "node long, same long")
+    return stored(same.groupBy("node").agg(F.avg("same").alias("same")).where(F.col("same") >= DENSE * TOKENS).select("node"), "dense")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkmill.plans.lineage import materialize
+from linkmill.plans.lineage import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,15 +16,13 @@ def components(edges: DataFrame) -> DataFrame:
     Labels are written after each round; the last round changes none.
     Self-loops, repeated edges and no edges at all are fine.
     """
-    both = materialize(
+    both = stored(
         edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
         .union(edges.select("b", "a"))
         .distinct(),
         "edges",
     )
-    labels = materialize(
-        both.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), "labels"
-    )
+    labels = stored(both.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "other"), "other")
         low = near.groupBy("node").agg(F.min("component").alias("near"))
@@ -34,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
             F.least("component", "near").alias("to"),
         )
         jump = labels.select(F.col("node").alias("to"), F.col("component").alias("far"))
-        new = materialize(
+        new = stored(
             moved.join(jump, "to").select("node", "was", F.least("to", "far").alias("component")),
             "labels",
         )

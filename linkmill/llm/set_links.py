@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from linkmill.llm.components import components
 from linkmill.llm.hashing import shingle_sets
-from linkmill.plans.lineage import materialize
+from linkmill.plans.lineage import stored
 from linkmill.plans.sizes import small_side
 
 #: sets in a block, and columns of an incidence matrix that are held at once
@@ -24,8 +24,9 @@ BLOCK, COLUMNS = 192, 16_384
 
 
 def text_key() -> list:
-    """Columns that name a text; with 128 bits no two texts of a corpus share them."""
-    return [F.xxhash64("text").alias("t1"), F.xxhash64(F.reverse("text"), F.length("text")).alias("t2")]
+    """Columns that name a text: two hashes and the size, over 100 bits that no two texts of a corpus share."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return [F.xxhash64("text").alias("t1"), F.shiftleft(size, 32).bitwiseXOR(F.hash("text").cast("long")).alias("t2")]
 
 
 def slices(batch: pa.RecordBatch, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
@@ -46,7 +47,7 @@ def encoded(column: pa.Array) -> list[bytes]:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``rep, n, items`` as a written table, for ``wanted (rep, t1, t2)`` out of the texts of ``docs``."""
+    """``rep, n, items`` for ``wanted (rep, t1, t2)`` out of the texts of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -58,7 +59,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     keyed = docs.select("text", *text_key()).join(small_side(wanted), ["t1", "t2"])
     one = keyed.groupBy("rep").agg(F.min("text").alias("text"))
-    return materialize(one.mapInArrow(run, "rep long, n long, items array<long>"), "sets")
+    return one.mapInArrow(run, "rep long, n long, items array<long>")
 
 
 def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -123,20 +124,30 @@ def block_forest(percent: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def links_in_blocks(nodes: DataFrame, pivot: str, sets: DataFrame, percent: int) -> DataFrame:
-    """Forests of the links among sets that share a node, for nodes of any size.
+    """Forests of the links among sets that share a node but not a component, for nodes of any size.
 
-    ``nodes`` has ``rep`` and a column that names one member of the row's node.
-    Sets joined by nodes are dealt into blocks of about BLOCK by a hash; each two blocks
-    meet in one task, which holds two blocks and returns at most one row per set.
+    ``nodes`` has ``rep``, its ``component`` so far, and a column that names one member of the
+    row's node.  Sets that nodes join are of one kind.  The largest component of a kind and the other sets are
+    dealt into blocks of about BLOCK by a hash; each two blocks meet in one task, unless both
+    are of that component.  A task holds two blocks and returns at most one row per set.
     """
     edges = nodes.where(F.col("rep") != F.col(pivot)).select(F.col("rep").alias("a"), F.col(pivot).alias("b"))
     kinds = components(edges.distinct()).select(F.col("node").alias("rep"), F.col("component").alias("kind"))
-    counts = kinds.groupBy("kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    members = stored(nodes.select("rep", "component").distinct().join(kinds, "rep"), "kinds")
+    sized = members.groupBy("kind", "component").agg(F.count(F.lit(1)).alias("size"))
+    most = F.max_by("component", F.struct("size", "component")).alias("main")
+    shape = sized.groupBy("kind").agg(most, F.max("size").alias("mains"), F.sum("size").alias("all"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    shape = shape.select("kind", "main", blocks(F.col("mains")).alias("inner"), blocks(F.col("all") - F.col("mains")).alias("outer"))
+    place, main = F.xxhash64("rep"), F.col("component") == F.col("main")
+    own = F.when(main, F.col("outer") + F.pmod(place, F.col("inner"))).otherwise(F.pmod(place, F.col("outer")))
+    last = F.when(main, F.col("outer") - 1).otherwise(F.col("outer") + F.col("inner") - 1)
     dealt = (
-        kinds.join(counts, "kind")
-        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        members.join(shape, "kind")
+        .where("outer > 0")
+        .withColumn("block", own.cast("int"))
         .join(sets.select("rep", "items"), "rep")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
         .select("kind", "rep", "block", "items", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     )
     return dealt.groupBy("kind", "low", "high").applyInArrow(block_forest(percent), "a long, b long")

@@ -61,8 +61,10 @@ def test_families_and_thresholds(spark):
     assert groups(frame) == brute.similar_groups(rows, 85)
 
 
-def test_every_way_of_comparing(spark, monkeypatch):
-    """With the smallest nodes and blocks, nodes branch to the last level and are compared block by block."""
+@pytest.mark.parametrize("dense", [chosen_path.DENSE, 0.0, 2.0])
+def test_every_way_of_comparing(spark, monkeypatch, dense):
+    """With the smallest nodes and blocks: dense nodes in blocks, all nodes in blocks, all branch to the last level."""
+    monkeypatch.setattr(chosen_path, "DENSE", dense)
     seen = []
     blocks = set_links.links_in_blocks
     monkeypatch.setattr(chosen_path, "links_in_blocks", lambda *x: seen.append(1) or blocks(*x))
