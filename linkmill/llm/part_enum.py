@@ -24,7 +24,8 @@ with one of the largest.  Where it spans several after that, all classes outside
 the largest component are compared with those of other components, or block by
 block if the signature is shared by many.  A pair is
 checked by size, by a bitmap whose differing bits bound the distance from
-below, and last by counting the intersection of the sets.
+below, and last by counting the intersection of the whole sets.  Blocks return a
+forest of their links, not every link.
 """
 
 from __future__ import annotations
@@ -32,15 +33,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkmill.llm.components import components
 from linkmill.llm.hashing import U, mix, shingle_sets
-from linkmill.plans.lineage import fresh_path, materialize
+from linkmill.llm.set_links import checked, encoded, links_in_blocks, sets_of, slices, text_key
+from linkmill.plans.lineage import delete_path, fresh_path, materialize, scratch, stored
+from linkmill.plans.sizes import small_side
 
 #: signatures in a bucket, on average; bounds the memory of a task
 BUCKET = 500_000
@@ -48,40 +51,23 @@ BUCKET = 500_000
 GATHER = 500_000
 #: rows of one signature in a task from which on most go round its bucket
 COMMON = 16
-#: classes of one signature from which on they are compared in blocks, classes in a block,
-#: and columns of an incidence matrix that are held at once
-MANY, BLOCK, COLUMNS = 48, 96, 16_384
+#: classes of one signature from which on they are compared in blocks
+MANY = 48
+PERCENT = 75
 #: documents read to find frequent shingles, and how many of those are set aside at most;
 #: both change only how many candidates there are, never which links are found
 SAMPLE_DOCS, SAMPLE_SHARE, SAMPLE_TIMES, FREQUENT = 200_000, 1 / 16, 3, 200_000
 _LOW40 = U((1 << 40) - 1)
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    column = batch.column(batch.schema.get_field_index("text"))
-    return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
-
-
-def _slices(batch: pa.RecordBatch, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
-    """``batch`` in runs of rows of about ``size`` bytes of text."""
-    column = batch.column(batch.schema.get_field_index("text"))
-    begin, held = 0, 0
-    for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
-        if held and held + n > size:
-            yield batch.slice(begin, i - begin)
-            begin, held = i, 0
-        held += n
-    yield batch.slice(begin)
-
-
 def frequent_shingles(docs: DataFrame, rows: int) -> np.ndarray:
     """Sorted shingles found SAMPLE_TIMES or more in a sample: at most FREQUENT, commonest first."""
     share = min(SAMPLE_SHARE, SAMPLE_DOCS / max(rows, 1))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch):
-                found, times = np.unique(shingle_sets(_texts(part))[0], return_counts=True)
+            for part in slices(batch):
+                found, times = np.unique(shingle_sets(encoded(part.column("text")))[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.view(np.int64)), pa.array(times)], ["shingle", "times"]
                 )
@@ -180,101 +166,100 @@ def _folded(a: bytes, b: bytes) -> tuple[np.ndarray, np.ndarray]:
     return x, y
 
 
-_ROW = "bucket int, doc_id long, n long, key binary, bitmap binary, marks binary, ids binary"
-_SCHEMA = pa.schema(
-    [("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64())]
-    + [(name, pa.binary()) for name in ("key", "bitmap", "marks", "ids")]
-)
+_DOC = [("doc_id", pa.int64()), ("id", pa.int64())] + [(c, pa.int64()) for c in ("n", "k1", "k2", "t1", "t2")]
+_SCHEMA = pa.schema([("bucket", pa.int32()), *_DOC] + [(c, pa.binary()) for c in ("bitmap", "marks", "places")])
+_ROW = "bucket int, doc_id long, id long, n long, k1 long, k2 long, t1 long, t2 long, bitmap binary, marks binary, places binary"
 
 
 def _signed(buckets: int, frequent):
-    """Task function: rows of documents (negative bucket) and of signatures packed by bucket."""
+    """Task function: rows of documents (negative bucket) and of signatures packed by bucket.
+
+    The first text of each set in a task has an ``id``: the task, one of its gatherings of
+    signatures, and the place there.  A packed signature is the mark without its bucket and that place.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        seen: set[bytes] = set()
+        seen: set[tuple] = set()
+        base, place, count = TaskContext.get().partitionId() << 32, 0, 0
 
         def packed() -> pa.RecordBatch:
             marks = np.concatenate([m for m, _ in held])
-            ids = np.concatenate([i for _, i in held])
+            places = np.concatenate([i for _, i in held])
             held.clear()
-            seen.clear()
             bucket = ((marks >> U(40)) % U(buckets)).astype(np.int64)
             name = ((bucket.astype(U) << U(40)) | (marks & _LOW40)).view(np.int64)
             order = np.argsort(name, kind="stable")
-            bucket, ids, name = bucket[order], ids[order], name[order]
+            bucket, places, name = bucket[order], places[order], name[order]
             begin = np.flatnonzero(np.diff(name, prepend=-1))
             times = np.diff(np.append(begin, len(name)))
-            place = np.arange(len(name)) - np.repeat(begin, times)
+            rank = np.arange(len(name)) - np.repeat(begin, times)
             # of a signature that is common here already, two rows stand for it in its bucket
-            known = (np.repeat(times, times) > COMMON) & (place > 1)
+            known = (np.repeat(times, times) > COMMON) & (rank > 1)
             rows = []
             for at in range(0, int(known.sum()), BUCKET // 4):
                 take = np.flatnonzero(known)[at : at + BUCKET // 4]
-                rows.append(
-                    {
-                        "bucket": -1 - int(name[take[0]] + ids[take[-1]]) % buckets,
-                        "marks": name[take].tobytes(),
-                        "ids": ids[take].tobytes(),
-                    }
-                )
-            bucket, ids, name = bucket[~known], ids[~known], name[~known]
+                packs = {"marks": name[take].tobytes(), "places": places[take].astype("<u2").tobytes()}
+                rows.append({"bucket": -1 - int(name[take[0]] + places[take[-1]]) % buckets, "id": base, **packs})
+            bucket, places, name = bucket[~known], places[~known].astype("<u2"), name[~known]
             low = name.view(np.uint8).reshape(-1, 8)[:, :5]
-            small = len(ids) and 0 <= ids.min() and ids.max() < 2**32
-            ids = ids.astype(np.uint32) if small else ids
             cut = np.flatnonzero(np.diff(bucket, prepend=-1))
             for a, b in zip(cut.tolist(), np.append(cut[1:], len(bucket)).tolist(), strict=True):
-                packs = {"marks": low[a:b].tobytes(), "ids": ids[a:b].tobytes()}
-                rows.append({"bucket": int(bucket[a]), **packs})
+                rows.append({"bucket": int(bucket[a]), "id": base, "marks": low[a:b].tobytes(), "places": places[a:b].tobytes()})
             return pa.RecordBatch.from_pylist(rows, _SCHEMA)
 
-        count = 0
         for whole in batches:
-            for batch in _slices(whole):
-                names = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
-                sets, sizes = shingle_sets(_texts(batch))
+            for batch in slices(whole):
+                sets, sizes = shingle_sets(encoded(batch.column("text")))
                 ends = np.cumsum(sizes)
-                keys = [
-                    bytes(8)
-                    if not n
-                    else np.array([s.sum(dtype=U), mix(s + U(5)).sum(dtype=U)]).tobytes()
-                    for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)
-                    for s in [sets[e - n : e]]
-                ]
-                yield pa.RecordBatch.from_pylist(
-                    [
-                        {"bucket": -1 - i % buckets, "doc_id": d, "n": n, "key": k, "bitmap": m}
-                        for i, (d, n, k, m) in enumerate(
-                            zip(names, sizes.tolist(), keys, _bitmaps(sets, sizes), strict=True)
-                        )
-                    ],
-                    _SCHEMA,
-                )
+                keys = np.zeros((2, len(sizes)), U)
+                filled = np.flatnonzero(sizes)
+                if len(filled):
+                    keys[0, filled] = np.add.reduceat(sets, (ends - sizes)[filled])
+                    keys[1, filled] = np.add.reduceat(mix(sets + U(5)), (ends - sizes)[filled])
                 fresh = []
-                for i, (d, k) in enumerate(zip(names, keys, strict=True)):
-                    if d is not None and sizes[i] and k not in seen:
-                        seen.add(k)
+                for i, key in enumerate(zip(sizes.tolist(), *keys.tolist(), strict=True)):
+                    if sizes[i] and key not in seen:
+                        seen.add(key)
                         fresh.append(i)
+                if held and place + len(fresh) > 1 << 16:
+                    yield packed()
+                    base, place, count = base + (1 << 16), 0, 0
+                chosen = np.zeros(len(sizes), bool)
+                chosen[fresh] = True
+                own = sets[np.repeat(chosen, sizes)]
+                ids = np.full(len(sizes), -1)
+                ids[fresh] = base + place + np.arange(len(fresh))
+                bitmaps = iter(_bitmaps(own, sizes[chosen]))
+                columns = {
+                    "bucket": pa.array(-1 - np.arange(len(sizes)) % buckets, pa.int32()),
+                    "doc_id": batch.column("doc_id"),
+                    "id": pa.array(ids, pa.int64(), mask=~chosen),
+                    "n": pa.array(sizes),
+                    "k1": pa.array(keys[0].view(np.int64)),
+                    "k2": pa.array(keys[1].view(np.int64)),
+                    "t1": batch.column("t1"),
+                    "t2": batch.column("t2"),
+                    "bitmap": pa.array([next(bitmaps) if c else None for c in chosen.tolist()], pa.binary()),
+                }
+                blank = pa.nulls(len(sizes), pa.binary())
+                yield pa.RecordBatch.from_arrays([columns.get(f.name, blank) for f in _SCHEMA], schema=_SCHEMA)
                 if fresh:
-                    keep = np.zeros(len(sizes), bool)
-                    keep[fresh] = True
-                    marks, whose = signatures(sets[np.repeat(keep, sizes)], sizes[keep], frequent.value)
-                    held.append((marks, np.array([names[i] for i in fresh], np.int64)[whose]))
+                    marks, whose = signatures(own, sizes[chosen], frequent.value)
+                    held.append((marks, place + whose))
+                    place += len(fresh)
                     count += len(marks)
                 if count >= GATHER:
-                    count = 0
                     yield packed()
+                    base, place, count = base + (1 << 16), 0, 0
         if held:
             yield packed()
 
     return run
 
 
-_FOUND = "kind string, mark long, doc_id long, n long, key binary, bitmap binary"
-_FOUND_SCHEMA = pa.schema(
-    [("kind", pa.string()), ("mark", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64())]
-    + [(name, pa.binary()) for name in ("key", "bitmap")]
-)
+_FOUND = "kind string, mark long, doc_id long, id long, n long, k1 long, k2 long, t1 long, t2 long, bitmap binary"
+_FOUND_SCHEMA = pa.schema([("kind", pa.string()), ("mark", pa.int64()), *_DOC, ("bitmap", pa.binary())])
 
 
 def _found(rows: int, kind: str, **columns: pa.ChunkedArray | np.ndarray) -> pa.Table:
@@ -286,12 +271,16 @@ def _found(rows: int, kind: str, **columns: pa.ChunkedArray | np.ndarray) -> pa.
     )
 
 
-def _mark_rows(marks: np.ndarray, ids: np.ndarray) -> pa.Table:
-    return _found(len(marks), "mark", mark=marks, doc_id=ids)
+def _unpacked(rows: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Marks (as packed bytes) and ids of packed rows."""
+    marks = [np.frombuffer(x.as_buffer(), np.uint8) for x in rows.column("marks")]
+    bases = rows.column("id").to_pylist()
+    places = [np.frombuffer(x.as_buffer(), "<u2") for x in rows.column("places")]
+    return marks, [base + place.astype(np.int64) for base, place in zip(bases, places, strict=True)]
 
 
 def _shared(rows: pa.Table) -> pa.Table:
-    """Of a bucket: the (signature, document) rows of signatures that two documents have.
+    """Of a bucket: the (signature, set) rows of signatures that two rows have.
 
     Arrow on both ends: ids stay 64-bit integers beside nulls.
     """
@@ -299,28 +288,19 @@ def _shared(rows: pa.Table) -> pa.Table:
     if bucket < 0:
         sure = pc.is_valid(rows.column("marks"))
         docs = rows.filter(pc.invert(sure))
-        packs = rows.filter(sure)
-        marks = [np.frombuffer(x.as_buffer(), np.int64) for x in packs.column("marks")]
-        ids = [np.frombuffer(x.as_buffer(), np.int64) for x in packs.column("ids")]
-        plain = {name: docs.column(name) for name in ("doc_id", "n", "key", "bitmap")}
-        return pa.concat_tables(
-            [_found(len(docs), "doc", **plain)] + [_mark_rows(m, i) for m, i in zip(marks, ids, strict=True)]
-        )
-    marks, ids = [], []
-    for packed, names in zip(rows.column("marks"), rows.column("ids"), strict=True):
-        low = np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, 5)
-        whole = np.zeros((len(low), 8), np.uint8)
-        whole[:, :5] = low
-        marks.append(whole.view(np.int64).ravel())
-        names = names.as_buffer()
-        width = np.uint32 if len(names) == 4 * len(low) else np.int64
-        ids.append(np.frombuffer(names, width).astype(np.int64))
-    mark, doc = np.concatenate(marks), np.concatenate(ids)
+        plain = {name: docs.column(name) for name in (*(c for c, _ in _DOC), "bitmap")}
+        marks, ids = _unpacked(rows.filter(sure))
+        found = [_found(len(i), "mark", mark=m.view(np.int64), id=i) for m, i in zip(marks, ids, strict=True)]
+        return pa.concat_tables([_found(len(docs), "doc", **plain), *found])
+    marks, ids = _unpacked(rows)
+    whole = np.zeros((sum(map(len, ids)), 8), np.uint8)
+    whole[:, :5] = np.concatenate(marks).reshape(-1, 5)
+    mark, ids = whole.view(np.int64).ravel(), np.concatenate(ids)
     order = np.argsort(mark)
-    mark, doc = mark[order], doc[order]
+    mark, ids = mark[order], ids[order]
     same = mark[1:] == mark[:-1]
     keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    return _mark_rows(mark[keep] + (bucket << 40), doc[keep])
+    return _found(int(keep.sum()), "mark", mark=mark[keep] + (bucket << 40), id=ids[keep])
 
 
 def _near_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,235 +314,137 @@ def _near_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _packed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sets of texts, five bytes a shingle."""
-    for whole in batches:
-        for batch in _slices(whole):
-            sets, sizes = shingle_sets(_texts(batch))
-            low = (sets & _LOW40).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-            ends = (5 * np.cumsum(sizes)).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(batch.schema.get_field_index("doc_id")),
-                    pa.array([low[e - 5 * n : e] for e, n in zip(ends, sizes.tolist(), strict=True)]),
-                ],
-                ["doc_id", "items"],
-            )
-
-
-def _unpacked(packed: bytes) -> np.ndarray:
-    low = np.frombuffer(packed, np.uint8).reshape(-1, 5)
-    whole = np.zeros((len(low), 8), np.uint8)
-    whole[:, :5] = low
-    return whole.view(np.int64).ravel()
-
-
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with 100 * intersection >= 75 * union."""
-    for batch in batches:
-        a, _, x, y = (batch.column(i).to_pylist() for i in range(4))
-        keep = []
-        for i in range(len(a)):
-            p, q = _unpacked(x[i]), _unpacked(y[i])
-            both = np.sort(np.concatenate([p, q]))
-            inter = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * inter >= 75 * (len(p) + len(q) - inter))
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-
 def _links(pairs: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of class representatives that are similar."""
     side = lambda c, n, m: known.select(
-        F.col("doc_id").alias(c), F.col("n").alias(n), F.col("bitmap").alias(m)
+        F.col("rep").alias(c), F.col("n").alias(n), F.col("bitmap").alias(m)
     )
     near = (
         pairs.join(side("a", "n", "x"), "a")
         .join(side("b", "m", "y"), "b")
-        .where(F.least("n", "m") * 100 >= F.greatest("n", "m") * 75)
+        .where(F.least("n", "m") * 100 >= F.greatest("n", "m") * PERCENT)
         .select("a", "b", "n", "m", "x", "y")
         .mapInArrow(_near_enough, "a long, b long")
     )
-    near = materialize(near, "near")
-    of = lambda c, s: sets.select(F.col("doc_id").alias(c), F.col("items").alias(s))
-    found = (
-        near.join(of("a", "x"), "a")
-        .join(of("b", "y"), "b")
-        .select("a", "b", "x", "y")
-        .mapInArrow(_linked, "a long, b long")
-    )
-    return materialize(found, "links")
-
-
-def _unions(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links within a pair of blocks, by products of slices of their incidence matrices."""
-    low, high = int(rows.low.iloc[0]), int(rows.high.iloc[0])
-    rows = rows.sort_values("rep")
-    a = rows[rows.block == low]
-    b = a if low == high else rows[rows.block == high]
-    if a.empty or b.empty:
-        return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-    sides = []
-    for side in (a, b):
-        sets = [_unpacked(x) for x in side["items"]]
-        sizes = np.array([len(x) for x in sets])
-        sides.append((np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), sizes))
-    (of_a, in_a, size_a), (of_b, in_b, size_b) = sides
-    common = np.intersect1d(in_a, in_b)
-    both = np.zeros((len(a), len(b)), np.float64)
-    for at in range(0, len(common), COLUMNS):
-        names = common[at : at + COLUMNS]
-        matrices = []
-        for of, items, count in ((of_a, in_a, len(a)), (of_b, in_b, len(b))):
-            spot = np.minimum(np.searchsorted(names, items), len(names) - 1)
-            here = names[spot] == items
-            matrix = np.zeros((count, len(names)), np.float32)
-            matrix[of[here], spot[here]] = 1
-            matrices.append(matrix)
-        both += matrices[0] @ matrices[1].T
-    linked = 100 * both >= 75 * (size_a[:, None] + size_b[None, :] - both)
-    x, y = a.rep.to_numpy()[np.nonzero(linked)[0]], b.rep.to_numpy()[np.nonzero(linked)[1]]
-    return pd.DataFrame({"a": np.minimum(x, y)[x != y], "b": np.maximum(x, y)[x != y]})
-
-
-def _block_links(wide: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links among the classes of signatures that many classes share, block against block.
-
-    Classes joined by such signatures are dealt into blocks of about BLOCK, and
-    each two blocks are compared in one task, which holds two blocks at most.
-    No pairs are made rows; each set is sent once per block of its own kind.
-    """
-    edges = wide.where("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-    kinds = components(edges.distinct())
-    reps = wide.select("rep").distinct().join(kinds.withColumnRenamed("node", "rep"), "rep")
-    reps = materialize(reps.withColumnRenamed("component", "kind"), "kinds")
-    counts = reps.groupBy("kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = (
-        reps.join(counts, "kind")
-        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("kind", "rep", "block", "items", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    )
-    return materialize(dealt.groupBy("kind", "low", "high").applyInPandas(_unions, "a long, b long"), "links")
+    return stored(checked(stored(near, "near"), sets, PERCENT), "links")
 
 
-def _torn(shared: DataFrame, reached: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``shared`` with components, and the signatures with several: ``mark, main`` (their largest)."""
-    spread = shared.join(reached.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep")
-    )
-    spread = materialize(spread, "spread")
-    torn = (
-        spread.groupBy("mark", "component")
-        .agg(F.count(F.lit(1)).alias("reps"))
-        .groupBy("mark")
-        .agg(F.max_by("component", F.struct("reps", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1")
-        .drop("parts")
-    )
-    return spread, torn
+def _pairs(one: str, other: str) -> list:
+    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
+
+def _torn(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """``mark, rep, component`` of the signatures whose classes lie in several components."""
+    reached = components(links).withColumnRenamed("node", "rep")
+    spread = shared.join(small_side(reached), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    several = spread.groupBy("mark").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    several = stored(several.where("low < high").select("mark"), "several")
+    return stored(spread.join(small_side(several), "mark", "left_semi"), "torn")
+
+
+def _with_main(torn: DataFrame) -> DataFrame:
+    """Adds ``main``, the largest component of each signature, and ``classes``, its number of classes."""
+    counts = torn.groupBy("mark", "component").agg(F.count(F.lit(1)).alias("reps"))
+    main = F.max_by("component", F.struct("reps", "component")).alias("main")
+    return torn.join(counts.groupBy("mark").agg(main, F.sum("reps").alias("classes")), "mark")
 
 
 def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Groups of similar texts: ``doc_id, n_shingles, component_id``.
+    """Groups of similar texts: ``doc_id, n_shingles, component_id``, as a written table.
 
-    Two documents link when 100 * intersection >= 75 * union of their sets of
+    Two rows link when 100 * intersection >= 75 * union of their sets of
     five-word shingles (words between white space, A-Z lower-cased; a text of
     fewer words is one shingle); ``component_id`` is the smallest id reachable.
-    Null or wordless texts have 0 shingles and link with nothing; a null id is
-    returned with a null component.  Ids are whole numbers and name a text:
-    rows that repeat an id must repeat its text.
+    Null or wordless texts have 0 shingles and link with nothing.  Ids are whole numbers.  Every
+    row is judged by its own text: rows that repeat an id are rows of their own, a row with a null
+    id links like any other and takes the smallest id there is, null if none.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    with scratch(spark):
+        known, members, shared = _signatures(docs)
+        classes = known.where("id is not null").join(small_side(members.where("id != rep")), "id", "left_anti")
+        classes = classes.select(F.col("id").alias("rep"), "n", "t1", "t2", "bitmap")
+        links = _all_links(docs, classes, shared)
+        reached = components(links).withColumnRenamed("node", "rep")
+        rows = known.select("doc_id", "n", "k1", "k2", "id").join(
+            small_side(members.select("n", "k1", "k2", "rep").distinct()), ["n", "k1", "k2"], "left"
+        )
+        rows = rows.withColumn("rep", F.coalesce("rep", "id")).join(small_side(reached), "rep", "left")
+        rows = materialize(rows.select("doc_id", "n", F.coalesce("component", "rep").alias("component")), "rows")
+        lowest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
+        lowest = lowest.where("size > 1 and component is not null")
+        lowest = stored(lowest.select("component", "component_id", F.lit(True).alias("several")), "lowest")
+        component = F.when(F.col("several"), F.col("component_id")).otherwise(F.col("doc_id"))
+        told = rows.join(small_side(lowest), "component", "left")
+        told = told.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+        return materialize(told, "groups", lasting=True)
+
+
+def _signatures(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of documents, the sets that several have, and ``mark, rep, reps`` of signatures that two classes or more have."""
+    spark = docs.sparkSession
     rows, chars = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, rows))
     buckets = min(max(chars // (9 * BUCKET), 1), 1 << 22)
     path = fresh_path(spark, "signatures")
     (
-        docs.mapInArrow(_signed(buckets, frequent), _ROW)
+        docs.select("doc_id", "text", *text_key())
+        .mapInArrow(_signed(buckets, frequent), _ROW)
         .groupBy("bucket")
         .applyInArrow(_shared, _FOUND)
         .write.partitionBy("kind")
         .parquet(path)
     )
     found = spark.read.schema(_FOUND).parquet(path)
-    known = found.where("kind = 'doc'").select("doc_id", "n", "key", "bitmap")
-    classes = (
-        known.where("n > 0 and doc_id is not null")
-        .groupBy("n", "key")
-        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"))
-        .where("rows > 1")
-        .drop("rows")
-    )
-    members = materialize(
-        known.where("n > 0").join(classes, ["n", "key"]).select("doc_id", "rep"), "members"
-    ).distinct()
-    shared = (
-        found.where("kind = 'mark'")
-        .join(members, "doc_id", "left")
-        .select("mark", F.coalesce("rep", "doc_id").alias("rep"))
-        .distinct()
-    )
-    shared = materialize(shared, "shared")
-    groups = (
-        shared.groupBy("mark").agg(F.count(F.lit(1)).alias("reps")).where("reps > 1")
-    )
-    shared = materialize(shared.join(groups, "mark"), "shared")
-    sets = materialize(
-        docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .mapInArrow(_packed_sets, "doc_id long, items binary")
-        .dropDuplicates(["doc_id"]),
-        "sets",
-    )
+    with scratch(spark):
+        known = stored(found.where("kind = 'doc'").drop("kind", "mark"), "known", lasting=True)
+        members = _members(known)
+        moved = members.where("id != rep").select("id", "rep")
+        marks = found.where("kind = 'mark'").select("mark", "id").join(small_side(moved), "id", "left")
+        marks = materialize(marks.select("mark", F.coalesce("rep", "id").alias("rep")).distinct(), "marks")
+        delete_path(spark, path)
+        sizes = marks.groupBy("mark").agg(F.count(F.lit(1)).alias("reps")).where("reps > 1")
+        shared = materialize(marks.join(sizes, "mark"), "shared", lasting=True)
+    return known, members, shared
+
+
+def _members(known: DataFrame) -> DataFrame:
+    """``n, k1, k2, id, rep`` of the sets that several rows have: their first row stands for all."""
+    key = ["n", "k1", "k2"]
+    some = known.where("n > 0").groupBy(*key).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows"))
+    some = stored(some.where("rows > 1").drop("rows"), "copies")
+    return stored(known.where("id is not null").select(*key, "id").join(small_side(some), key), "members", lasting=True)
+
+
+def _all_links(docs: DataFrame, classes: DataFrame, shared: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between classes that join what all links join."""
     # the class that shares most with others comes first: of edited copies, most likely the original
-    ties = shared.groupBy("rep").agg(F.sum("reps").alias("ties"))
-    shared = materialize(shared.join(ties, "rep").select("mark", "rep", "ties"), "shared")
+    ties = stored(shared.groupBy("rep").agg(F.sum("reps").alias("ties")), "ties")
     first = F.struct(F.col("ties"), (-F.col("rep")).alias("early"))
-    pivots = shared.groupBy("mark").agg(F.max_by("rep", first).alias("pivot"))
-    shared = materialize(shared.join(pivots, "mark"), "shared")
-    stars = shared.where("rep != pivot").select(
-        F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")
-    )
-    links = _links(stars.distinct(), known, sets)
-
-    spread, torn = _torn(shared, components(links))
-    # one class of each component against the pivot's component first: this joins most of them
-    heads = spread.groupBy("mark", "component").agg(F.max_by("rep", F.struct("ties", "rep")).alias("rep"))
-    heads = heads.join(torn, "mark")
+    ranked = shared.join(small_side(ties), "rep")
+    pivots = ranked.groupBy("mark").agg(F.max_by("rep", first).alias("pivot"))
+    stars = shared.join(pivots, "mark").where("rep != pivot").select(*_pairs("pivot", "rep")).distinct()
+    classes = stored(classes.join(small_side(ties.select("rep")), "rep", "left_semi"), "classes")
+    sets = materialize(sets_of(docs, classes.select("rep", "t1", "t2")), "sets")
+    links = _links(stars, classes, sets)
+
+    # one class of each component against one of the signature's largest: this joins most of them
+    torn = _with_main(_torn(shared, links)).join(small_side(ties), "rep")
+    best = F.max_by("rep", F.struct("ties", "rep"))
+    heads = stored(torn.groupBy("mark", "main", "component").agg(best.alias("rep")), "heads")
     mains = heads.where("component = main").select("mark", F.col("rep").alias("head"))
-    bridges = (
-        heads.where("component != main")
-        .join(mains, "mark")
-        .select(F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b"))
-        .distinct()
-    )
-    links = links.union(_links(bridges, known, sets))
-    spread, torn = _torn(shared, components(links))
-    torn = spread.where("rep != pivot").join(torn, "mark")
-    wide = torn.groupBy("mark").agg(F.count(F.lit(1)).alias("reps")).where(F.col("reps") > MANY).select("mark")
-    blocks = materialize(torn.join(wide, "mark").select("mark", "rep", "pivot").distinct(), "wide")
-    links = links.union(_block_links(blocks, sets))
-    torn = torn.join(wide, "mark", "left_anti")
-    few = torn.where("component != main").select(
-        "mark", F.col("rep").alias("one"), F.col("component").alias("its")
-    )
-    rest = (
-        torn.join(few, "mark")
-        .where("component != its and (component = main or one < rep)")
-        .select(F.least("one", "rep").alias("a"), F.greatest("one", "rep").alias("b"))
-        .distinct()
-    )
-    links = links.union(_links(rest, known, sets))
-    reached = components(links).withColumnRenamed("node", "rep")
-    return (
-        known.select("doc_id", "n")
-        .join(members, "doc_id", "left")
-        .withColumn("rep", F.coalesce("rep", "doc_id"))
-        .join(reached, "rep", "left")
-        .select(
-            "doc_id",
-            F.col("n").alias("n_shingles"),
-            F.coalesce("component", "rep").alias("component_id"),
-        )
-    )
+    bridges = heads.where("component != main").join(mains, "mark").select(*_pairs("head", "rep")).distinct()
+    links = links.union(_links(bridges, classes, sets))
+
+    torn = stored(_with_main(_torn(shared, links)), "torn")
+    few = torn.where(F.col("classes") <= MANY)
+    ones = few.where("component != main").select("mark", F.col("rep").alias("one"), F.col("component").alias("its"))
+    rest = few.join(ones, "mark").where("component != its and (component = main or one < rep)")
+    links = links.union(_links(rest.select(*_pairs("one", "rep")).distinct(), classes, sets))
+    many = torn.where(F.col("classes") > MANY)
+    if many.isEmpty():
+        return links
+    pivots = many.groupBy("mark").agg(F.min("rep").alias("pivot"))
+    many = stored(many.join(pivots, "mark").select("rep", "component", "pivot").distinct(), "many")
+    return links.union(stored(links_in_blocks(many, "pivot", sets, PERCENT), "links"))
