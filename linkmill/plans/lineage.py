@@ -96,12 +96,14 @@ def moved_to(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
-    """:func:`materialize` in no more files than the cluster writes in two waves of tasks.
+    """:func:`materialize` in fewer files: one for two tasks that run at a time, or for eight shuffle partitions.
 
     For intermediate rows that are small beside the input: many shuffle partitions of few
     rows would leave as many files.
     """
-    return materialize(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism), name, lasting)
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.coalesce(max(2 * spark.sparkContext.defaultParallelism, partitions // 8)), name, lasting)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
