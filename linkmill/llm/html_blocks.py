@@ -1,9 +1,10 @@
 """Main text of web pages: flat text blocks classified by a decision tree.
 
 A page is cut into blocks at block-level tags.  A block's features are its
-words and link density, those of both neighbours, and what kind of element it
-stands in.  A decision tree, grown here on a small labelled table of blocks,
-says which blocks are main text.
+words and link density, those of both neighbours, and where it stands: in an article,
+in an element for frames (nav, footer, ...), in an element whose class names a frame.
+Class names are features, no verdicts: a decision tree, grown here on a small labelled
+table of blocks, says which blocks are main text.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ _HINT = frozenset(
     "newsletter notice notification pager pagination popup promo recommended related replies reply respond search share sharing "
     "sidebar sidenav signup skip social sponsor sponsored subscribe teaser toolbar topbar warning alert widget".split()
 )
+#: a class with one of these parts says where text is, or where a frame is not
+_CONTENT = frozenset("article body content entry layout main page post results story text wrapper has no with without".split())
 #: no sign of a frame inside an article
 _EDGES = frozenset("header footer title form login warning alert skip search".split())
 _TOKEN = re.compile(
@@ -46,8 +49,11 @@ _TOKEN = re.compile(
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _HINTS = re.compile(r"\s(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\shidden(?=[\s=>/])|display\s*:\s*none|aria-hidden\s*=\s*\"?true", re.I)
-_WORD_CUT = re.compile(r"[^a-z]+")
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_article", "in_frame", "heading")
+_PART = re.compile(r"[a-z]+")
+FEATURES = (
+    "words", "links", "words_before", "links_before", "words_after", "links_after",
+    "in_article", "in_frame", "in_hint", "heading",
+)
 
 
 @dataclass
@@ -56,6 +62,7 @@ class Block:
     link_words: int
     article: bool
     frame: bool
+    hint: bool
     heading: bool
 
     @property
@@ -68,13 +75,27 @@ class _Open:
     name: str
     article: bool
     frame: bool
+    hint: bool
     link: bool
 
 
+def _hints(token: str) -> set[str]:
+    """Words of a tag's classes, id and role that name a frame; a class with a word for content names none."""
+    found: set[str] = set()
+    for m in _HINTS.finditer(token):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = set(_PART.findall(name))
+            if not parts & _CONTENT:
+                found |= parts & _HINT
+            elif parts <= _CONTENT:
+                return set()
+    return found
+
+
 def blocks_of(html: str) -> list[Block]:
     """Non-empty text blocks in page order; white space runs are one space, references decoded."""
     found: list[Block] = []
-    stack = [_Open("", False, False, False)]
+    stack = [_Open("", False, False, False, False)]
     parts: list[str] = []
     linked: list[str] = []
 
@@ -83,7 +104,7 @@ def blocks_of(html: str) -> list[Block]:
         if text:
             top = stack[-1]
             links = len(unescape(" ".join(linked)).split())
-            found.append(Block(text, links, top.article, top.frame, heading))
+            found.append(Block(text, links, top.article, top.frame, top.hint, heading))
         parts.clear()
         linked.clear()
 
@@ -137,19 +158,19 @@ def blocks_of(html: str) -> list[Block]:
         if name in _VOID or token.endswith("/>"):
             continue
         top = stack[-1]
-        hints: set[str] = set()
-        if "=" in token:
-            for m in _HINTS.finditer(token):
-                hints.update(_WORD_CUT.split((m[1] or m[2] or m[3] or "").lower()))
-        hints &= _HINT - _EDGES if top.article or name == "article" else _HINT
+        inner = name in ("article", "main")
+        hints = _hints(token) if "=" in token and name not in ("body", "html") else set()
+        if top.article or inner:
+            hints -= _EDGES
         frame = (
-            top.frame
+            (top.frame and not inner)
             or name in _FRAME
             or (name == "header" and not top.article)
-            or (bool(hints) and name not in ("body", "html", "main"))
             or (" " in token and bool(_HIDDEN.search(token)))
         )
-        stack.append(_Open(name, top.article or name in ("article", "main"), frame, top.link or name == "a"))
+        # an article starts anew, whatever its wrappers are called
+        hint = bool(hints) or (top.hint and not inner)
+        stack.append(_Open(name, top.article or inner, frame, hint, top.link or name == "a"))
     end_block()
     return found
 
@@ -159,7 +180,7 @@ def features_of(blocks: list[Block]) -> np.ndarray:
     words = np.array([b.words for b in blocks], float)
     links = np.array([b.link_words for b in blocks], float) / np.maximum(words, 1)
     before, after = (lambda x: np.append(0.0, x[:-1])), (lambda x: np.append(x[1:], 0.0))
-    flags = [np.array([getattr(b, k) for b in blocks], float) for k in ("article", "frame", "heading")]
+    flags = [np.array([getattr(b, k) for b in blocks], float) for k in ("article", "frame", "hint", "heading")]
     return np.stack([words, links, before(words), before(links), after(words), after(links), *flags], axis=1)
 
 
@@ -174,6 +195,12 @@ class Tree:
     high: Tree | None = None
     rows: int = field(default=0)
 
+    def columns(self) -> set[str]:
+        """Names of the features that the tree asks for."""
+        if self.low is None:
+            return set()
+        return {FEATURES[self.column]} | self.low.columns() | self.high.columns()
+
     def predict(self, rows: np.ndarray) -> np.ndarray:
         if self.low is None:
             return np.full(len(rows), self.share >= 0.5)
@@ -183,7 +210,7 @@ class Tree:
         return out
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 5, least: int = 2) -> Tree:
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 12, least: int = 1) -> Tree:
     """A tree by Gini impurity: best split first, ties by column order and lower threshold."""
     tree = Tree(float(labels.mean()) if len(labels) else 0.0, rows=len(labels))
     if depth == 0 or tree.share in (0.0, 1.0) or len(labels) < 2 * least:

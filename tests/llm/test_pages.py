@@ -40,6 +40,36 @@ def test_labelled_pages_are_learned():
         assert html_blocks.main_text(html, tree) == "\n\n".join(main)
 
 
+def test_neighbours_decide():
+    """The tree asks for words and link density of neighbours, and unseen pages are told by them."""
+    tree = html_blocks.train()
+    asked = tree.columns()
+    assert asked & {"words_before", "words_after"} and asked & {"links_before", "links_after"}
+    a, b, c = (" ".join(f"{name}{i}" for i in range(25)) for name in "abc")
+    text = lambda html: html_blocks.main_text(html, tree)
+    # the same short line: between long blocks, in a list of short ones, between long links
+    assert text(f"<p>{a}</p><p>Just this.</p><p>{b}</p>") == f"{a}\n\nJust this.\n\n{b}"
+    menu = "<p>Start page</p><p>Just this.</p><p>Your place</p>"
+    assert text(f"<div>{menu}</div><div><p>{a}</p><p>{b}</p></div>").replace(f"{a}\n\n{b}", "") in ("", "Your place\n\n")
+    links = f"<p><a href=1>{a}</a></p><p>Just this.</p><p><a href=2>{b}</a></p>"
+    assert text(f"<div><p>{c}</p><p>{c}</p></div><div>{links}</div>") == f"{c}\n\n{c}"
+
+
+@pytest.mark.parametrize(
+    "wrapper", ["layout has-sidebar", "no-sidebar", "search-results main", "sidebar-left", "page with-banner", "social share"]
+)
+def test_an_article_is_read_whatever_its_wrapper_is_called(wrapper):
+    page = f"<div class='{wrapper}'><nav><a href=/>Home</a></nav><article><div class='page-header'><h1>Title of it</h1></div><p>Text.</p></article></div>"
+    assert html_blocks.main_text(page, html_blocks.train()) == "Title of it\n\nText."
+
+
+@pytest.mark.parametrize("frame", ["class='cookie-notice'", "class='related-links'", "id=newsletter", "class='ad ad-top'", "role=navigation", "class='comment-list'"])
+def test_named_frames_go(frame):
+    line = " ".join(f"w{i}" for i in range(20))
+    page = f"<article><p>{line} a</p><div {frame}><p>{line} b</p></div><p>{line} c</p></article>"
+    assert html_blocks.main_text(page, html_blocks.train()) == f"{line} a\n\n{line} c"
+
+
 @pytest.mark.parametrize(
     "html, text",
     [
@@ -83,13 +113,22 @@ def test_urls(pages):
     }
 
 
-@pytest.mark.parametrize("most", [1 << 21, 1])
+def test_urls_of_no_pages(pages):
+    none = pages.limit(0)
+    assert url_cascade.judge_urls(none, url_cascade.labelled_hosts(pages)).collect() == []
+    assert url_cascade.judge_urls(none, url_cascade.labelled_hosts(none)).collect() == []
+
+
+@pytest.mark.parametrize("most", [1 << 21, 7])
 def test_cascade_is_exact(spark, monkeypatch, most):
-    monkeypatch.setattr(url_cascade, "MAX_WORDS", most)
+    """In one array a level and in many: no other way is taken for a longer list."""
+    monkeypatch.setattr(url_cascade, "SHARD_WORDS", most)
     keys = spark.range(20_000).select(F.concat(F.lit("key"), "id").alias("key"), F.col("id") % 37 == 0)
     keys = keys.toDF("key", "truth")
     cascade = url_cascade.Cascade.build(keys, keys.where("truth"))
-    assert bool(cascade.levels) == (most > 1)
+    assert (cascade.levels[0][0].shards > 5) == (most == 7)
+    plan = cascade.listed(keys)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan.split("scalar-subquery")[0]
     assert cascade.listed(keys).where("listed != truth").count() == 0
     nothing = url_cascade.Cascade.build(keys, keys.limit(0))
     assert nothing.listed(keys).where("listed").count() == 0
@@ -106,6 +145,16 @@ def test_archives(spark, pages):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_payloads_are_not_shuffled_and_archives_read_in_parallel(spark, pages):
+    rows = warc.archive_rows(pages.repartition(4))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {len(r.payload) for r in rows.where("refers_to IS NOT NULL").collect()} == {0}
+    index = spark.range(6).selectExpr("concat('p', id) AS path", "0 AS offset", "1 AS length", "0 AS page_id")
+    plan = warc.read_records(index)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(path" in plan and ", 6), REPARTITION_BY_NUM" in plan
+
+
 def test_normaliser_reads_any_members(spark, tmp_path):
     first = warc.record(1, "http://a", b"one\r\n\r\nWARC/1.1\r\n", "d1", 17, None)
     other = warc.record(2, None, b"", "d2", 0, None)
