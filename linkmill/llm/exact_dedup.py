@@ -35,16 +35,18 @@ def _merged(entries: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def digests(docs: DataFrame, runs: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: id, run, digest and check value of the normalised text."""
+    """One row per document: id, number, run, digest and check value of the normalised text."""
     plain: Column = F.regexp_replace(filled(F.col(text)), SPACES, "")
     return (
         docs.select(
             F.col(doc_id).alias("doc_id"),
+            F.monotonically_increasing_id().alias("row"),
             F.length(filled(F.col(text))).alias("n"),
             plain.alias("plain"),
         )
         .select(
             "doc_id",
+            "row",
             "n",
             F.unhex(F.sha2("plain", 256)).alias("digest"),
             F.xxhash64("plain", F.length("plain")).alias("check"),
@@ -58,12 +60,13 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
     Texts are equal when they are once white space is deleted; null is empty.
     The row with the most code points stays, then the smallest id; a null id
-    loses to any other.  Rows that repeat an id count each and share its fate.
+    loses to any other.  Rows are judged one by one: of rows that repeat an id and
+    are equal throughout one stays, too.
     """
     spark = docs.sparkSession
     runs = first_runs(int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = materialize(digests(docs, runs, text, doc_id), "digests")
-    best = F.struct((-F.col("n")).alias("n"), F.isnull("doc_id").alias("none"), "doc_id")
+    best = F.struct((-F.col("n")).alias("n"), F.isnull("doc_id").alias("none"), "doc_id", "row")
     leaves = (
         rows.groupBy("run", *_TEXT)
         .agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("rows"))
@@ -74,12 +77,12 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         runs //= FAN
         level = level.withColumn("run", F.floor(F.col("run") / FAN).cast("int"))
         level = _merged(level.repartitionByRange("run", "digest").sortWithinPartitions("run", "digest"), ["run", *_TEXT])
-    top = level.select(*_TEXT, F.col("best.doc_id").alias("keep_id"), F.col("rows").alias("group_size"))
+    top = level.select(*_TEXT, F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"), F.col("rows").alias("group_size"))
     known = leaves.select("run", *_TEXT).join(top, _TEXT)
     return rows.join(known, ["run", *_TEXT]).select(
         "doc_id",
         "keep_id",
         "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
