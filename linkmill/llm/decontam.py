@@ -17,12 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkmill.llm.set_links import text_key
 from linkmill.llm.text import BETWEEN_WORDS, ascii_lower, filled, pieces
-from linkmill.plans.lineage import materialize
+from linkmill.plans.lineage import materialize, stored
+from linkmill.plans.sizes import small_side
 
 WINDOW, GRAM, STRIDE = 10, 5, 3
-#: rows of the benchmark side up to which it is sent to every executor
-SMALL = 1_000_000
 
 
 def exact_words(text: Column) -> Column:
@@ -63,11 +63,6 @@ def _prints(rows: DataFrame, firsts: list[int], lengths: list[int]) -> DataFrame
     return rows.withColumn("prints", F.concat(*found)).drop(*(f"grams{f}" for f in firsts))
 
 
-def _sent(rows: DataFrame) -> DataFrame:
-    """``rows`` (written before) with a broadcast hint if they are few."""
-    return F.broadcast(rows) if rows.count() <= SMALL else rows
-
-
 def _spans(words: str, starts: Column, length: int | Column) -> Column:
     return F.transform(
         starts,
@@ -93,9 +88,8 @@ def contamination(
     (sorted ids, comma-joined), items_sha256, contaminated``.  Words are runs of
     characters other than ASCII ones that are no letters or digits, A-Z
     lower-cased; null has none.  A null item id counts as an item named "".
-    Every row is compared by its own text, also where rows repeat an id.  A row
-    with a null id gets its word count and no hits, as in the SQL form; number
-    the rows and pass that column as ``doc_id`` to have those compared, too.
+    Every row is compared by its own text, whether its id is null or repeated;
+    equal texts are compared once.
     """
     items = materialize(
         items.select(
@@ -120,76 +114,52 @@ def contamination(
         "length",
         F.explode(_spans("exact", _all_starts("exact", F.col("length")), F.col("length"))).alias("w"),
     )
-    windows = materialize(windows.select("item", "length", "w.span").distinct(), "windows")
-
-    # the number of a row is frozen by the write, so the text is written beside it
-    found = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(doc_id).alias("doc_id"),
-        F.col(text).alias("text"),
-        loose_words(F.col(text)).alias("words"),
-    )
-    found = _prints(found, [1], short).select(
-        "row", "doc_id", "text", F.size("words").cast("long").alias("n_words"), "prints"
-    )
+    # one row per span, with all items that hold it
+    windows = windows.groupBy("length", F.col("w.span").alias("span")).agg(F.collect_set("item").alias("items"))
+    windows = small_side(materialize(windows, "windows"))
+    prints = small_side(prints)
+
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *text_key())
+    found = docs.select("doc_id", "t1", "t2", loose_words(F.col("text")).alias("words"))
+    found = _prints(found, [1], short).select("doc_id", "t1", "t2", F.size("words").cast("long").alias("n_words"), "prints")
     found = materialize(found, "fingerprints")
-    hits = (
-        found.where("doc_id is not null")
-        .select("row", F.explode("prints").alias("print"))
-        .join(_sent(prints), "print")
-        .groupBy("row")
-        .agg(F.collect_set("print").alias("hits"))
-    )
-    hits = materialize(hits, "hits")
-    touched = found.select("row", "text").join(hits, "row").select(
-        "row", "hits", loose_words(F.col("text")).alias("words"), exact_words(F.col("text")).alias("exact")
-    )
-    kinds = []
+    hits = found.select("t1", "t2", F.explode("prints").alias("print")).join(prints, "print")
+    hits = stored(hits.select("t1", "t2").distinct(), "hits")
+    one = docs.join(small_side(hits), ["t1", "t2"]).groupBy("t1", "t2").agg(F.min("text").alias("text"))
+    touched = one.select("t1", "t2", loose_words(F.col("text")).alias("words"), exact_words(F.col("text")).alias("exact"))
+    touched = materialize(touched, "touched")
+
     # a fingerprint at word i lies in the windows that start at the words from i - reach to i
     reach = WINDOW - GRAM
-    grams = F.transform(
-        _grams("words", 1, STRIDE, GRAM), lambda g, i: F.when(F.array_contains("hits", g), i * STRIDE + 1)
-    )
-    starts = F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.array_compact(grams), lambda i: F.sequence(F.greatest(i - reach, F.lit(1)), i)
-            )
-        )
-    )
-    starts = F.filter(starts, lambda i: i + WINDOW - 1 <= F.size("exact"))
-    kinds.append(touched.select("row", F.lit(WINDOW).alias("length"), F.explode(_spans("exact", starts, WINDOW)).alias("w")))
+
+    def around(step: int, size: int, length: int, back: int) -> DataFrame:
+        """Spans of ``length`` words around the ``size``-word fingerprints, taken every ``step`` words."""
+        spots = touched.select("t1", "t2", F.posexplode(_grams("words", 1, step, size)).alias("at", "print"))
+        spots = spots.join(prints, "print").groupBy("t1", "t2").agg(F.collect_set(F.col("at") * step + 1).alias("at"))
+        starts = F.transform("at", lambda i: F.sequence(F.greatest(i - back, F.lit(1)), i))
+        starts = F.filter(F.array_distinct(F.flatten(starts)), lambda i: i + length - 1 <= F.size("exact"))
+        spans = touched.join(spots, ["t1", "t2"])
+        return spans.select("t1", "t2", F.lit(length).alias("length"), F.explode(_spans("exact", starts, length)).alias("w"))
+
+    spans = around(STRIDE, GRAM, WINDOW, reach)
     for n in short:
-        spans = F.transform(
-            _grams("words", 1, 1, n), lambda g, i: F.when(F.array_contains("hits", g), i + 1)
-        )
-        spans = F.array_compact(spans)
-        kinds.append(touched.select("row", F.lit(n).alias("length"), F.explode(_spans("exact", spans, n)).alias("w")))
-    around = kinds[0]
-    for other in kinds[1:]:
-        around = around.union(other)
+        spans = spans.union(around(1, n, n, 0))
+    words = F.transform("at", lambda x: F.sequence(x["at"], x["at"] + x["length"] - 1))
     matched = (
-        around.select("row", "length", "w.at", "w.span")
-        .join(_sent(windows), ["length", "span"])
-        .groupBy("row")
-        .agg(
-            F.collect_set(F.struct("at", "length")).alias("at"),
-            F.sort_array(F.collect_set("item")).alias("names"),
-        )
+        spans.select("t1", "t2", "length", "w.at", "w.span")
+        .join(windows, ["length", "span"])
+        .groupBy("t1", "t2")
+        .agg(F.collect_set(F.struct("at", "length")).alias("at"), F.collect_set("items").alias("items"))
         .select(
-            "row",
-            F.size(
-                F.array_distinct(
-                    F.flatten(
-                        F.transform("at", lambda x: F.sequence(x["at"], x["at"] + x["length"] - 1))
-                    )
-                )
-            ).cast("long").alias("n_hit"),
-            F.size("names").cast("long").alias("n_items"),
-            F.array_join("names", ",").alias("items"),
+            "t1",
+            "t2",
+            F.size(F.array_distinct(F.flatten(words))).cast("long").alias("n_hit"),
+            F.sort_array(F.array_distinct(F.flatten("items"))).alias("names"),
         )
+        .select("t1", "t2", "n_hit", F.size("names").cast("long").alias("n_items"), F.array_join("names", ",").alias("items"))
     )
-    return found.select("row", "doc_id", "n_words").join(matched, "row", "left").select(
+    matched = small_side(stored(matched, "matched"))
+    return found.select("doc_id", "t1", "t2", "n_words").join(matched, ["t1", "t2"], "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),

@@ -96,31 +96,33 @@ _WORD_RX = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _OP3 = rf"""
-with d as (select doc_id, coalesce(regexp_extract_all({_LOWER.format("text")}, '{_WORD_RX}'), []::varchar[]) as w from documents),
+with d as materialized (select row_number() over () as r, doc_id,
+            coalesce(regexp_extract_all({_LOWER.format("text")}, '{_WORD_RX}'), []::varchar[]) as w from documents),
 b as (select item_id, regexp_extract_all({_LOWER.format("text")}, '{_WORD_RX}') as w from benchmark where text is not null),
 items as (select item_id, w, least(len(w), 10) as n from b where len(w) > 0),
 spots as (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i from items),
 wins as (select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as span from spots),
 lens as (select distinct n from wins),
-places as (select doc_id, n, w, unnest(range(1, len(w) - n + 2)) as i from d, lens where len(w) >= n),
-spans as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as span from places),
-hits as (select doc_id, i, n, item_id from spans join wins using (n, span)),
-words as (select doc_id, count(distinct p) as n_hit
-          from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id),
-named as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
-          from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+places as (select r, n, w, unnest(range(1, len(w) - n + 2)) as i from d, lens where len(w) >= n),
+spans as (select r, n, i, array_to_string(w[i:i + n - 1], ' ') as span from places),
+hits as (select r, i, n, item_id from spans join wins using (n, span)),
+words as (select r, count(distinct p) as n_hit
+          from (select r, unnest(range(i, i + n)) as p from hits) group by r),
+named as (select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+          from (select distinct r, coalesce(cast(item_id as varchar), '') as item from hits) group by r)
 select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
        cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(items, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 as contaminated
-from d left join words on d.doc_id = words.doc_id left join named on d.doc_id = named.doc_id
+from d left join words using (r) left join named using (r)
 """
 
 _OP4 = r"""
 with d as (select doc_id, length(coalesce(text, '')) as n,
                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256 from documents),
-k as (select *, first_value(doc_id) over (partition by text_sha256 order by n desc, doc_id) as keep_id,
-             count(*) over (partition by text_sha256) as group_size from d)
-select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from k
+k as (select *, first_value(doc_id) over best as keep_id, row_number() over best = 1 as kept,
+             count(*) over (partition by text_sha256) as group_size
+      from d window best as (partition by text_sha256 order by n desc, doc_id nulls last))
+select doc_id, keep_id, group_size, kept, text_sha256 from k
 """
 
 _OP6 = r"""
