@@ -48,20 +48,50 @@ LABELERS = ("shape", "gazetteer", "context", "layout")
 ROUNDS, STEPS = 30, 300
 
 
+def _with(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _total(lengths: Column) -> Column:
+    return F.aggregate(lengths, F.lit(0), lambda total, n: total + n)
+
+
 def spans_of(text: Column, pattern: str) -> Column:
-    """``begin, end, match`` of the pattern's successive matches, in code points."""
+    """``begin, end, match`` of the pattern's successive matches, in code points.
+
+    A match begins after all gaps and matches before it.  Their lengths are added up in
+    blocks of about the root of their number first, so n matches cost n times that root.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    zero = F.lit(0)
-    add = lambda total, piece: total + F.length(piece)
 
-    def place(match: Column, i: Column) -> Column:
-        begin = F.aggregate(F.slice(gaps, F.lit(1), i + 1), zero, add) + F.aggregate(
-            F.slice(found, F.lit(1), i), zero, add
-        )
-        return F.struct(begin.alias("begin"), (begin + F.length(match)).alias("end"), match.alias("match"))
+    def placed(parts: Column) -> Column:
+        matches = parts["found"]
+        steps = F.zip_with(F.slice(parts["gaps"], F.lit(1), F.size(matches)), matches, lambda g, m: F.length(g) + F.length(m))
+        return _with(F.struct(matches.alias("found"), parts["gaps"].alias("gaps"), steps.alias("steps")), in_blocks)
+
+    def in_blocks(parts: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(parts["steps"]))).cast("int"), F.lit(1))
+        blocks = F.sequence(F.lit(0), F.floor((F.size(parts["steps"]) - 1) / size).cast("int"))
+        sums = F.transform(blocks, lambda b: _total(F.slice(parts["steps"], b * size + 1, size)))
+        return _with(F.struct(parts.alias("parts"), size.alias("size"), sums.alias("sums")), spans)
+
+    def spans(known: Column) -> Column:
+        parts, size = known["parts"], known["size"]
+
+        def span(match: Column, i: Column) -> Column:
+            block = F.floor(i / size).cast("int")
+            before = _total(F.slice(known["sums"], F.lit(1), block))
+            inside = _total(F.slice(parts["steps"], block * size + 1, i - block * size))
+            begin = before + inside + F.length(F.get(parts["gaps"], i))
+            return F.struct(begin.alias("begin"), (begin + F.length(match)).alias("end"), match.alias("match"))
+
+        return F.transform(parts["found"], span)
 
-    return F.transform(found, place)
+    none = F.array().cast("array<struct<begin:int,end:int,match:string>>")
+    both = F.struct(found.alias("found"), gaps.alias("gaps"))
+    return _with(both, lambda parts: F.when(F.size(parts["found"]) > 0, placed(parts)).otherwise(none))
 
 
 def digits_of(match: Column) -> Column:
