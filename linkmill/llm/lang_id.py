@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkmill.llm.text import filled
 
@@ -79,7 +80,11 @@ class Model:
     bias: np.ndarray
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        return _scaled(presence(texts)) @ self.weights + self.bias
+        return linear_scores(texts, self.weights, self.bias)
+
+
+def linear_scores(texts: list[bytes], weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    return _scaled(presence(texts)) @ weights + bias
 
 
 def fit(sample: list[tuple[str, str]]) -> Model:
@@ -148,47 +153,49 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
 
 
 def identify(
-    docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None
+    docs: DataFrame,
+    model: Model,
+    text: str = "text",
+    keep: list[str] | None = None,
+    names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with ``lang_pred`` and ``score`` (share of the largest in a softmax, 0 to 1).
+    """``docs`` (or its columns ``keep``) with two columns ``names``: the language and a score.
 
-    Null texts, texts without a letter and texts under a model that learned no
-    language are ``und`` with score 0; the first language wins ties.  Columns of
-    these names are replaced.
+    The score is the share of the largest in a softmax, 0 to 1.  Null texts, texts
+    without a letter and texts under a model that learned no language are ``und``
+    with score 0; the first language wins ties.  Columns that already have these ``names``
+    are replaced; any other column name may occur.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain arrays: what tasks unpickle must not hang on this package being on their path
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.bias))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known, weights, bias = shared.value
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("_text")).cast(pa.large_binary())
-            texts = [t or b"" for t in column.to_pylist()]
+            # the text and whether it has a letter are the last two columns
+            texts = [t or b"" for t in batch.column(batch.num_columns - 2).cast(pa.large_binary()).to_pylist()]
+            letters = batch.column(batch.num_columns - 1).to_pylist()
             languages: list[str] = []
             scores: list[float] = []
             for at in range(0, len(texts), BATCH_ROWS):
-                rows = known.scores(texts[at : at + BATCH_ROWS])
+                rows = linear_scores(texts[at : at + BATCH_ROWS], weights, bias)
                 if rows.shape[1]:
                     odds = np.exp(8 * (rows - rows.max(axis=1, keepdims=True)))
                     scores += (1 / odds.sum(axis=1)).tolist()
-                    languages += [known.languages[i] for i in rows.argmax(axis=1).tolist()]
+                    languages += [known[i] for i in rows.argmax(axis=1).tolist()]
                 else:
                     scores += [0.0] * len(rows)
                     languages += [UNKNOWN] * len(rows)
-            keep = [i for i, name in enumerate(batch.schema.names) if name != "_text"]
-            letters = batch.column(batch.schema.get_field_index("_letters")).to_pylist()
-            names = [batch.schema.names[i] for i in keep if batch.schema.names[i] != "_letters"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(name)) for name in names]
+                batch.columns[:-2]
                 + [
                     pa.array([x if ok else UNKNOWN for x, ok in zip(languages, letters, strict=True)], pa.string()),
                     pa.array([x if ok else 0.0 for x, ok in zip(scores, letters, strict=True)], pa.float64()),
                 ],
-                names=names + ["lang_pred", "score"],
+                names=kept + list(names),
             )
 
-    names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    rows = docs.select(
-        *names, F.col(text).alias("_text"), filled(F.col(text)).rlike(r"\p{L}").alias("_letters")
-    )
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
-    return rows.mapInArrow(score, f"{schema}, lang_pred string, score double")
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    rows = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(text), filled(F.col(text)).rlike(r"\p{L}"))
+    told = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
+    return rows.mapInArrow(score, T.StructType([*rows.schema.fields[:-2], *told]))
