@@ -4,13 +4,16 @@ Level 1 encodes the listed keys.  Among all keys of the corpus that are not
 listed some pass it by chance; level 2 encodes those.  Listed keys that pass
 level 2 are encoded in level 3, and so on until nothing passes by chance.  A key
 of the corpus is listed exactly if the first level that it fails has an even
-number (counting from 1), so filtering needs no join: each level is a small array
-handed to the scan as a scalar subquery.
+number (counting from 1), so filtering needs no join: each level is handed to the
+scan as scalar subqueries.  A level of many keys is dealt into shards by a hash of the key, one
+array each, so no array grows beyond SHARD_WORDS; all of them together hold
+``1.44 * log2(1 / passing)`` bits a key (at most about 8), which executors must have room for.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +33,8 @@ RULES = (
 LISTED_LABELS = ("spam-farm", "cheap-pills", "casino-win")
 #: largest share of other keys that may pass a level
 PASSING = 0.02
-#: 64-bit words of one level (16 MB); a longer list is looked up by a join
-MAX_WORDS = 1 << 21
+#: 64-bit words of one array (16 MB)
+SHARD_WORDS = 1 << 21
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -52,26 +55,48 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-def _places(key: str, level: int, words: int, hashes: int) -> list[Column]:
-    bits = F.lit(words * 64)
-    return [F.pmod(F.xxhash64(key, F.lit(level * 64 + i)), bits) for i in range(hashes)]
+@dataclass(frozen=True)
+class Shape:
+    """A level's number, shards, words of a shard and hashes of a key."""
 
+    level: int
+    shards: int
+    words: int
+    hashes: int
 
-def _passes(key: str, level: int, shape: tuple[int, int], bits: Column) -> Column:
-    """Whether all places of ``key`` are set in the level's array."""
+    def shard(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key, F.lit(self.level * 64 + 63)), F.lit(self.shards)).cast("int")
+
+    def places(self, key: str) -> list[Column]:
+        bits = F.lit(self.words * 64)
+        return [F.pmod(F.xxhash64(key, F.lit(self.level * 64 + i)), bits) for i in range(self.hashes)]
+
+
+def _all_set(places: list[Column], bits: Column) -> Column:
+    """Whether all places are set in an array of words."""
     found = F.lit(True)
-    for place in _places(key, level, *shape):
+    for place in places:
         word = F.get(bits, F.shiftright(place, 6).cast("int"))
         bit = F.call_function("shiftrightunsigned", word, F.pmod(place, F.lit(64)).cast("int"))
         found = found & (bit.bitwiseAND(F.lit(1)) == 1)
     return found
 
 
+def _passes(key: str, shape: Shape, arrays: DataFrame) -> Column:
+    """Whether ``key`` passes the level whose arrays are the rows ``shard, bits``."""
+    found = F.lit(False)
+    for shard in range(shape.shards):
+        bits = arrays.where(F.col("shard") == shard).select("bits").scalar()
+        mine = _all_set(shape.places(key), bits)
+        found = mine if shape.shards == 1 else F.when(shape.shard(key) == shard, mine).otherwise(found)
+    return found
+
+
 class Cascade:
-    """The filters of all levels, or the listed keys themselves if those are too many."""
+    """The filters of all levels."""
 
-    def __init__(self, levels: list[tuple[tuple[int, int], DataFrame]], keys: DataFrame) -> None:
-        self.levels, self.keys = levels, keys
+    def __init__(self, levels: list[tuple[Shape, DataFrame]]) -> None:
+        self.levels = levels
 
     @staticmethod
     def build(universe: DataFrame, listed: DataFrame, key: str = "key") -> Cascade:
@@ -79,51 +104,47 @@ class Cascade:
 
         Null keys are left out of both; listed keys that are not in the universe
         are harmless.  A level lets about as many keys pass as it holds, or a
-        fiftieth of the rest if that is less.  Each level is written as one row.
+        fiftieth of the rest if that is less.  Each level is written, one row per shard.
         """
         keys = listed.select(F.col(key).alias("key")).where("key is not null").distinct()
-        keys = inside = materialize(keys, "listed")
+        inside = materialize(keys, "listed")
         others = universe.select(F.col(key).alias("key")).where("key is not null").distinct()
-        outside = materialize(others.join(keys, "key", "left_anti"), "unlisted")
-        levels: list[tuple[tuple[int, int], DataFrame]] = []
+        outside = materialize(others.join(inside, "key", "left_anti"), "unlisted")
+        levels: list[tuple[Shape, DataFrame]] = []
         held, rest = inside.count(), outside.count()
         while held:
             passing = min(max(held / max(rest, 1), 1e-6), PASSING)
             words = max(1, math.ceil(held * 1.44 * math.log2(1 / passing) / 64))
-            if words > MAX_WORDS:
-                return Cascade([], keys)
-            shape = (words, max(1, round(math.log2(1 / passing))))
-            level = len(levels)
-            levels.append((shape, _filter(inside, level, shape)))
-            through = outside.where(_passes("key", level, shape, levels[-1][1].scalar()))
-            inside, outside = materialize(through, "passing"), inside
+            shards = -(-words // SHARD_WORDS)
+            shape = Shape(len(levels), shards, -(-words // shards), max(1, round(math.log2(1 / passing))))
+            levels.append((shape, _filter(inside, shape)))
+            inside, outside = materialize(outside.where(_passes("key", *levels[-1])), "passing"), inside
             held, rest = inside.count(), held
-        return Cascade(levels, keys)
+        return Cascade(levels)
 
     def listed(self, rows: DataFrame, key: str = "key") -> DataFrame:
         """``rows`` with ``listed``: exact for keys of the universe; null is not listed."""
-        if not self.levels:
-            known = self.keys.select(F.col("key").alias("_key"), F.lit(True).alias("listed"))
-            found = rows.drop("listed").join(known, F.col(key) == F.col("_key"), "left").drop("_key")
-            return found.withColumn("listed", F.coalesce("listed", F.lit(False)))
         answer = F.lit(len(self.levels) % 2 == 1)
-        for level, (shape, bits) in reversed(list(enumerate(self.levels))):
-            passes = _passes(key, level, shape, bits.scalar())
-            answer = F.when(passes, answer).otherwise(F.lit(level % 2 == 1))
+        for level, (shape, arrays) in reversed(list(enumerate(self.levels))):
+            answer = F.when(_passes(key, shape, arrays), answer).otherwise(F.lit(level % 2 == 1))
         return rows.withColumn("listed", F.col(key).isNotNull() & answer)
 
 
-def _filter(keys: DataFrame, level: int, shape: tuple[int, int]) -> DataFrame:
-    """One row, one array of words with the bits of ``keys`` set."""
+def _filter(keys: DataFrame, shape: Shape) -> DataFrame:
+    """One row per shard, each one array of words with the bits of its ``keys`` set."""
+    places = F.explode(F.array(*shape.places("key"))).alias("place")
     placed = (
-        keys.select(F.explode(F.array(*_places("key", level, *shape))).alias("place"))
-        .groupBy(F.shiftright("place", 6).alias("word"))
+        keys.select(shape.shard("key").alias("shard"), places)
+        .groupBy("shard", F.shiftright("place", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(place, 64) as int))")).alias("bits"))
     )
-    every = keys.sparkSession.range(shape[0]).withColumnRenamed("id", "word")
+    word = F.col("id")
+    every = keys.sparkSession.range(shape.shards * shape.words).select(
+        F.floor(word / shape.words).cast("int").alias("shard"), F.pmod(word, F.lit(shape.words)).alias("word")
+    )
     pair = F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits"))
-    row = every.join(placed, "word", "left").agg(F.sort_array(F.collect_list(pair)).alias("all"))
-    return materialize(row.select(F.transform("all", lambda x: x["bits"]).alias("bits")), "level")
+    rows = every.join(placed, ["shard", "word"], "left").groupBy("shard").agg(F.sort_array(F.collect_list(pair)).alias("all"))
+    return materialize(rows.select("shard", F.transform("all", lambda x: x["bits"]).alias("bits")), "level")
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
