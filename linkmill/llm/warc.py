@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkmill.llm.text import filled
-from linkmill.plans.lineage import fresh_path, materialize
+from linkmill.plans.lineage import fresh_path, materialize, stored
+from linkmill.plans.sizes import small_side
 
 #: payloads of fewer bytes are never revisits
 LEAST_REVISIT = 1000
@@ -223,7 +224,9 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
             file.close()
 
     schema = "page_id long, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return index.select("path", "offset", "length").repartition("path").sortWithinPartitions("path", "offset").mapInArrow(read, schema)
+    # one task per archive: the number is given, as the index is far smaller than what it points to
+    many = max(index.agg(F.count_distinct("path")).first()[0], 1)
+    return index.select("path", "offset", "length").repartition(many, "path").sortWithinPartitions("path", "offset").mapInArrow(read, schema)
 
 
 def archive_rows(pages: DataFrame, html: str = "html", page_id: str = "page_id", url: str = "url") -> DataFrame:
@@ -246,10 +249,11 @@ def archive_rows(pages: DataFrame, html: str = "html", page_id: str = "page_id",
         .drop("copies")
     )
     same = F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(first, ["digest", "size"], "left").select(
-        "page_id", "url", "payload", "digest", "size",
-        F.when(~same, F.col("first")).alias("refers_to"),
-    )
+    # payloads stay where they are while the list of repeated ones can be sent; a revisit has none
+    found = rows.join(small_side(stored(first, "repeated")), ["digest", "size"], "left")
+    refers = F.when(~same, F.col("first"))
+    payload = F.when(refers.isNull(), F.col("payload")).otherwise(F.lit(b""))
+    return found.select("page_id", "url", payload.alias("payload"), "digest", "size", refers.alias("refers_to"))
 
 
 def round_trip(pages: DataFrame, payloads: bool = False, **columns: str) -> DataFrame:
