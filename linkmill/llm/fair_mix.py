@@ -2,14 +2,12 @@
 
 Every source is a queue of its documents in shuffled order, repeated as often
 as allowed.  A document's virtual finish time is the number of words its source
-has sent once it is through, over the source's target.  All queues are merged
-in order of virtual finish time and cut where the total budget is used up; the
+has sent once it is through, over the source's target.  All queues are range-sorted
+by virtual finish time and truncated where the total budget is used up; the
 document at the cut is taken in part.
 
-Running sums never put a source into one task: documents are dealt into cells
-by their place in the shuffled order, cells are summed and their sums run up,
-and only inside a cell are documents run up one by one.  The cut is found
-alike, in cells of virtual time.
+Running sums never put a source into one task: rows are range-sorted over all tasks,
+each task sums up its range, and the sums of the tasks before are added to it.
 """
 
 from __future__ import annotations
@@ -17,17 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkmill.llm.text import space_words
-from linkmill.plans.lineage import materialize
+from linkmill.llm.text import filled, space_words
+from linkmill.plans.lineage import materialize, stored
+from linkmill.plans.sizes import small_side
 
 #: weights of the sources in order of their names, over and over
 WEIGHTS = (5, 2, 1)
 #: a source is sent this often at most
 COPIES = 3
-#: documents in a cell, on average
-CELL = 1_000
-#: sources up to which their table is sent to every executor
-SMALL = 100_000
 
 
 def shuffle_place(doc_id: Column) -> Column:
@@ -67,6 +62,23 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, copies: int =
     )
 
 
+def running(rows: DataFrame, order: list, value: str, name: str) -> DataFrame:
+    """``rows`` in the global ``order`` with ``name``, the sum of ``value`` up to and with each row.
+
+    The sorted rows are written, so their places hold.  A window sees one range of the sort, or one
+    row per range.
+    """
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialize(placed.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    task = F.shiftright("_place", 33)
+    sums = placed.groupBy(task.alias("_task")).agg(F.sum(value).alias("_sum"))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("_task", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_task").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.withColumn("_task", task).join(F.broadcast(starts), "_task")
+    return summed.withColumn(name, F.col("_start") + F.sum(value).over(inside)).drop("_task", "_place", "_start")
+
+
 def mix_by_weight(
     docs: DataFrame,
     text: str = "text",
@@ -79,87 +91,41 @@ def mix_by_weight(
 
     ``size`` counts words between white space (null text: 0).  All words taken
     add up to all sizes; a source's differ from its target by less than its
-    longest document and the extra needed to fill the budget.  Equal virtual
-    times are ordered by source and place.  Sources without words have target
-    0; rows that repeat an id are documents of their own.
+    longest document and the extra needed to fill the budget.  The shuffled order is that of
+    the ids' MD5 (a null id has that of an empty text), then of size, id and a hash of the text; rows that are
+    equal in all of these are in either order alike.  Equal virtual times are ordered by source and place.
+    Sources without words have target 0; rows that repeat an id are documents of their own.
     """
     sized = docs.select(
+        F.monotonically_increasing_id().alias("row"),
         F.col(doc_id).alias("doc_id"),
         F.col(source).cast("string").alias("source"),
         F.size(space_words(F.col(text))).cast("long").alias("size"),
         shuffle_place(F.col(doc_id)).alias("place"),
+        F.xxhash64(filled(F.col(text))).alias("tie"),
     )
     sized = materialize(sized, "sizes")
-    count = sized.count()
-    cells = 1
-    while cells * CELL < count and cells < 1 << 28:
-        cells *= 2
-    slot = F.conv(F.substring("place", 1, 7), 16, 10).cast("long")
-    sized = sized.withColumn("cell", F.floor(slot * cells / (1 << 28)))
-
-    sources = materialize(
+    sources = stored(
         targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, copies), "targets"
     )
-    if sources.count() <= SMALL:
-        sources = F.broadcast(sources)
-    up = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        sized.groupBy("source", "cell")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("start", F.coalesce(F.sum("words").over(up), F.lit(0)))
-        .drop("words")
-    )
-    inside = Window.partitionBy("source", "cell").orderBy("place", "size", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    queued = (
-        sized.withColumn("run", F.sum("size").over(inside))
-        .withColumnRenamed("source", "of")
-        .withColumnRenamed("cell", "at")
-        .join(starts, F.col("of").eqNullSafe(F.col("source")) & (F.col("at") == F.col("cell")))
-        .select("doc_id", "of", "size", (F.col("start") + F.col("run")).alias("sent"))
-        .join(sources, F.col("of").eqNullSafe(F.col("source")))
-        .select("doc_id", "source", "size", "source_size", "target", "total", "sent")
+    # where each source begins in the order of all sources
+    ahead = Window.orderBy(F.isnull("source"), "source").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("source_size").over(ahead), F.lit(0)).alias("first")
+    known = small_side(stored(sources.select(F.col("source").alias("its"), "source_size", "target", "total", first), "sources"))
+    order = [F.isnull("source"), F.col("source"), "place", "size", "doc_id", "tie", "row"]
+    queued = running(sized, order, "size", "upto").join(known, F.col("source").eqNullSafe(F.col("its")))
+    queued = materialize(
+        queued.select("row", "doc_id", "source", "size", "source_size", "target", "total", (F.col("upto") - F.col("first")).alias("sent")),
+        "queues",
     )
-    queued = materialize(queued, "queues")
-
-    # virtual time in steps so small that few documents finish in one; beyond 2 it is all one step
-    steps = max(count // CELL, 1) * 4
-    finish = lambda copy: (F.col("sent") + copy * F.col("source_size")) / F.col("target")
-    step = lambda time: F.floor(F.least(time, F.lit(2.0)) * steps)
+    finishes = F.array(*[(F.col("sent") + copy * F.col("source_size")) / F.col("target") for copy in range(copies)])
     finishing = queued.where("size > 0").select(
-        "source", "sent", "size", "total",
-        F.explode(F.transform(F.sequence(F.lit(0), F.lit(copies - 1)), finish)).alias("finish"),
-    ).withColumn("step", step(F.col("finish")))
-    by_step = Window.orderBy("step")
-    cut = (
-        finishing.groupBy("step")
-        .agg(F.sum("size").alias("words"), F.min("total").alias("total"))
-        .withColumn("used", F.sum("words").over(by_step) - F.col("words"))
-        .where("used < total and used + words >= total")
-        .select("step", (F.col("total") - F.col("used")).alias("room"))
-    )
-    crossing = cut.head()
-    at, room = (crossing["step"], crossing["room"]) if crossing else (-1, 0)
-    order = Window.orderBy("finish", F.isnull("source"), "source", "sent")
-    last = (
-        finishing.where(F.col("step") == at)
-        .withColumn("used", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-        .withColumn("part", F.least("size", F.lit(room) - F.col("used")))
-        .where("part > 0")
-        .groupBy(F.col("source").alias("its"), F.col("sent").alias("then"))
-        .agg(F.sum("part").alias("part"))
-    )
-    whole = sum(
-        (F.when(step(finish(copy)) < at, F.col("size")).otherwise(0) for copy in range(copies)), F.lit(0)
+        "row", "source", "sent", "size", "total", F.posexplode(finishes).alias("copy", "finish")
     )
-    return queued.join(
-        last,
-        F.col("source").eqNullSafe(F.col("its")) & (F.col("sent") == F.col("then")) & (F.col("size") > 0),
-        "left",
-    ).select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        F.when(F.col("size") > 0, whole + F.coalesce("part", F.lit(0))).otherwise(0).cast("long").alias("taken"),
+    order = ["finish", F.isnull("source"), F.col("source"), "sent", "copy"]
+    merged = running(finishing, order, "size", "used").where(F.col("used") - F.col("size") < F.col("total"))
+    part = F.least("size", F.col("total") - F.col("used") + F.col("size"))
+    taken = merged.groupBy("row").agg(F.sum(part).alias("taken"))
+    return queued.join(taken, "row", "left").select(
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )

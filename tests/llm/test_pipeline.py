@@ -2,6 +2,7 @@
 
 import os
 import sys
+from urllib.parse import urlparse
 
 import pytest
 
@@ -9,6 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 import corpus_pipeline  # noqa: E402
 
+from linkmill.plans import lineage  # noqa: E402
+
 SCHEMA = "doc_id long, text string, lang string, source string"
 LEAK = " ".join(f"leak{i}" for i in range(20))
 ONE = " ".join(f"one{i}" for i in range(60))
@@ -44,10 +47,40 @@ def test_run_without_labels(spark, folder):
     assert sum(r.taken for r in rows) == sum(r["size"] for r in rows) == 131
 
 
-def test_row_numbers(spark):
+def test_row_numbers(spark, tmp_path):
+    """From files and places; a table that is no scan is written first; names that clash."""
     frame = spark.range(1000).repartition(7).withColumnRenamed("id", "row_key")
-    rows, key = corpus_pipeline._keyed(frame)
-    assert key == "row_key_" and rows.columns == ["row_key", "row_key_"]
-    got = rows.collect()
-    assert sorted(r.row_key for r in got) == sorted(r[key] for r in got) == list(range(1000))
+    frame.write.parquet(str(tmp_path / "rows"))
+    for rows in (spark.read.parquet(str(tmp_path / "rows")), frame):
+        numbered, key = corpus_pipeline._keyed(rows)
+        assert key == "row_key_" and numbered.columns == ["row_key", "row_key_"]
+        first, again = ({r.row_key: r[key] for r in numbered.collect()} for _ in range(2))
+        assert first == again and len(set(first.values())) == 1000 and set(first) == set(range(1000))
     assert corpus_pipeline._keyed(frame.limit(0))[0].count() == 0
+
+
+def test_stages_scan_texts_where_they_lie(spark, folder):
+    """No stage shuffles the texts it keeps, and extra columns come through as they are."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    path = f"{folder}/with_more.parquet"
+    docs.selectExpr("*", "'mine' AS lang_pred", "7 AS score", "1 AS _text").write.parquet(path)
+    docs = spark.read.parquet(path)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, folder)
+        assert kept.columns == docs.columns
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hash" not in plan
+        assert all((r.lang_pred, r.score, r._text) == ("mine", 7, 1) for r in kept.collect())
+
+
+def test_scratch_tables_go(spark, tmp_path):
+    before = lineage.shared_folder(spark)
+    rows = spark.range(5)
+    with lineage.scratch(spark):
+        with lineage.scratch(spark):
+            inner, kept = lineage.materialize(rows, "inner"), lineage.materialize(rows, "kept", lasting=True)
+            inner_files, kept_files = inner.inputFiles(), kept.inputFiles()
+        exists = [os.path.exists(urlparse(f[0]).path) for f in (inner_files, kept_files)]
+        assert exists == [False, True]
+    assert not os.path.exists(urlparse(kept_files[0]).path) and lineage.shared_folder(spark) == before
+    assert os.path.exists(urlparse(lineage.materialize(rows, "outside").inputFiles()[0]).path)
