@@ -187,6 +187,45 @@ def test_edited_counts():
             assert tree.tokens == len(counter.encode(text))
 
 
+def test_kept_trees_encode_only_what_edits_touch():
+    """Set up again from lengths and counts, a tree encodes a few pre-tokens around each edit, and none before."""
+    split = regex.compile(PRE_TOKENS)
+    plain = token_counts.load(open(VOCABULARY, "rb").read(), PRE_TOKENS)
+    text = " ".join(f"word{i}" for i in range(5000))
+    kept = token_counts.TokenTree(text, split, plain).kept()
+    seen = []
+    watched = token_counts.Counter(lambda piece: seen.append(piece) or plain.encode(piece))
+    for round_ in range(3):
+        tree = token_counts.TokenTree(text, split, watched, kept)
+        assert not seen and tree.text == text and tree.tokens == len(plain.encode(text))
+        for at in (0, 7000 + round_, len(text) - 3):
+            tree.edit(at, at + 4, f" new{round_}x{at} it's")
+        assert 0 < len(seen) <= tree.recounted < 40
+        text, kept = tree.text, tree.kept()
+        assert tree.tokens == len(plain.encode(text)) and sum(kept[0]) == len(text)
+        seen.clear()
+        watched.clear()
+
+
+def test_tables_of_trees(spark, docs, none, tmp_path):
+    """Two batches of edits, each from the written table of the one before: as if counted anew."""
+    edits = token_counts.edits_for(F.col("doc_id"), F.col("text"))
+    path = str(tmp_path / "trees")
+    token_counts.token_trees(docs, VOCABULARY, PRE_TOKENS).write.parquet(f"{path}0")
+    for n in range(2):
+        edited = token_counts.edit_trees(spark.read.parquet(f"{path}{n}"), edits, VOCABULARY, PRE_TOKENS)
+        edited.write.parquet(f"{path}{n + 1}")
+    counter = token_counts.load(open(VOCABULARY, "rb").read(), PRE_TOKENS)
+    rows = spark.read.parquet(f"{path}2").collect()
+    assert len(rows) == 19
+    for r in rows:
+        assert r.n_tokens_after == len(counter.encode(r.text)) == sum(r.counts) and sum(r.lengths) == len(r.text)
+    long = next(r for r in rows if r.doc_id == 12)
+    assert len(long.lengths) > 100_000 and long.n_recounted < 200
+    for nothing in (token_counts.token_trees(none, VOCABULARY, PRE_TOKENS), token_counts.count_edited(none, edits, VOCABULARY, PRE_TOKENS)):
+        assert nothing.collect() == []
+
+
 def test_edits_touch_little(docs, none):
     edits = token_counts.edits_for(F.col("doc_id"), F.col("text"))
     rows = token_counts.count_edited(docs, edits, VOCABULARY, PRE_TOKENS).collect()
