@@ -3,17 +3,20 @@
 Base spans come from fixed patterns and checks.  Beside them, wider patterns
 propose candidates (spelled-out mail addresses, digit groups); four labelers -
 shape, gazetteer, context and layout - vote yes, no or not at all on each.
-Votes are counted per vote pattern over the whole corpus; from that small table
-expectation-maximisation estimates how reliable each labeler is, and the
-resulting soft labels train a logistic span classifier.  Candidates it accepts
-are added where they touch no base span.
+Candidates are counted per pattern of votes and span features over the whole corpus;
+from that table expectation-maximisation estimates how reliable each labeler is, and
+the resulting soft labels train a logistic span classifier over the votes and the
+features: size, grouping, first character and the word before.  So it can speak where the
+labelers are silent, and overrule them.  Candidates it accepts are added where they
+touch no base span.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +49,10 @@ NEAR_NO = r"(?i)(?:token|key|password|secret|order|invoice|isbn|issn|id|no|nr|to
 CONTEXT = 40
 LABELERS = ("shape", "gazetteer", "context", "layout")
 ROUNDS, STEPS = 30, 300
+#: ridges of the classifier: votes already made the soft labels, so features explain what they can
+RIDGE_VOTES, RIDGE_FEATURES = 0.1, 0.001
+#: span features and their numbers of values; with the votes, 52,488 patterns at most
+FEATURES = {"size": 6, "grouping": 3, "first": 4, "word": 9}
 
 
 def _with(value: Column, body) -> Column:
@@ -175,7 +182,21 @@ def _votes(kind: str, match: Column, before: Column) -> list[Column]:
     ]
 
 
-_CANDIDATES = "array<struct<kind:string,begin:int,end:int,votes:array<int>>>"
+def _features(kind: str, match: Column, before: Column) -> list[Column]:
+    """A value of each of FEATURES: whole numbers from 0."""
+    digits = F.length(digits_of(match))
+    size = F.lit(0)
+    if kind != "email":
+        size = F.when(digits <= 8, 1).when(digits <= 10, 2).when(digits <= 12, 3).when(digits <= 15, 4).otherwise(5)
+    between = F.array_distinct(F.regexp_extract_all(match, F.lit(r"[\x20().\[\]{}-]"), F.lit(0)))
+    grouping = F.least(F.size(between), F.lit(2))
+    first = F.when(match.rlike(r"^\("), 0).when(match.rlike("^0"), 1).when(match.rlike("^1"), 2).otherwise(3)
+    word = F.lower(F.regexp_extract(before, "([A-Za-z]+)[^A-Za-z]*$", 1))
+    spread = F.pmod(F.xxhash64(word), F.lit(FEATURES["word"] - 1))
+    return [size, grouping, first, F.when(word == "", FEATURES["word"] - 1).otherwise(spread)]
+
+
+_CANDIDATES = "array<struct<kind:string,begin:int,end:int,votes:array<int>,features:array<int>>>"
 
 
 def _judge(text: Column, kind: str):
@@ -183,17 +204,18 @@ def _judge(text: Column, kind: str):
         since = F.greatest(s["begin"] - CONTEXT, F.lit(0))
         before = F.substring(text, since + 1, s["begin"] - since)
         votes = F.array(*[v.cast("int") for v in _votes(kind, s["match"], before)])
+        features = F.array(*[v.cast("int") for v in _features(kind, s["match"], before)])
         card = F.length(digits_of(s["match"])) >= 13
         name = F.lit("email") if kind == "email" else F.when(card, "card").otherwise("phone")
         return F.struct(
-            name.alias("kind"), s["begin"].alias("begin"), s["end"].alias("end"), votes.alias("votes")
+            name.alias("kind"), s["begin"].alias("begin"), s["end"].alias("end"), votes.alias("votes"), features.alias("features")
         )
 
     return judged
 
 
 def candidates(text: Column) -> Column:
-    """Wider matches with their labelers' votes (1 yes, -1 no, 0 none)."""
+    """Wider matches with their labelers' votes (1 yes, -1 no, 0 none) and their features."""
     parts = []
     for kind, pattern in WIDE.items():
         found = F.transform(spans_of(text, pattern), _judge(text, kind)).cast(_CANDIDATES)
@@ -209,8 +231,14 @@ class Labelling:
     yes_if_true: tuple[float, ...]
     yes_if_false: tuple[float, ...]
     weights: tuple[float, ...]
+    shifts: tuple[tuple[float, ...], ...]
     bias: float
 
+    def score(self, votes, features) -> float:
+        """The classifier's; above zero it accepts."""
+        of_votes = sum(w * v for w, v in zip(self.weights, votes, strict=True))
+        return self.bias + of_votes + sum(shift[f] for shift, f in zip(self.shifts, features, strict=True))
+
     def posterior(self, votes) -> float:
         """Probability of a true span given the votes, labelers independent given the truth."""
         odds = math.log(self.prior / (1 - self.prior))
@@ -220,49 +248,50 @@ class Labelling:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, odds))))
 
 
-def learn(counts: list[tuple[tuple[int, ...], int]]) -> Labelling:
-    """EM and classifier from the number of candidates per vote pattern (3 ** labelers at most).
+def learn(counts: list[tuple[tuple[int, ...], tuple[int, ...], int]]) -> Labelling:
+    """EM and classifier from the number of candidates per pattern of votes and features.
 
     Rates start from the majority of votes and are smoothed, so no candidates or
     one lone pattern are fine.  Rounds, steps and order are fixed: reruns agree.
     """
     n = len(LABELERS)
     counts = sorted(counts)
-    soft = [0.9 if sum(v) > 1 else 0.1 if sum(v) < 0 else 0.4 for v, _ in counts]
-    model = Labelling(0.5, (0.7,) * n, (0.3,) * n, (0.0,) * n, 0.0)
+    votes = np.array([v for v, _, _ in counts], float).reshape(-1, n)
+    times = np.array([c for _, _, c in counts], float)
+    soft = np.select([votes.sum(axis=1) > 1, votes.sum(axis=1) < 0], [0.9, 0.1], 0.4)
+    blank = Labelling(0.5, (0.7,) * n, (0.3,) * n, (0.0,) * n, tuple((0.0,) * k for k in FEATURES.values()), 0.0)
+    model = blank
     for _ in range(ROUNDS):
-        total = sum(c for _, c in counts)
-        prior = (sum(p * c for p, (_, c) in zip(soft, counts, strict=True)) + 1) / (total + 2)
-        true, false = [], []
-        for j in range(n):
-            rates = []
-            for weigh in (lambda p: p, lambda p: 1 - p):
-                voted = sum(weigh(p) * c for p, (v, c) in zip(soft, counts, strict=True) if v[j])
-                yes = sum(weigh(p) * c for p, (v, c) in zip(soft, counts, strict=True) if v[j] > 0)
-                rates.append((yes, voted))
-            true.append((rates[0][0] + 7) / (rates[0][1] + 10))
-            false.append((rates[1][0] + 3) / (rates[1][1] + 10))
-        model = Labelling(prior, tuple(true), tuple(false), (0.0,) * n, 0.0)
-        soft = [model.posterior(v) for v, _ in counts]
-    weights, bias = [0.0] * n, 0.0
-    total = max(sum(c for _, c in counts), 1)
+        prior = (float(soft @ times) + 1) / (times.sum() + 2)
+        rates = []
+        for share, more in ((soft * times, 7), (times - soft * times, 3)):
+            yes, voted = share @ (votes > 0), share @ (votes != 0)
+            rates.append(tuple(((yes + more) / (voted + 10)).tolist()))
+        model = replace(blank, prior=prior, yes_if_true=rates[0], yes_if_false=rates[1])
+        soft = np.array([model.posterior(v) for v, _, _ in counts])
+    starts = np.cumsum([0, *FEATURES.values()])
+    rows = np.concatenate([votes, np.zeros((len(counts), starts[-1]))], axis=1)
+    for i, (_, features, _) in enumerate(counts):
+        rows[i, n + starts[:-1] + np.array(features)] = 1
+    ridge = np.repeat([RIDGE_VOTES, RIDGE_FEATURES], [n, starts[-1]])
+    weights, bias = np.zeros(rows.shape[1]), 0.0
+    share = times / max(times.sum(), 1)
     for _ in range(STEPS):
-        slopes, slope = [0.001 * w for w in weights], 0.0
-        for (votes, count), goal in zip(counts, soft, strict=True):
-            score = bias + sum(w * v for w, v in zip(weights, votes, strict=True))
-            gap = (1 / (1 + math.exp(-max(-50.0, min(50.0, score)))) - goal) * count / total
-            slope += gap
-            slopes = [s + gap * v for s, v in zip(slopes, votes, strict=True)]
-        weights = [w - 2 * s for w, s in zip(weights, slopes, strict=True)]
-        bias -= 2 * slope
-    return Labelling(model.prior, model.yes_if_true, model.yes_if_false, tuple(weights), bias)
-
-
-def accepts(model: Labelling, votes: Column) -> Column:
-    """The classifier's verdict: a weighted sum of the votes above zero."""
+        odds = np.clip(rows @ weights + bias, -50, 50)
+        gap = (1 / (1 + np.exp(-odds)) - soft) * share
+        weights = weights - 2 * (rows.T @ gap + ridge * weights)
+        bias -= 2 * float(gap.sum())
+    shifts = [tuple(weights[n + a : n + b].tolist()) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    return replace(model, weights=tuple(weights[:n].tolist()), shifts=tuple(shifts), bias=bias)
+
+
+def accepts(model: Labelling, votes: Column, features: Column) -> Column:
+    """The classifier's verdict: a weighted sum of votes and features above zero."""
     score = F.lit(model.bias)
     for j, weight in enumerate(model.weights):
-        score = score + F.lit(weight) * F.get(votes, j)
+        score = score + F.lit(weight) * F.get(votes, F.lit(j))
+    for j, shift in enumerate(model.shifts):
+        score = score + F.get(F.array(*map(F.lit, shift)), F.get(features, F.lit(j)))
     return score > 0
 
 
@@ -292,10 +321,10 @@ def find_personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
         "wide", lambda c: ~F.exists("base", lambda b: (b["begin"] < c["end"]) & (c["begin"] < b["end"]))
     )
     found = materialize(found.withColumn("wide", apart), "spans")
-    patterns = found.select(F.explode("wide").alias("c")).groupBy("c.votes").count()
-    model = learn([(tuple(r["votes"]), r["count"]) for r in patterns.collect()])
+    patterns = found.select(F.explode("wide").alias("c")).groupBy("c.votes", "c.features").count()
+    model = learn([(tuple(r["votes"]), tuple(r["features"]), r["count"]) for r in patterns.collect()])
     added = F.transform(
-        F.filter("wide", lambda c: accepts(model, c["votes"])),
+        F.filter("wide", lambda c: accepts(model, c["votes"], c["features"])),
         lambda c: F.struct(c["kind"].alias("kind"), c["begin"].alias("begin"), c["end"].alias("end")),
     ).cast(_SPANS)
     rank = lambda s: F.array_position(F.array(*map(F.lit, KINDS)), s["kind"])

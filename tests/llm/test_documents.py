@@ -193,10 +193,33 @@ def test_weak_labels_add_spans(spark, none):
 
 def test_em_on_few_patterns():
     assert pii.learn([]).prior == 0.5
-    model = pii.learn([((1, 1, 1, 1), 50), ((-1, -1, -1, -1), 50)])
+    none = (0,) * len(pii.FEATURES)
+    model = pii.learn([((1, 1, 1, 1), none, 50), ((-1, -1, -1, -1), none, 50)])
     assert model.posterior((1, 1, 1, 1)) > 0.9 > 0.1 > model.posterior((-1, -1, -1, -1))
 
 
+def test_classifier_overrules_the_majority_of_votes():
+    """Features that hardly ever stand for a true span outweigh two labelers, and speak where all are silent."""
+    yes, no = (2, 1, 0, 3), (4, 0, 2, 8)
+    counts = [((1, 1, 1, 1), yes, 900), ((1, 1, 0, 1), yes, 300), ((-1, -1, -1, -1), no, 900), ((-1, -1, 0, -1), no, 300)]
+    counts += [((1, 1, -1, 0), no, 4), ((0, 0, 0, 0), yes, 5), ((0, 0, 0, 0), no, 5)]
+    model = pii.learn(counts)
+    assert model.score((1, 1, 1, 1), yes) > 0 > model.score((-1, -1, -1, -1), no)
+    assert model.score((1, 1, -1, 0), no) < 0 < model.score((1, 1, -1, 0), yes)
+    assert model.score((0, 0, 0, 0), yes) > 0 > model.score((0, 0, 0, 0), no)
+
+
+def test_votes_and_features_agree_with_the_model(spark):
+    """The column expression and the plain one give the same verdicts."""
+    draw = np.random.default_rng(3)
+    sizes = list(pii.FEATURES.values())
+    rows = [([int(v) for v in draw.integers(-1, 2, 4)], [int(draw.integers(0, k)) for k in sizes]) for _ in range(200)]
+    model = pii.learn([(tuple(v), tuple(f), 1 + i % 5) for i, (v, f) in enumerate(rows)])
+    frame = spark.createDataFrame(rows, "votes array<int>, features array<int>")
+    got = [r.ok for r in frame.select(pii.accepts(model, F.col("votes"), F.col("features")).alias("ok")).collect()]
+    assert got == [model.score(v, f) > 0 for v, f in rows]
+
+
 def test_language(spark, docs, none):
     english = "the cat sat on the mat and the dog was there with them"
     german = "der hund und die katze sind nicht hier aber das ist gut"
