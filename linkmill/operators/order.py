@@ -30,11 +30,11 @@ def stable_order(df: DataFrame, *order: str | Column) -> DataFrame:
 
     Ties are broken by a hash of the whole row, so the order is the same for any
     layout of the input.  Rows that are equal throughout are told apart by their
-    place in their task once it is sorted, so a range can also end within one value that
+    place in their task once it is sorted by that hash, so a range can also end within one value that
     holds a large part of the rows; a task run again, with its rows in another order, numbers
     them alike.  Nothing is written.
     """
-    hashed = df.withColumn("_content", content_hash(df)).sortWithinPartitions(*order, "_content")
+    hashed = df.withColumn("_content", content_hash(df)).sortWithinPartitions("_content")
     numbered = hashed.withColumn("_tie", F.monotonically_increasing_id())
     return numbered.orderBy(*order, "_content", "_tie").drop("_content", "_tie")
 

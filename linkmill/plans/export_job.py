@@ -30,7 +30,7 @@ def export_view(df: DataFrame, by: tuple[str, ...] = EXPORT_ORDER) -> DataFrame:
     return df.sparkSession.sql(
         f"""SELECT * EXCEPT (_content, _tie) FROM (
               SELECT *, monotonically_increasing_id() AS _tie FROM (
-                SELECT *, xxhash64({cells}) AS _content FROM global_temp.{EXPORT_VIEW} SORT BY {order}, _content)
+                SELECT *, xxhash64({cells}) AS _content FROM global_temp.{EXPORT_VIEW} SORT BY _content)
               ORDER BY {order}, _content, _tie)"""
     )
 
