@@ -106,6 +106,25 @@ def stored(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     return materialize(df.coalesce(max(2 * spark.sparkContext.defaultParallelism, partitions // 8)), name, lasting)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
+    """Send rows of long texts to Python in smaller Arrow batches meanwhile.
+
+    Both sides hold a batch whole, beside the copy that Arrow grows it in.  No result and no
+    plan hangs on the setting, so a query that another thread runs meanwhile is none the worse.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    if 0 < int(usual) <= rows:
+        yield
+        return
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint, for intermediate rows read exactly once."""
     shared_folder(df.sparkSession)
