@@ -173,12 +173,13 @@ def identify(
         known, weights, bias = shared.value
         for batch in batches:
             # the text and whether it has a letter are the last two columns
-            texts = [t or b"" for t in batch.column(batch.num_columns - 2).cast(pa.large_binary()).to_pylist()]
+            column = batch.column(batch.num_columns - 2).cast(pa.large_binary())
             letters = batch.column(batch.num_columns - 1).to_pylist()
             languages: list[str] = []
             scores: list[float] = []
-            for at in range(0, len(texts), BATCH_ROWS):
-                rows = linear_scores(texts[at : at + BATCH_ROWS], weights, bias)
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                texts = [t or b"" for t in column.slice(at, BATCH_ROWS).to_pylist()]
+                rows = linear_scores(texts, weights, bias)
                 if rows.shape[1]:
                     odds = np.exp(8 * (rows - rows.max(axis=1, keepdims=True)))
                     scores += (1 / odds.sum(axis=1)).tolist()
