@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from linkmill.llm.components import components
 from linkmill.llm.hashing import U, mix, shingle_sets
-from linkmill.llm.set_links import checked, encoded, links_in_blocks, sets_of, slices, text_key
-from linkmill.plans.lineage import materialize, stored
+from linkmill.llm.set_links import checked, encoded, links_in_blocks, named_once, sets_of, slices, text_key
+from linkmill.plans.lineage import materialize, small_batches, stored
 from linkmill.plans.sizes import small_side
 
 PERCENT, SIMILARITY = 85, 0.85
@@ -260,6 +260,7 @@ class _Classes:
         self.told = materialize(
             keyed.mapInArrow(_told, _TOLD).withColumn("row", F.monotonically_increasing_id()), "told"
         )
+        self.copied = stored(named_once(self.told.where("n > 0")), "copied")
         some = self.told.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("rows"))
         copies = some.where("rows > 1").drop("rows")
         copies = small_side(stored(copies, "copies"))
@@ -286,8 +287,8 @@ class _Classes:
 
     def sets(self, pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-        wanted = stored(self.reps.select("rep", "t1", "t2").join(wanted, "rep", "left_semi"), "wanted")
-        return materialize(sets_of(self.docs, wanted), "sets")
+        wanted = stored(self.reps.select("rep", "t1", "t2").join(small_side(wanted), "rep", "left_semi"), "wanted")
+        return materialize(sets_of(self.docs, wanted, self.copied), "sets")
 
 
 def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -302,8 +303,9 @@ def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     links like any other and takes the smallest id there is, null if none.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    classes = _Classes(docs)
-    links = _links(classes)
+    with small_batches(docs.sparkSession):
+        classes = _Classes(docs)
+        links = _links(classes)
     rows = (
         classes.told.select("row", "doc_id", "n")
         .join(classes.members, "row", "left")

@@ -41,14 +41,14 @@ from pyspark.sql import functions as F
 
 from linkmill.llm.components import components
 from linkmill.llm.hashing import U, mix, shingle_sets
-from linkmill.llm.set_links import checked, encoded, links_in_blocks, sets_of, slices, text_key
-from linkmill.plans.lineage import delete_path, fresh_path, materialize, scratch, stored
+from linkmill.llm.set_links import checked, encoded, links_in_blocks, named_once, sets_of, slices, text_key
+from linkmill.plans.lineage import delete_path, fresh_path, materialize, scratch, small_batches, stored
 from linkmill.plans.sizes import small_side
 
 #: signatures in a bucket, on average; bounds the memory of a task
-BUCKET = 500_000
+BUCKET = 250_000
 #: signatures gathered in a task before they are sent
-GATHER = 500_000
+GATHER = 250_000
 #: rows of one signature in a task from which on most go round its bucket
 COMMON = 16
 #: classes of one signature from which on they are compared in blocks
@@ -361,11 +361,12 @@ def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    with scratch(spark):
+    with scratch(spark), small_batches(spark):
         known, members, shared = _signatures(docs)
         classes = known.where("id is not null").join(small_side(members.where("id != rep")), "id", "left_anti")
         classes = classes.select(F.col("id").alias("rep"), "n", "t1", "t2", "bitmap")
-        links = _all_links(docs, classes, shared)
+        copied = stored(named_once(known.where("n > 0")), "copied")
+        links = _all_links(docs, classes, shared, copied)
         reached = components(links).withColumnRenamed("node", "rep")
         rows = known.select("doc_id", "n", "k1", "k2", "id").join(
             small_side(members.select("n", "k1", "k2", "rep").distinct()), ["n", "k1", "k2"], "left"
@@ -417,7 +418,7 @@ def _members(known: DataFrame) -> DataFrame:
     return stored(known.where("id is not null").select(*key, "id").join(small_side(some), key), "members", lasting=True)
 
 
-def _all_links(docs: DataFrame, classes: DataFrame, shared: DataFrame) -> DataFrame:
+def _all_links(docs: DataFrame, classes: DataFrame, shared: DataFrame, copied: DataFrame) -> DataFrame:
     """Links ``(a, b)`` between classes that join what all links join."""
     # the class that shares most with others comes first: of edited copies, most likely the original
     ties = stored(shared.groupBy("rep").agg(F.sum("reps").alias("ties")), "ties")
@@ -426,7 +427,7 @@ def _all_links(docs: DataFrame, classes: DataFrame, shared: DataFrame) -> DataFr
     pivots = ranked.groupBy("mark").agg(F.max_by("rep", first).alias("pivot"))
     stars = shared.join(pivots, "mark").where("rep != pivot").select(*_pairs("pivot", "rep")).distinct()
     classes = stored(classes.join(small_side(ties.select("rep")), "rep", "left_semi"), "classes")
-    sets = materialize(sets_of(docs, classes.select("rep", "t1", "t2")), "sets")
+    sets = materialize(sets_of(docs, classes.select("rep", "t1", "t2"), copied), "sets")
     links = _links(stars, classes, sets)
 
     # one class of each component against one of the signature's largest: this joins most of them

@@ -46,8 +46,17 @@ def encoded(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``rep, n, items`` for ``wanted (rep, t1, t2)`` out of the texts of ``docs``."""
+def named_once(told: DataFrame) -> DataFrame:
+    """``t1, t2`` of the texts that more than one row of ``told`` has."""
+    return told.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("t1", "t2")
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, copied: DataFrame) -> DataFrame:
+    """``rep, n, items`` for ``wanted (rep, t1, t2)`` out of the texts of ``docs``.
+
+    Texts become sets where they are scanned; only those that several rows have, ``copied (t1, t2)``, are
+    brought together first, one for each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -57,15 +66,20 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 items = pa.ListArray.from_arrays(pa.array(ends), pa.array(found.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(sizes), items], ["rep", "n", "items"])
 
-    keyed = docs.select("text", *text_key()).join(small_side(wanted), ["t1", "t2"])
-    one = keyed.groupBy("rep").agg(F.min("text").alias("text"))
-    return one.mapInArrow(run, "rep long, n long, items array<long>")
+    marked = wanted.join(small_side(copied.withColumn("copied", F.lit(True))), ["t1", "t2"], "left")
+    marked = stored(marked.select("rep", "t1", "t2", F.coalesce("copied", F.lit(False)).alias("copied")), "wanted")
+    texts = docs.select("text", *text_key())
+    alone = texts.join(small_side(marked.where("not copied")), ["t1", "t2"]).select("rep", "text")
+    shared = texts.join(small_side(marked.where("copied")), ["t1", "t2"]).groupBy("rep").agg(F.min("text").alias("text"))
+    return alone.union(shared).mapInArrow(run, "rep long, n long, items array<long>")
 
 
 def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that link, counted on their whole sets."""
     side = lambda c, n, x: sets.select(F.col("rep").alias(c), F.col("n").alias(n), F.col("items").alias(x))
     both = F.size(F.array_intersect("x", "y"))
+    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    sets = sets.join(small_side(stored(needed, "needed")), "rep", "left_semi")
     met = pairs.select("a", "b").join(side("a", "n", "x"), "a").join(side("b", "m", "y"), "b")
     return met.where(both * 100 >= (F.col("n") + F.col("m") - both) * percent).select("a", "b")
 

@@ -61,9 +61,9 @@ def test_families_and_thresholds(spark):
     assert groups(frame) == brute.similar_groups(rows, 85)
 
 
-@pytest.mark.parametrize("dense", [chosen_path.DENSE, 0.0, 2.0])
+@pytest.mark.parametrize("dense", [0.0, 2.0])
 def test_every_way_of_comparing(spark, monkeypatch, dense):
-    """With the smallest nodes and blocks: dense nodes in blocks, all nodes in blocks, all branch to the last level."""
+    """With the smallest nodes and blocks: all nodes in blocks, all branch to the last level."""
     monkeypatch.setattr(chosen_path, "DENSE", dense)
     seen = []
     blocks = set_links.links_in_blocks
