@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.llm import decontam, exact_dedup, fair_mix, lang_id, part_enum
-from linkmill.plans.lineage import materialize, scratch, stored
+from linkmill.plans.lineage import materialize, scratch, small_batches, stored
 from linkmill.plans.sizes import small_side
 
 #: words of a document inside benchmark windows from which on it goes
@@ -67,7 +67,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     letters = F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")
     if not model.languages:
         return docs.where(letters)
-    with scratch(spark):
+    with scratch(spark), small_batches(spark):
         rows, key = _keyed(docs)
         found = lang_id.identify(rows.select(key, "text"), model, keep=[key])
         return _without(docs, rows, key, found.where(F.col("lang_pred") == lang_id.UNKNOWN))
