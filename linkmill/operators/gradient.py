@@ -94,7 +94,7 @@ def _sums(df: DataFrame, shared, shape: tuple, features: str, label: str, part:
 
 
 def _means(sums: DataFrame, size: int, classes: int) -> DataFrame:
-    """Sums divided by the rows of their part, as ``(part, var, idx, g)``."""
+    """Sums divided by the rows of their part, as ``(part, var, idx, g, rows)``."""
     n_weights = size * classes
     rows = F.get("s", F.lit(0)).alias("_rows")
     cells = sums.select("part", "chunk", rows, F.posexplode("s").alias("_at", "_sum")).where("_at > 0")
@@ -102,7 +102,8 @@ def _means(sums: DataFrame, size: int, classes: int) -> DataFrame:
     var = F.when(place < n_weights, F.lit("weights")).otherwise(F.lit("biases"))
     at = F.when(place < n_weights, place).otherwise(place - n_weights)
     mean = (F.col("_sum") / F.col("_rows")).alias("g")
-    return cells.where(place >= 0).select("part", var.alias("var"), at.alias("idx"), mean)
+    rows = F.col("_rows").cast("long").alias("rows")
+    return cells.where(place >= 0).select("part", var.alias("var"), at.alias("idx"), mean, rows)
 
 
 def softmax_gradient(
@@ -115,12 +116,13 @@ def softmax_gradient(
 ) -> DataFrame:
     """Gradient of the mean cross entropy: ``(var, idx, g)``.
 
-    With ``replica`` there is one gradient per replica, in column ``replica``.
+    With ``replica`` there is one gradient per replica, in column ``replica``, beside the
+    replica's ``rows``.
     """
     part = F.lit(0) if replica is None else F.col(replica)
     sums = _sums(df, _share(df, weights, bias), weights.shape, features, label, part)
     means = _means(sums, *weights.shape).withColumnRenamed("part", "replica")
-    return means if replica else means.drop("replica")
+    return means if replica else means.drop("replica", "rows")
 
 
 def step_sums(

@@ -48,9 +48,14 @@ def l2_penalty(weights: DataFrame, decay: float = WEIGHT_DECAY) -> DataFrame:
     return only.agg((F.lit(decay) * F.coalesce(F.sum(w * w), F.lit(0.0)) / 2).alias("penalty"))
 
 
-def average_gradients(grads: DataFrame) -> DataFrame:
-    """Mean over replicas per variable element of ``(replica, var, idx, g)``."""
-    return grads.groupBy("var", "idx").agg(F.avg("g").alias("g"))
+def average_gradients(grads: DataFrame, rows: str | None = None) -> DataFrame:
+    """Mean over replicas per variable element of ``(replica, var, idx, g)``.
+
+    ``rows`` names the column with the rows of the replica, which then weigh its gradient:
+    the mean over replicas of unequal size is that over their rows.
+    """
+    mean = F.avg("g") if rows is None else F.sum(F.col("g") * F.col(rows)) / F.sum(rows)
+    return grads.groupBy("var", "idx").agg(mean.alias("g"))
 
 
 def column_summary(df: DataFrame, columns: list[str], bins: int | None = None) -> DataFrame:

@@ -180,14 +180,19 @@ def take_batches(
     return batched.where(F.col("row_index") < rows - rows % batch_size)
 
 
-def assign_replicas(df: DataFrame, replicas: int, *order: str | Column) -> DataFrame:
-    """Equal consecutive parts: adds ``row_index`` and ``replica_id``."""
+def assign_replicas(df: DataFrame, replicas: int, *order: str | Column, equal: bool = True) -> DataFrame:
+    """Equal consecutive parts: adds ``row_index`` and ``replica_id``.
+
+    Rows that have no equal parts are an error, unless parts need not be ``equal``: their sizes
+    then differ by one row at most.
+    """
     indexed = with_row_index(df, *order)
     rows = indexed.count()
-    if rows % replicas:
+    if equal and rows % replicas:
         raise ValueError(f"{rows} rows cannot be split into {replicas} equal parts")
-    share = max(rows // replicas, 1)
-    return indexed.withColumn("replica_id", F.floor(F.col("row_index") / F.lit(share)).cast("int"))
+    # whole numbers: a quotient of doubles may lie on the wrong side of a part's first row
+    part = F.expr(f"row_index * {replicas}L div {max(rows, 1)}L")
+    return indexed.withColumn("replica_id", part.cast("int"))
 
 
 def repeat_epochs(df: DataFrame, epochs: int) -> DataFrame:

@@ -152,14 +152,15 @@ def train_softmax(
     save_to: str | None = None,
     save_every: int = SAVE_EVERY,
     start: Params | None = None,
+    equal: bool = True,
 ) -> Trained:
     """Softmax regression by gradient descent, one Spark job per step.
 
     Full batch by default.  ``batch`` feeds consecutive mini-batches of the rows
     repeated without end (``epochs`` then counts batches), so a batch may run
     over into the next epoch and none is short; ``replicas`` splits the rows into
-    equal parts whose gradients are averaged, with ``batch`` each batch into
-    stretches whose gradients are averaged by their rows; both need ``order``
+    equal parts whose gradients are averaged (parts that need not be ``equal`` by their rows), with
+    ``batch`` each batch into stretches whose gradients are averaged by their rows; both need ``order``
     columns that place the rows.  ``decay`` adds the L2 term of the weights to
     loss and gradient.  ``start`` gives the first parameters instead of ``init``.
     """
@@ -170,7 +171,7 @@ def train_softmax(
         feed = _Batches(store_batches(rows, batch, *order), batch, replicas or 1, features, label, held)
     else:
         if replicas:
-            rows = assign_replicas(rows, replicas, *order).withColumnRenamed("replica_id", "_part")
+            rows = assign_replicas(rows, replicas, *order, equal=equal).withColumnRenamed("replica_id", "_part")
         else:
             rows = rows.withColumn("_part", F.lit(0))
         feed = _AllRows(rows.select(features, label, "_part"), held)

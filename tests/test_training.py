@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from linkmill.operators import gradient as G
 from linkmill.operators import metrics as M
+from linkmill.operators.order import assign_replicas
 from linkmill.plans import training as T
 
 N, D, K = 48, 5, 3
@@ -93,6 +94,21 @@ def test_replicas_equal_full_batch(data):
         T.train_softmax(data, K, epochs=1, replicas=5, order=["id"])
 
 
+def test_replicas_of_unequal_size_weigh_by_their_rows(data):
+    """46 rows in four parts, of 12, 11, 12 and 11: any number of rows has a gradient."""
+    rows = data.where(f"id < {N - 2}")
+    w, b = RND.normal(size=(D, K)), RND.normal(size=K)
+    parts = assign_replicas(rows, 4, "id", equal=False)
+    assert [r["count"] for r in parts.groupBy("replica_id").count().orderBy("replica_id").collect()] == [12, 11, 12, 11]
+    per = G.softmax_gradient(parts, w, b, replica="replica_id")
+    got = {(r["var"], r["idx"]): r["g"] for r in M.average_gradients(per, "rows").collect()}
+    _, gw, gb, _ = grad(w, b, slice(N - 2))
+    assert np.allclose([got["weights", i] for i in range(D * K)], gw.ravel(), rtol=0, atol=1e-12)
+    assert np.allclose([got["biases", i] for i in range(K)], gb, rtol=0, atol=1e-12)
+    run = T.train_softmax(rows, K, epochs=3, lr=0.5, replicas=4, equal=False, order=["id"])
+    assert np.allclose(run.params.weights, descend(3, 0.5, lambda t: slice(N - 2))[0])
+
+
 @pytest.mark.parametrize("batch,replicas", [(20, 3), (32, 4), (100, 7)])
 def test_replicas_within_batches(data, batch, replicas):
     """Stretches of unequal size, batches over the end of an epoch and larger than the table."""

@@ -85,8 +85,8 @@ def softmax_gradient(spark, sf_dir):
 
 
 def replica_gradients(spark, sf_dir):
-    rows = assign_replicas(vectors(spark, sf_dir), 4, "vec_id")
-    grads = M.average_gradients(G.softmax_gradient(rows, WEIGHTS, BIASES, replica="replica_id"))
+    rows = assign_replicas(vectors(spark, sf_dir), 4, "vec_id", equal=False)
+    grads = M.average_gradients(G.softmax_gradient(rows, WEIGHTS, BIASES, replica="replica_id"), "rows")
     return grads.select("var", "idx", F.round("g", 8).alias("g"))
 
 
@@ -109,7 +109,7 @@ def train_softmax_weights(spark, sf_dir):
 
 def train_replicas(spark, sf_dir):
     run = T.train_softmax(
-        vectors(spark, sf_dir), CLASSES, epochs=3, lr=0.5, replicas=2, order=["vec_id"]
+        vectors(spark, sf_dir), CLASSES, epochs=3, lr=0.5, replicas=2, equal=False, order=["vec_id"]
     )
     return rounded_params(spark, run)
 
