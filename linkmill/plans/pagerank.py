@@ -1,8 +1,10 @@
 """Iterative link ranking.
 
-Plan per round: the cached link table is already partitioned and sorted by
-source, and the ranks leave the previous aggregate partitioned by node, so the
-join adds no exchange; the aggregate by target is the only shuffle, after a
+The links move once, to the hash class of their source.  The first round is an aggregate by
+target; the others send plain arrays of sums between the classes (``operators/rank_blocks``), one
+shuffle a round.  Where heavy sources are sliced, all rounds are joins: the cached link table is
+already partitioned and sorted by source, and the ranks leave the previous aggregate partitioned by
+node, so the join adds no exchange; the aggregate by target is the only shuffle, after a
 map-side combine.  The rounds are planned in a session of the links' own, for the
 number of partitions that they have, whatever the caller's is.  (When heavy sources are sliced, the
 ranks - one row per node - are shuffled once more.)
@@ -10,6 +12,9 @@ ranks - one row per node - are shuffled once more.)
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +28,12 @@ from linkmill.fixed_values import (
     RANK_ITERATIONS,
     RANK_START,
 )
+from linkmill.operators import rank_blocks as B
 from linkmill.operators.edges import content_edges, parse_edges
 from linkmill.operators.rank import (
     MIN_SLICE_ROWS,
     Links,
+    bucketed,
     contributions,
     damp,
     init_ranks,
@@ -61,11 +68,15 @@ def pagerank(
     if iterations < 1:
         return init_ranks(edges, r0)
     links = link_table(edges, sources, num_partitions, cache_links, min_slice_rows)
-    if normalise and links.n_sources:
-        base, factor = NORMALISED_TELEPORT / links.n_sources, 1 - NORMALISED_TELEPORT
+    if normalise and (n_sources := links.n_sources()):
+        base, factor = NORMALISED_TELEPORT / n_sources, 1 - NORMALISED_TELEPORT
+    by_rows = iterations == 1 or links.heavy is not None
     try:
-        ranks = _rounds(links, iterations, base, factor, r0, checkpoint_every)
-        return moved_to(edges.sparkSession, ranks, "ranks")
+        if by_rows:
+            ranks = _rounds(links, iterations, base, factor, r0, checkpoint_every)
+            return moved_to(edges.sparkSession, ranks, "ranks")
+        with _block_rounds(links, iterations, base, factor, r0, checkpoint_every, sources == "keep") as ranks:
+            return moved_to(edges.sparkSession, ranks, "ranks")
     finally:
         links.release()
 
@@ -84,6 +95,43 @@ def _rounds(
     return ranks
 
 
+@contextmanager
+def _block_rounds(
+    links: Links, iterations: int, base: float, factor: float, r0: float, checkpoint_every: int, keep: bool
+) -> Iterator[DataFrame]:
+    """Ranks after ``iterations`` rounds; the blocks are held as long as the ranks are read."""
+    # all sources start equal, so the first round needs no join
+    given = contributions(links.rows.withColumn("rank", F.lit(float(r0))), (F.col("weight") > 0).alias("real"))
+    linked = F.bool_or("real") if keep else F.lit(True)
+    totals = given.groupBy("node").agg(F.sum("v").alias("total"), linked.alias("fed"))
+    first = damp(totals, base, factor, "fed")
+    built = checkpoint(B.build_blocks(B.cut_blocks(links.rows, first, links.partitions, base, keep), base, factor, keep))
+    blocks = B.of_kind(built, "block").repartition(links.partitions, "to")
+    stored = None
+    if links.stored:
+        blocks, stored = bucketed(blocks, links.partitions, ["to"])
+    else:
+        blocks = blocks.persist()
+        blocks.count()
+    state = B.of_kind(built, "ranks")
+    how = (base, factor, keep)
+    try:
+        for done in range(2, iterations):
+            if (done - 2) % checkpoint_every == 0:
+                sums = B.block_step(blocks, state, "sums", *how)
+            cut = (done - 1) % checkpoint_every == 0
+            if cut or done == iterations - 1:
+                state = B.block_step(blocks, sums, "ranks", *how)
+                state = checkpoint(state) if done < iterations - 1 else state
+            else:
+                sums = B.block_step(blocks, sums, "sums", *how)
+        yield B.named_ranks(B.of_kind(built, "names"), state)
+    finally:
+        blocks.unpersist()
+        if stored:
+            blocks.sparkSession.sql(f"DROP TABLE IF EXISTS {stored}")
+
+
 def raw_pagerank(lines: DataFrame, **options) -> DataFrame:
     """Ranking of a plain link file: comment lines skipped, nothing folded."""
     return pagerank(parse_edges(lines, comment_prefix=COMMENT_PREFIX), **options)

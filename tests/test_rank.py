@@ -5,7 +5,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from linkmill.operators import rank as R
+from linkmill.operators import rank_blocks as B
 from linkmill.plans import pagerank as P
 
 CHAIN = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "d2"), ("x", "y"), ("y", "x")]
@@ -212,3 +215,42 @@ def test_declared_partitions_are_folded(edges_of):
     tasks = links.rows.selectExpr("spark_partition_id() AS task", "pmod(hash(src), 96) AS c").distinct().collect()
     assert all(r["task"] == r["c"] % links.partitions for r in tasks)
     links.release()
+
+
+def test_links_move_once(spark, edges_of):
+    """Counting, degrees and weights all happen where the links are placed, also with a self link per source."""
+    for sources in ("drop", "keep"):
+        links = R.link_table(edges_of(random_graph(2)), sources)
+        plan = links.rows._jdf.queryExecution().executedPlan().toString()
+        behind = plan.split("InMemoryRelation")[1].split("Initial Plan")[0]
+        assert behind.count("Exchange hashpartitioning") == 1
+        links.release()
+
+
+def test_rounds_send_one_number_a_class_and_target(spark, edges_of):
+    pairs = random_graph(5) + [(f"unfed{i}", f"n{i}") for i in range(30)]
+    links = R.link_table(edges_of(pairs))
+    first = R.damp(R.sum_contributions(R.contributions(links.rows.withColumn("rank", F.lit(1.0)))))
+    first = first.withColumn("fed", F.lit(True))
+    built = P.checkpoint(B.build_blocks(B.cut_blocks(links.rows, first, links.partitions, 0.15, False), 0.15, 0.85, False))
+    sums = B.block_step(B.of_kind(built, "block"), B.of_kind(built, "ranks"), "sums", 0.15, 0.85, False)
+    sent = sums.agg(F.sum(F.octet_length("data"))).first()[0]
+    home = F.pmod(F.hash("src"), F.lit(links.partitions))
+    fed = edges_of(pairs).where("src NOT LIKE 'unfed%'").join(edges_of(pairs).selectExpr("dst AS src").distinct(), "src")
+    assert sent == 8 * fed.select(home, "dst").distinct().count()
+    links.release()
+
+
+@pytest.mark.parametrize("options", [{}, {"sources": "keep"}, {"cache_links": False, "checkpoint_every": 3}])
+def test_nulls_repeats_and_sources_without_links_to_them(edges_of, options):
+    pairs = random_graph(9) + [("n1", None)] * 3 + [(f"unfed{i}", f"n{i % 7}") for i in range(20)] + [("unfed1", "sink")]
+    got = ranks_of(P.pagerank(edges_of(pairs + [(None, "n2")]), 5, **options))
+    close(got, brute(pairs, 5, options.get("sources") == "keep"))
+
+
+def test_a_repeated_heavy_link_is_counted_before_it_moves(edges_of):
+    pairs = random_graph(7, hub=True) + [("loud", "n3")] * 500
+    links = R.link_table(edges_of(pairs), min_slice_rows=100)
+    assert links.heavy is None and links.rows.where("src = 'loud'").collect()[0]["weight"] == 1.0
+    links.release()
+    close(ranks_of(P.pagerank(edges_of(pairs), 4, min_slice_rows=100)), brute(pairs, 4))
