@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,40 +61,75 @@ def _cut(base: float):
     """Task function: placed links to what their class keeps and what others must know."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
+        whole = _thin(batches)
+        if whole is None:
             return
-        whole = pa.Table.from_batches(held)
         home = whole.column("home").to_numpy()
-        for c in np.unique(home):
-            yield _emit(_block(whole.filter(pa.array(home == c)), int(c), base))
+        classes = np.unique(home)
+        for c in classes:
+            yield _emit(_block(whole.filter(pa.array(home == c)) if len(classes) > 1 else whole, int(c), base))
 
     return run
 
 
 def _cut_class(base: float):
     """Group function: the same for the links of one class."""
-    return lambda key, links: pa.Table.from_batches([_emit(_block(links, key[0].as_py(), base))])
+    return lambda key, links: pa.Table.from_batches([_emit(_block(_thin(links.to_batches()), key[0].as_py(), base))])
+
+
+#: links whose names are gathered before they are replaced by numbers
+_GATHERED = 500_000
+
+
+def _thin(batches: Iterable[pa.RecordBatch]) -> pa.Table | None:
+    """All links of a task, each name held once."""
+    done, held, n = [], [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= _GATHERED:
+            done.append(_numbered(held))
+            held, n = [], 0
+    if held:
+        done.append(_numbered(held))
+    return pa.concat_tables(done).unify_dictionaries() if done else None
+
+
+def _numbered(batches: list[pa.RecordBatch]) -> pa.Table:
+    rows = pa.Table.from_batches(batches)
+    for c in ("src", "dst"):
+        rows = rows.set_column(rows.schema.get_field_index(c), c, rows.column(c).combine_chunks().dictionary_encode())
+    return rows
+
+
+def _names_and_numbers(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The names of a numbered column, null last if it occurs, and a number per row."""
+    names = column.chunk(0).dictionary
+    numbers = pa.concat_arrays([chunk.indices for chunk in column.chunks])
+    if numbers.null_count:
+        numbers = numbers.fill_null(len(names))
+        names = pa.concat_arrays([names, pa.nulls(1, names.type)])
+    return names, numbers.to_numpy()
 
 
 def _block(links: pa.Table, home: int, base: float) -> list[tuple]:
-    src, dst = (pa.concat_arrays(links.column(c).chunks).dictionary_encode("encode") for c in ("src", "dst"))
+    (sources, source), (targets, target) = (_names_and_numbers(links.column(c)) for c in ("src", "dst"))
     away, weight = links.column("away").to_numpy(), links.column("weight").to_numpy()
     rank, fed = links.column("rank").to_numpy(), links.column("fed").to_numpy()
-    source, target = src.indices.to_numpy(), dst.indices.to_numpy()
     # targets by class, within it as the sums will travel: those of fed sources first
-    klass, core = np.zeros(len(dst.dictionary), np.int32), np.zeros(len(dst.dictionary), bool)
+    klass, core = np.zeros(len(targets), np.int32), np.zeros(len(targets), bool)
     klass[target] = away
     core[target[fed]] = True
     alphabet = np.empty(len(core), np.int64)
-    alphabet[pc.array_sort_indices(dst.dictionary).to_numpy()] = np.arange(len(core))
+    alphabet[pc.array_sort_indices(targets).to_numpy()] = np.arange(len(core))
     order = np.lexsort((alphabet, ~core, klass))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     entry = place[target]
     first = _sums(entry[fed], weight[fed] * rank[fed], len(order))
     fixed = np.bincount(entry[~fed], weight[~fed] * base, len(order)).astype(float)
-    names, rows, cores, starts = dst.dictionary.take(pa.array(order)), [], {}, {}
+    names, rows, cores, starts = targets.take(pa.array(order)), [], {}, {}
     at = 0
     for t, begin in zip(*np.unique(klass[order], return_index=True), strict=True):
         end = int(np.searchsorted(klass[order], t, "right"))
@@ -106,7 +141,7 @@ def _block(links: pa.Table, home: int, base: float) -> list[tuple]:
         at += n
     # a round's sums, one class after another, without the targets that only unfed sources name
     number = np.cumsum(core[order]) - 1
-    rows.append((home, home, _OWN, _packed((src.dictionary, _coded(source[fed], number[entry[fed]], weight[fed]), cores))))
+    rows.append((home, home, _OWN, _packed((sources, _coded(source[fed], number[entry[fed]], weight[fed]), cores))))
     return rows
 
 

@@ -67,7 +67,7 @@ def pagerank(
     """
     if iterations < 1:
         return init_ranks(edges, r0)
-    links = link_table(edges, sources, num_partitions, cache_links, min_slice_rows)
+    links = link_table(edges, sources, num_partitions, cache_links, min_slice_rows, self_links=iterations == 1)
     if normalise and (n_sources := links.n_sources()):
         base, factor = NORMALISED_TELEPORT / n_sources, 1 - NORMALISED_TELEPORT
     by_rows = iterations == 1 or links.heavy is not None
@@ -101,7 +101,11 @@ def _block_rounds(
 ) -> Iterator[DataFrame]:
     """Ranks after ``iterations`` rounds; the blocks are held as long as the ranks are read."""
     # all sources start equal, so the first round needs no join
-    given = contributions(links.rows.withColumn("rank", F.lit(float(r0))), (F.col("weight") > 0).alias("real"))
+    given = contributions(links.rows.withColumn("rank", F.lit(float(r0))), F.lit(True).alias("real"))
+    if keep:
+        # every source has a sum, if only 0; the links lie by source, so this moves nothing more
+        held = links.rows.select(F.col("src").alias("node")).distinct()
+        given = given.unionByName(held.select("node", F.lit(0.0).alias("v"), F.lit(False).alias("real")))
     linked = F.bool_or("real") if keep else F.lit(True)
     totals = given.groupBy("node").agg(F.sum("v").alias("total"), linked.alias("fed"))
     first = damp(totals, base, factor, "fed")

@@ -254,3 +254,34 @@ def test_a_repeated_heavy_link_is_counted_before_it_moves(edges_of):
     assert links.heavy is None and links.rows.where("src = 'loud'").collect()[0]["weight"] == 1.0
     links.release()
     close(ranks_of(P.pagerank(edges_of(pairs), 4, min_slice_rows=100)), brute(pairs, 4))
+
+
+def test_placed_links_are_sorted_once_and_counted_without_a_hash_table(edges_of):
+    """A class then needs little memory, so classes can be large and rounds send less."""
+    for own in ({}, {"sources": "keep", "self_links": False}):
+        links = R.link_table(edges_of(random_graph(2)), **own)
+        behind = links.rows._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[1]
+        behind = behind.split("Initial Plan")[0]
+        assert behind.count("Sort [") == 1 and "Aggregate" not in behind
+        assert links.rows.where("weight = 0").isEmpty()
+        links.release()
+
+
+@pytest.mark.parametrize("links,partitions", [(7_300_000, 12), (73_200_000, 19), (440_000_000, 110)])
+def test_classes_hold_millions_of_links(spark, monkeypatch, links, partitions):
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 12)
+    assert R._fitting_partitions(spark, links) == partitions
+
+
+def test_names_are_numbered_in_stretches(spark, monkeypatch, edges_of):
+    import pyarrow as pa
+
+    monkeypatch.setattr(B, "_GATHERED", 2)
+    names = [("a", "b"), ("b", None), ("c", "a"), ("a", "c"), ("é", None)]
+    kinds = pa.schema([("src", pa.string()), ("dst", pa.string())])
+    rows = [pa.RecordBatch.from_pylist([{"src": s, "dst": d}], kinds) for s, d in names]
+    whole = B._thin(iter(rows))
+    (src, source), (dst, target) = (B._names_and_numbers(whole.column(c)) for c in ("src", "dst"))
+    assert [(src[s].as_py(), dst[t].as_py()) for s, t in zip(source.tolist(), target.tolist(), strict=True)] == names
+    assert len(src) == 4 and len(dst) == 4
+    assert B._thin(iter([])) is None
