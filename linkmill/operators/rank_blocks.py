@@ -1,12 +1,13 @@
 """Ranking rounds over blocks of links, in which only numbers move.
 
 Nodes lie in hash classes.  A class keeps its links as arrays, and the order in which it sends one
-sum per target to each other class is settled once, when names are exchanged.  From then on a round is
-one shuffle of plain arrays: eight bytes a target and class, no names.  A sum that no ranked source
-gives to is NaN, so a node drops out as it does in a join.
+sum per target to each other class is settled once, when names are exchanged; the sums of the first round go
+with the names.  From then on a round is one shuffle of plain arrays: eight bytes a target and class, no
+names.  A sum that no ranked source gives to is NaN, so a node drops out as it does in a join.
 
-Links of sources that no link leads to are left out of the blocks: after the first round such
-a source has no rank ("drop"), or the base for ever, so that its gifts are added once ("keep").
+Links of sources that no link leads to are left out of the rounds: after the first one such
+a source has no rank ("drop"), or the base for ever, so that its gifts are added once ("keep").  A class
+learns which sources these are with the names, and tells the others which targets it leaves out.
 """
 
 from __future__ import annotations
@@ -21,9 +22,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkmill.fixed_values import RANK_START
+
 _ROWS = "to int, origin int, kind int, data binary"
-#: kinds of rows that go to a class: its own links, names and first sums, sums of a round, its ranks
-_OWN, _NAMES, _SUMS, _STATE = range(4)
+#: kinds of rows that go to a class: its own links, names and first sums, sums of a round, its ranks, what rounds leave out
+_OWN, _NAMES, _SUMS, _STATE, _LEFT_OUT = range(5)
 
 
 def _packed(value) -> bytes:
@@ -57,7 +60,56 @@ def _sums(at: np.ndarray, gifts: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _cut(base: float):
+def _planes(values: np.ndarray) -> tuple[str, bytes]:
+    """Numbers as their first bytes, then their second ones, and so on: those that hardly differ compress well."""
+    bytes_of = values.view(np.uint8).reshape(len(values), values.itemsize)
+    return values.dtype.str, bytes_of.T.tobytes()
+
+
+def _flat(kind: str, planes: bytes) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _tabled(values: np.ndarray) -> tuple:
+    """Numbers that repeat as places in a table; others as they are."""
+    table, which = np.unique(values, return_inverse=True)
+    if 2 * len(table) > len(values):
+        return _planes(values), None
+    return _planes(table), _planes(which.astype(np.min_scalar_type(len(table))))
+
+
+def _untabled(table: tuple, which: tuple | None) -> np.ndarray:
+    return _flat(*table) if which is None else _flat(*table)[_flat(*which)]
+
+
+def _spelt(names: pa.Array) -> tuple:
+    """Names, of which a null is the last: their lengths and their letters, all first ones first unless that takes much more."""
+    body = names.cast(pa.string()).drop_null()
+    lengths, letters = np.zeros(0, np.int32), np.zeros(0, np.uint8)
+    if len(body):
+        ends = np.frombuffer(body.buffers()[1], np.int32)[body.offset : body.offset + len(body) + 1]
+        lengths, letters = np.diff(ends), np.frombuffer(body.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    longest = int(lengths.max(initial=0))
+    by_place = longest * len(lengths) <= 2 * len(letters)
+    if by_place:
+        table = np.zeros((len(lengths), longest), np.uint8)
+        table[np.arange(longest) < lengths[:, None]] = letters
+        letters = table.T
+    return _planes(lengths), letters.tobytes(), by_place, names.null_count
+
+
+def _read(lengths: tuple, letters: bytes, by_place: bool, nulls: int) -> pa.Array:
+    lengths, letters = _flat(*lengths), np.frombuffer(letters, np.uint8)
+    if by_place:
+        longest = int(lengths.max(initial=0))
+        letters = letters.reshape(longest, len(lengths)).T[np.arange(longest) < lengths[:, None]]
+    ends = np.cumsum(np.append(0, lengths)).astype(np.int32)
+    body = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(ends), pa.py_buffer(letters.tobytes()))
+    return pa.concat_arrays([body, pa.nulls(nulls, pa.string())]) if nulls else body
+
+
+def _cut(r0: float):
     """Task function: placed links to what their class keeps and what others must know."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,14 +119,14 @@ def _cut(base: float):
         home = whole.column("home").to_numpy()
         classes = np.unique(home)
         for c in classes:
-            yield _emit(_block(whole.filter(pa.array(home == c)) if len(classes) > 1 else whole, int(c), base))
+            yield _emit(_block(whole.filter(pa.array(home == c)) if len(classes) > 1 else whole, int(c), r0))
 
     return run
 
 
-def _cut_class(base: float):
+def _cut_class(r0: float):
     """Group function: the same for the links of one class."""
-    return lambda key, links: pa.Table.from_batches([_emit(_block(_thin(links.to_batches()), key[0].as_py(), base))])
+    return lambda key, links: pa.Table.from_batches([_emit(_block(_thin(links.to_batches()), key[0].as_py(), r0))])
 
 
 #: links whose names are gathered before they are replaced by numbers
@@ -113,77 +165,72 @@ def _names_and_numbers(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
     return names, numbers.to_numpy()
 
 
-def _block(links: pa.Table, home: int, base: float) -> list[tuple]:
+def _block(links: pa.Table, home: int, r0: float) -> list[tuple]:
     (sources, source), (targets, target) = (_names_and_numbers(links.column(c)) for c in ("src", "dst"))
     away, weight = links.column("away").to_numpy(), links.column("weight").to_numpy()
-    rank, fed = links.column("rank").to_numpy(), links.column("fed").to_numpy()
-    # targets by class, within it as the sums will travel: those of fed sources first
-    klass, core = np.zeros(len(targets), np.int32), np.zeros(len(targets), bool)
+    rank = links.column("rank").to_numpy() if "rank" in links.column_names else r0
+    # targets by class, within it by name
+    klass = np.zeros(len(targets), np.int32)
     klass[target] = away
-    core[target[fed]] = True
-    alphabet = np.empty(len(core), np.int64)
-    alphabet[pc.array_sort_indices(targets).to_numpy()] = np.arange(len(core))
-    order = np.lexsort((alphabet, ~core, klass))
-    place = np.empty(len(order), np.int64)
+    alphabet = np.empty(len(targets), np.int32)
+    alphabet[pc.array_sort_indices(targets).to_numpy()] = np.arange(len(targets))
+    order = np.lexsort((alphabet, klass))
+    place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order))
     entry = place[target]
-    first = _sums(entry[fed], weight[fed] * rank[fed], len(order))
-    fixed = np.bincount(entry[~fed], weight[~fed] * base, len(order)).astype(float)
-    names, rows, cores, starts = targets.take(pa.array(order)), [], {}, {}
-    at = 0
-    for t, begin in zip(*np.unique(klass[order], return_index=True), strict=True):
-        end = int(np.searchsorted(klass[order], t, "right"))
-        n = int(core[order[begin:end]].sum())
-        part = slice(begin, end)
-        told = (pa.concat_arrays([names[begin:end]]), n, first[begin : begin + n], fixed[part] if fixed[part].any() else None)
+    first = _sums(entry, weight * rank, len(order))
+    names, klass, rows, sizes = targets.take(pa.array(order)), klass[order], [], {}
+    for t, begin in zip(*np.unique(klass, return_index=True), strict=True):
+        end = int(np.searchsorted(klass, t, "right"))
+        told = (_spelt(names[begin:end]), _tabled(first[begin:end]))
         rows.append((int(t), home, _NAMES, _packed(told)))
-        cores[int(t)], starts[int(t)] = n, at
-        at += n
-    # a round's sums, one class after another, without the targets that only unfed sources name
-    number = np.cumsum(core[order]) - 1
-    rows.append((home, home, _OWN, _packed((sources, _coded(source[fed], number[entry[fed]], weight[fed]), cores))))
+        sizes[int(t)] = end - int(begin)
+    rows.append((home, home, _OWN, _packed((_spelt(sources), _coded(source, entry, weight), sizes))))
     return rows
 
 
 def _coded(source: np.ndarray, entry: np.ndarray, weight: np.ndarray) -> tuple:
-    """Links by source, in numbers that compress well: steps between sources, a table of weights."""
-    by_source = np.argsort(source, kind="stable")
-    table, which = np.unique(weight[by_source], return_inverse=True)
-    steps = np.diff(source[by_source], prepend=0).astype(np.int32)
-    return steps, entry[by_source].astype(np.int32), table, which.astype(np.uint16 if len(table) < 1 << 16 else np.uint32)
+    """Links by source, in numbers that compress well: steps between sources, then between targets, a table of weights."""
+    order = np.lexsort((entry, source))
+    steps = (np.diff(of[order], prepend=0).astype(np.int32) for of in (source, entry))
+    return *(_planes(s) for s in steps), _tabled(weight[order])
+
+
+def _decoded(source: tuple, entry: tuple, weight: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.cumsum(_flat(*source), dtype=np.int32), np.cumsum(_flat(*entry), dtype=np.int32), _untabled(*weight)
 
 
 def _gifts(static: dict, ranks: np.ndarray, home: int) -> list[tuple]:
     """What a class sends when its nodes have these ranks."""
     if not static["cores"]:
         return []
-    steps, entry, table, which = static["links"]
-    gifts = table[which] * ranks[static["own"]][np.cumsum(steps)]
-    sums = _sums(entry, gifts, sum(static["cores"].values()))
+    source, entry, weight = _decoded(*static["links"])
+    sums = _sums(entry, weight * ranks[static["own"]][source], sum(static["cores"].values()))
     rows, at = [], 0
     for t, n in static["cores"].items():
         if n:
-            rows.append((t, home, _SUMS, sums[at : at + n].tobytes()))
+            rows.append((t, home, _SUMS, _planes(sums[at : at + n])[1]))
         at += n
     return rows
 
 
-def _ranked(static: dict, received: list[tuple[int, np.ndarray]], base: float, factor: float, keep: bool) -> np.ndarray:
-    """Ranks of a class from the sums that reach it; sums are added in the order of their classes."""
+def _ranked(
+    size: int, received: list[tuple], fixed: np.ndarray | None, base: float, factor: float, keep: bool
+) -> np.ndarray:
+    """Ranks of a class from ``(origin, nodes, sums)`` that reach it; sums are added in the order of their classes."""
     received = sorted(received, key=lambda r: r[0])
-    size = static["size"]
     if received:
-        at = np.concatenate([static["maps"][origin] for origin, _ in received])
-        total = _sums(at, np.concatenate([values for _, values in received]), size)
+        total = _sums(np.concatenate([r[1] for r in received]), np.concatenate([r[2] for r in received]), size)
     else:
         total = np.full(size, np.nan)
     if keep:
-        total = np.nan_to_num(total, nan=0.0) + static["fixed"]
+        total = np.nan_to_num(total, nan=0.0)
+        total = total if fixed is None else total + fixed
     return base + factor * total
 
 
 def _build(base: float, factor: float, keep: bool):
-    """Group function: a class learns its nodes, and ranks them by the first sums."""
+    """Group function: a class learns its nodes, ranks them by the first sums and settles what its rounds send."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         home = key[0].as_py()
@@ -197,46 +244,86 @@ def _build(base: float, factor: float, keep: bool):
             else:
                 told.append((origin, *_unpacked(data)))
         told.sort(key=lambda r: r[0])
-        lists = [r[1] for r in told] + ([own[0]] if own else [])
+        lists = [_read(*r[1]) for r in told] + ([_read(*own[0])] if own else [])
         coded = pa.concat_arrays(lists).dictionary_encode("encode")
-        node = coded.indices.to_numpy()
-        size = len(coded.dictionary)
-        maps, received, fixed, at = {}, [], np.zeros(size), 0
-        for origin, names, n, first, always in told:
+        # numbered by name, so that the places of a list of names are small steps
+        by_name = pc.array_sort_indices(coded.dictionary).to_numpy()
+        size = len(by_name)
+        number = np.empty(size, np.int32)
+        number[by_name] = np.arange(size, dtype=np.int32)
+        node = number[coded.indices.to_numpy()]
+        places, received, fed, at = {}, [], np.zeros(size, bool), 0
+        for (origin, _, first), names in zip(told, lists, strict=False):
             nodes = node[at : at + len(names)]
             at += len(names)
-            if n:
-                maps[origin] = nodes[:n].astype(np.int32)
-                received.append((origin, first))
-            if always is not None:
-                fixed[nodes] += always  # a list names a node once
-        static = {"size": size, "maps": maps, "fixed": fixed if keep else None, "own": node[at:].astype(np.int32)}
-        static["links"], static["cores"] = own[1:] if own else (None, {})
-        ranks = _ranked(static, received, base, factor, keep)
-        out = [(home, home, _OWN, _packed(static)), (home, home, _NAMES, _packed(coded.dictionary))]
+            fed[nodes] = True
+            places[origin] = _planes(np.diff(nodes, prepend=np.int32(0)))
+            received.append((origin, nodes, _untabled(*first)))
+        ranks = _ranked(size, received, None, base, factor, keep)
+        static = {"size": size, "places": places, "own": node[at:], "links": None, "cores": {}}
+        out = []
+        if own:
+            static["links"], static["cores"], out = _settled(own[1], own[2], fed[node[at:]], home, base, keep)
+        out.append((home, home, _OWN, _packed(static)))
+        out.append((home, home, _NAMES, _packed(_spelt(coded.dictionary.take(pa.array(by_name))))))
         out.append((home, home, _STATE, ranks.tobytes()))
         return pa.Table.from_batches([_emit(out)])
 
     return run
 
 
+def _settled(links: tuple, sizes: dict, fed: np.ndarray, home: int, base: float, keep: bool) -> tuple:
+    """The links of fed sources, how many sums they send to each class, and what classes are told of the others."""
+    source, entry, weight = _decoded(*links)
+    gives = fed[source]
+    core = np.zeros(sum(sizes.values()), bool)
+    core[entry[gives]] = True
+    fixed = np.bincount(entry[~gives], weight[~gives] * base, len(core)).astype(float)
+    cores, rows, at = {}, [], 0
+    for t, n in sizes.items():
+        part = slice(at, at + n)
+        at += n
+        cores[t] = int(core[part].sum())
+        always = _tabled(fixed[part]) if keep and fixed[part].any() else None
+        rows.append((t, home, _LEFT_OUT, _packed((np.packbits(core[part]), always))))
+    # a round's sums, one class after another, without the targets that only unfed sources name
+    number = np.cumsum(core) - 1
+    return _coded(source[gives], number[entry[gives]], weight[gives]), cores, rows
+
+
+def _arrived(static: dict, left_out: dict, received: dict) -> tuple[list[tuple], np.ndarray]:
+    """``(origin, nodes, sums)`` of a round, and what unfed sources give each node."""
+    placed, fixed = [], np.zeros(static["size"])
+    for origin, (core, always) in left_out.items():
+        nodes = np.cumsum(_flat(*static["places"][origin]))
+        if always is not None:
+            fixed[nodes] += _untabled(*always)  # a list names a node once
+        if origin in received:
+            placed.append((origin, nodes[np.unpackbits(core, count=len(nodes)).astype(bool)], received[origin]))
+    return placed, fixed
+
+
 def _step(out: int, base: float, factor: float, keep: bool):
     """Group function: sums or ranks that reach a class, to its next sums or ranks."""
 
     def run(key: tuple, kept: pa.Table, arrived: pa.Table) -> pa.Table:
         home = key[0].as_py()
-        if not kept.num_rows:
+        static, left_out, received, ranks = None, {}, {}, None
+        for origin, kind, data in _told(kept):
+            if kind == _OWN:
+                static = _unpacked(data)
+            else:
+                left_out[origin] = data
+        if static is None:
             return pa.Table.from_batches([_emit([])])
-        static = _unpacked(kept.column("data")[0].as_py())
-        received, ranks = [], None
         for origin, kind, data in _told(arrived):
-            values = np.frombuffer(data)
             if kind == _STATE:
-                ranks = values
+                ranks = np.frombuffer(data)
             else:
-                received.append((origin, values))
+                received[origin] = _flat("<f8", data)
         if ranks is None:
-            ranks = _ranked(static, received, base, factor, keep)
+            left_out = {origin: _unpacked(left_out[origin]) for origin in sorted(left_out)}
+            ranks = _ranked(static["size"], *_arrived(static, left_out, received), base, factor, keep)
         rows = _gifts(static, ranks, home) if out == _SUMS else [(home, home, _STATE, ranks.tobytes())]
         return pa.Table.from_batches([_emit(rows)])
 
@@ -249,33 +336,36 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for names, ranks in zip(batch.column("names").to_pylist(), batch.column("ranks").to_pylist(), strict=True):
             values = np.frombuffer(ranks)
             held = ~np.isnan(values)
-            nodes = _unpacked(names).filter(pa.array(held))
+            nodes = _read(*_unpacked(names)).filter(pa.array(held))
             yield pa.RecordBatch.from_arrays([nodes, pa.array(values[held])], names=["node", "rank"])
 
 
-def cut_blocks(rows: DataFrame, ranks: DataFrame, partitions: int, base: float, keep: bool) -> DataFrame:
-    """What classes keep and tell each other, from links placed by ``src`` and ranks after one round.
+def cut_blocks(
+    rows: DataFrame, ranks: DataFrame | None, partitions: int, r0: float = RANK_START, scattered: bool = False
+) -> DataFrame:
+    """What classes keep and tell each other, from links placed by ``src``.
 
-    ``ranks (node, rank, fed)`` lie where their links do, so nothing moves.
+    All sources start with ``r0``, else with their ``ranks (node, rank)``, which then lie where their links do, so
+    nothing moves.  Links that are ``scattered`` may not lie in their classes and are gathered first.
     """
-    by_source = ranks.select(F.col("node").alias("src"), "rank", "fed").hint("merge")
-    joined = rows.where("weight > 0").join(by_source, "src")
+    rows, also = rows.where("weight > 0"), []
+    if ranks is not None:
+        rows, also = rows.join(ranks.select(F.col("node").alias("src"), "rank").hint("merge"), "src"), ["rank"]
     place = lambda c: F.pmod(F.hash(c), F.lit(partitions)).alias
-    links = joined.select("src", "dst", "weight", "rank", "fed", place("src")("home"), place("dst")("away"))
-    if int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")) != partitions:
-        # links that a session plans for another number may not lie in their classes
-        return links.groupBy("home").applyInArrow(_cut_class(base), _ROWS)
-    return links.mapInArrow(_cut(base), _ROWS)
+    links = rows.select("src", "dst", "weight", *also, place("src")("home"), place("dst")("away"))
+    if scattered:
+        return links.groupBy("home").applyInArrow(_cut_class(r0), _ROWS)
+    return links.mapInArrow(_cut(r0), _ROWS)
 
 
 def build_blocks(cut: DataFrame, base: float, factor: float, keep: bool) -> DataFrame:
-    """Per class its block, the names of its nodes and their ranks after the second round."""
+    """Per class its block, the names of its nodes and their ranks after one round."""
     return cut.groupBy("to").applyInArrow(_build(base, factor, keep), _ROWS)
 
 
 def of_kind(built: DataFrame, kind: str) -> DataFrame:
-    """The rows of :func:`build_blocks` that are a ``block``, ``names`` or ``ranks``."""
-    rows = built.where(F.col("kind") == {"block": _OWN, "names": _NAMES, "ranks": _STATE}[kind])
+    """The rows of :func:`build_blocks` that make a ``block``, or are its ``names`` or ``ranks``."""
+    rows = built.where(F.col("kind").isin({"block": [_OWN, _LEFT_OUT], "names": [_NAMES], "ranks": [_STATE]}[kind]))
     return rows.select(*[F.col(c).alias(c) for c in rows.columns])  # a cogroup needs columns of each side's own
 
 

@@ -1,7 +1,7 @@
 """Iterative link ranking.
 
-The links move once, to the hash class of their source.  The first round is an aggregate by
-target; the others send plain arrays of sums between the classes (``operators/rank_blocks``), one
+The links move once, to the hash class of their source.  The first round goes with the exchange of names;
+the others send plain arrays of sums between the classes (``operators/rank_blocks``), one
 shuffle a round.  Where heavy sources are sliced, all rounds are joins: the cached link table is
 already partitioned and sorted by source, and the ranks leave the previous aggregate partitioned by
 node, so the join adds no exchange; the aggregate by target is the only shuffle, after a
@@ -41,7 +41,7 @@ from linkmill.operators.rank import (
     link_table,
     sum_contributions,
 )
-from linkmill.plans.lineage import checkpoint, moved_to
+from linkmill.plans.lineage import checkpoint, moved_to, scratch, swept
 from linkmill.sources.text import first_lines
 
 
@@ -67,18 +67,27 @@ def pagerank(
     """
     if iterations < 1:
         return init_ranks(edges, r0)
-    links = link_table(edges, sources, num_partitions, cache_links, min_slice_rows, self_links=iterations == 1)
-    if normalise and (n_sources := links.n_sources()):
-        base, factor = NORMALISED_TELEPORT / n_sources, 1 - NORMALISED_TELEPORT
-    by_rows = iterations == 1 or links.heavy is not None
-    try:
-        if by_rows:
-            ranks = _rounds(links, iterations, base, factor, r0, checkpoint_every)
-            return moved_to(edges.sparkSession, ranks, "ranks")
-        with _block_rounds(links, iterations, base, factor, r0, checkpoint_every, sources == "keep") as ranks:
-            return moved_to(edges.sparkSession, ranks, "ranks")
-    finally:
-        links.release()
+    one = iterations == 1
+    with scratch(edges.sparkSession):
+        # blocks are cut in one scan of the links, which need not be held for that
+        links = link_table(
+            edges, sources, num_partitions, cache_links, min_slice_rows, self_links=one, held=one or normalise
+        )
+        try:
+            with swept(links.rows.sparkSession):
+                if normalise and (n_sources := links.n_sources()):
+                    base, factor = NORMALISED_TELEPORT / n_sources, 1 - NORMALISED_TELEPORT
+                how = (base, factor, sources == "keep")
+                if one or links.heavy is not None:
+                    ranks = _rounds(links, iterations, base, factor, r0, checkpoint_every)
+                    return moved_to(edges.sparkSession, ranks, "ranks")
+                built = _built(links, r0, *how)
+        finally:
+            links.release()
+    # the blocks hold all that rounds need: the links are gone by now
+    rounds = _block_rounds(built, links.partitions, iterations, checkpoint_every, cache_links, *how)
+    with swept(built.sparkSession), rounds as ranks:
+        return moved_to(edges.sparkSession, ranks, "ranks")
 
 
 def _rounds(
@@ -95,35 +104,41 @@ def _rounds(
     return ranks
 
 
+def _built(links: Links, r0: float, base: float, factor: float, keep: bool) -> DataFrame:
+    """Blocks, names and the ranks after one round."""
+    # a session that plans for another number may have put the links elsewhere
+    scattered = int(links.rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) != links.partitions
+    # all sources start equal, so the first round is summed up where the links lie
+    cut = B.cut_blocks(links.rows, None, links.partitions, r0, scattered)
+    return checkpoint(B.build_blocks(cut, base, factor, keep))
+
+
 @contextmanager
 def _block_rounds(
-    links: Links, iterations: int, base: float, factor: float, r0: float, checkpoint_every: int, keep: bool
+    built: DataFrame,
+    partitions: int,
+    iterations: int,
+    checkpoint_every: int,
+    cache_blocks: bool,
+    base: float,
+    factor: float,
+    keep: bool,
 ) -> Iterator[DataFrame]:
     """Ranks after ``iterations`` rounds; the blocks are held as long as the ranks are read."""
-    # all sources start equal, so the first round needs no join
-    given = contributions(links.rows.withColumn("rank", F.lit(float(r0))), F.lit(True).alias("real"))
-    if keep:
-        # every source has a sum, if only 0; the links lie by source, so this moves nothing more
-        held = links.rows.select(F.col("src").alias("node")).distinct()
-        given = given.unionByName(held.select("node", F.lit(0.0).alias("v"), F.lit(False).alias("real")))
-    linked = F.bool_or("real") if keep else F.lit(True)
-    totals = given.groupBy("node").agg(F.sum("v").alias("total"), linked.alias("fed"))
-    first = damp(totals, base, factor, "fed")
-    built = checkpoint(B.build_blocks(B.cut_blocks(links.rows, first, links.partitions, base, keep), base, factor, keep))
-    blocks = B.of_kind(built, "block").repartition(links.partitions, "to")
+    blocks = B.of_kind(built, "block").repartition(partitions, "to")
     stored = None
-    if links.stored:
-        blocks, stored = bucketed(blocks, links.partitions, ["to"])
+    if not cache_blocks:
+        blocks, stored = bucketed(blocks, partitions, ["to"])
     else:
         blocks = blocks.persist()
         blocks.count()
     state = B.of_kind(built, "ranks")
     how = (base, factor, keep)
     try:
-        for done in range(2, iterations):
-            if (done - 2) % checkpoint_every == 0:
+        for done in range(1, iterations):
+            if (done - 1) % checkpoint_every == 0:
                 sums = B.block_step(blocks, state, "sums", *how)
-            cut = (done - 1) % checkpoint_every == 0
+            cut = done % checkpoint_every == 0
             if cut or done == iterations - 1:
                 state = B.block_step(blocks, sums, "ranks", *how)
                 state = checkpoint(state) if done < iterations - 1 else state

@@ -1,4 +1,6 @@
+import os
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from linkmill.operators import rank as R
 from linkmill.operators import rank_blocks as B
 from linkmill.plans import pagerank as P
+from linkmill.plans.lineage import shared_folder
 
 CHAIN = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "d2"), ("x", "y"), ("y", "x")]
 
@@ -285,3 +288,53 @@ def test_names_are_numbered_in_stretches(spark, monkeypatch, edges_of):
     assert [(src[s].as_py(), dst[t].as_py()) for s, t in zip(source.tolist(), target.tolist(), strict=True)] == names
     assert len(src) == 4 and len(dst) == 4
     assert B._thin(iter([])) is None
+
+
+def test_the_first_round_goes_with_the_names(spark, edges_of):
+    """No aggregate of names before it: the links are placed, then names and first sums move in one exchange."""
+    pairs = random_graph(4)
+    links = R.link_table(edges_of(pairs))
+    built = B.build_blocks(B.cut_blocks(links.rows, None, links.partitions), 0.15, 0.85, False)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("InMemoryRelation")[0].count("Exchange") == 1 and "Aggregate" not in plan
+    built = P.checkpoint(built)
+    close(ranks_of(B.named_ranks(B.of_kind(built, "names"), B.of_kind(built, "ranks"))), brute(pairs, 1))
+    links.release()
+
+
+@pytest.mark.parametrize("options", [{"sources": "keep"}, {"cache_links": False}, {"normalise": True}])
+def test_a_ranking_leaves_neither_its_links_nor_what_rounds_sent(spark, edges_of, options):
+    def shuffled():
+        places = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+        names = [f for place in places for _, _, files in os.walk(place) for f in files if f.startswith("shuffle_")]
+        return {n.split("_")[1] for n in names}
+
+    def links_kept():
+        folder = shared_folder(spark).removeprefix("file:")
+        return {d for d in os.listdir(f"{folder}/linkmill") if d.startswith(("links-", "counted-"))}
+
+    P.pagerank(edges_of(CHAIN), 3)  # makes the folder
+    before, kept = shuffled(), links_kept()
+    P.pagerank(edges_of(random_graph(3)), 8, **options)
+    until = time.time() + 20
+    while len(shuffled() - before) > 3 and time.time() < until:  # they are deleted beside the job
+        time.sleep(0.5)
+    # what is left was sent to see whether sources are heavy, and to place the links and blocks that executors hold
+    assert len(shuffled() - before) <= 3 and links_kept() <= kept
+
+
+def test_names_and_numbers_are_read_as_they_were_written():
+    import numpy as np
+    import pyarrow as pa
+
+    long = [f"part_{n}" for n in range(1000)]
+    for names in ([], [""], [None], ["", None], ["a", "é" * 300, "z"], ["", "b", "b\0"], [*long, None]):
+        cut = pa.concat_arrays([pa.array(["before"]), pa.array(names, pa.string())])[1:]
+        assert B._read(*B._spelt(cut)).to_pylist() == names
+    assert len(B._packed(B._spelt(pa.array(sorted(long))))) < len(B._packed(pa.array(sorted(long)))) / 2
+    for values in (np.zeros(0), np.array([0.5, np.nan, -0.0]), np.arange(300) % 7 / 3, np.arange(9, dtype=np.int32)):
+        assert B._untabled(*B._tabled(values)).tolist() == pytest.approx(values.tolist(), nan_ok=True)
+        assert B._flat(*B._planes(values)).tobytes() == values.tobytes()
+    source, entry, weight = np.array([2, 0, 2]), np.array([5, 3, 1]), np.array([0.5, 1.0, 0.5])
+    links = sorted(zip(*(part.tolist() for part in B._decoded(*B._coded(source, entry, weight))), strict=True))
+    assert links == [(0, 3, 1.0), (2, 1, 0.5), (2, 5, 0.5)]
