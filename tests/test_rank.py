@@ -290,13 +290,14 @@ def test_names_are_numbered_in_stretches(spark, monkeypatch, edges_of):
     assert B._thin(iter([])) is None
 
 
-def test_the_first_round_goes_with_the_names(spark, edges_of):
+@pytest.mark.parametrize("scattered", [False, True])
+def test_the_first_round_goes_with_the_names(spark, edges_of, scattered):
     """No aggregate of names before it: the links are placed, then names and first sums move in one exchange."""
     pairs = random_graph(4)
     links = R.link_table(edges_of(pairs))
-    built = B.build_blocks(B.cut_blocks(links.rows, None, links.partitions), 0.15, 0.85, False)
+    built = B.build_blocks(B.cut_blocks(links.rows, None, links.partitions, 1.0, scattered), 0.15, 0.85, False)
     plan = built._jdf.queryExecution().executedPlan().toString()
-    assert plan.split("InMemoryRelation")[0].count("Exchange") == 1 and "Aggregate" not in plan
+    assert plan.split("InMemoryRelation")[0].count("Exchange") == 1 + scattered and "Aggregate" not in plan
     built = P.checkpoint(built)
     close(ranks_of(B.named_ranks(B.of_kind(built, "names"), B.of_kind(built, "ranks"))), brute(pairs, 1))
     links.release()
